@@ -121,9 +121,15 @@ def rank_window(
     if not tiebreak:
         raise ValueError("a unique tie-break column list is required")
     max_bounds = min(max_bounds, MAX_BOUNDS)
+    parts = list(partition_by)
     if materialize:
         df = _checkpoint(df)
-    parts = list(partition_by)
+        # Exact size check on the materialized input: when every row fits in
+        # one bucket, the bucketed plan would produce a single bucket anyway,
+        # and Spark's own window over <= bucket_rows rows is the same work
+        # with fewer jobs.
+        if df.count() <= bucket_rows:
+            return _builtin_window(df, order, tiebreak, outputs, parts)
     tie_fields = _key_fields(df, order)
     tb_fields = [F.col(t).alias(f"t{i}") for i, t in enumerate(tiebreak)]
     base = df.withColumns(
@@ -264,6 +270,37 @@ def rank_window(
     return out.drop("_key", "_tie", "_bucket", "_rn", "_rk", "_offset", "_n", "_min_tie", "_min_first")
 
 
+def _spark_order(o: Order) -> Column:
+    c = F.col(o.column)
+    if o.ascending:
+        return c.asc_nulls_first() if o.nulls_first_resolved() else c.asc_nulls_last()
+    return c.desc_nulls_first() if o.nulls_first_resolved() else c.desc_nulls_last()
+
+
+def _builtin_window(df: DataFrame, order: list[Order], tiebreak: list[str],
+                    outputs: dict, parts: list[str]) -> DataFrame:
+    """Same numbers with Spark's window functions (used for inputs of at most
+    one bucket, so a partition holds no more than ``bucket_rows`` rows)."""
+    by = [_spark_order(o) for o in order]
+    w = Window.partitionBy(*parts).orderBy(*by) if parts else Window.orderBy(*by)
+    by_t = by + [F.col(t).asc() for t in tiebreak]
+    wt = Window.partitionBy(*parts).orderBy(*by_t) if parts else Window.orderBy(*by_t)
+    cols = {}
+    for name, kind in outputs.items():
+        k = kind if isinstance(kind, str) else kind[0]
+        if k == "row_number":
+            cols[name] = F.row_number().over(wt).cast("long")
+        elif k == "rank":
+            cols[name] = F.rank().over(w).cast("long")
+        elif k == "percent_rank":
+            cols[name] = F.percent_rank().over(w)
+        elif k == "ntile":
+            cols[name] = F.ntile(int(kind[1])).over(wt).cast("long")
+        else:
+            raise ValueError(f"unknown ranking kind {kind!r}")
+    return df.withColumns(cols)
+
+
 def _checkpoint(df: DataFrame) -> DataFrame:
     from shopsight.session import checkpoint_dir
 

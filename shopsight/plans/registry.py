@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from shopsight.params import Params
+from shopsight.operators import quality
 from shopsight.plans import catalog, customer, exports, product, sales, store
 from shopsight.sources.tables import Tables
 
@@ -36,4 +37,6 @@ JOBS: dict[str, Callable[[Tables, Params], DataFrame]] = {
     # metric catalog
     **{k: (lambda f: (lambda t, p: f(t)))(f) for k, f in catalog.METRICS.items()},
     "metric_mart": lambda t, p: catalog.metric_mart(t),
+    # data-quality report over the business tables
+    "quality_key_report": lambda t, p: quality.key_report(t),
 }

@@ -30,7 +30,7 @@ def _builtin(df, order_cols, parts, tiebreak):
     )
 
 
-@pytest.mark.parametrize("bucket_rows", [7, 40, 10_000])
+@pytest.mark.parametrize("bucket_rows", [7, 40, 10_000, 100_000_000])
 @pytest.mark.parametrize("parts", [[], ["g"]])
 @pytest.mark.parametrize("direction", ["desc", "asc"])
 def test_matches_builtin(spark, bucket_rows, parts, direction):
