@@ -132,43 +132,42 @@ def rank_window(
             return _builtin_window(df, order, tiebreak, outputs, parts)
     tie_fields = _key_fields(df, order)
     tb_fields = [F.col(t).alias(f"t{i}") for i, t in enumerate(tiebreak)]
-    base = df.withColumns(
-        {
-            "_key": F.struct(*tie_fields, *tb_fields),
-            "_tie": F.struct(*tie_fields),
-        }
-    )
+    cols = {"_key": F.struct(*tie_fields, *tb_fields), "_tie": F.struct(*tie_fields)}
+    if parts:
+        # One non-null group key; struct equality treats NULL fields as equal,
+        # so plain equi-joins on it keep GROUP BY's NULL-group semantics and
+        # line up with the hash partitioning of the windows.
+        cols["_grp"] = F.struct(*parts)
+    base = df.withColumns(cols)
+    grp = ["_grp"] if parts else []
 
     # --- 2. deterministic sample -> boundary keys --------------------------
     rate = min(1.0, oversample / max(bucket_rows, 1))
     threshold = max(1, int(round(rate * _HASH_SPACE)))
     sample = base.filter(F.pmod(F.xxhash64("_key"), F.lit(_HASH_SPACE)) < threshold).select(
-        *parts, "_key"
+        *grp, "_key"
     )
     total_sample = sample.select(F.count(F.lit(1))).scalar()
     stride = F.greatest(
         F.lit(oversample).cast("long"),
         F.ceil(total_sample / F.lit(float(max_bounds))).cast("long"),
     )
-    w_sample = Window.partitionBy(*parts).orderBy("_key") if parts else Window.orderBy("_key")
     if parts:
+        w_sample = Window.partitionBy("_grp").orderBy("_key")
         cut = sample.withColumn("_srn", F.row_number().over(w_sample)).filter(
             F.col("_srn") % stride == 0
         )
-        bounds = cut.groupBy(*parts).agg(F.sort_array(F.collect_list("_key")).alias("_bounds"))
+        bounds = cut.groupBy("_grp").agg(F.sort_array(F.collect_list("_key")).alias("_bounds"))
         # At most max_bounds keys in total (one per ``stride`` sample rows), so
         # the broadcast is bounded regardless of the input size.
-        cond = [base[p].eqNullSafe(bounds[p]) for p in parts]
-        with_bounds = base.join(F.broadcast(bounds), cond, "left").select(
-            base["*"], bounds["_bounds"]
-        )
+        with_bounds = base.join(F.broadcast(bounds), "_grp", "left")
     else:
         # One group: the sample is ordered by a distributed sort (range
         # partitioned) and numbered with a prefix over its partitions; the
         # boundary array comes back as a scalar subquery of <= max_bounds keys.
-        numbered = _global_row_number(sample.select("_key"), "_key", "_srn")
+        numbered_sample = _global_row_number(sample.select("_key"), "_key", "_srn")
         arr = (
-            numbered.filter(F.col("_srn") % stride == 0)
+            numbered_sample.filter(F.col("_srn") % stride == 0)
             .select(F.sort_array(F.collect_list("_key")).alias("b"))
             .scalar()
         )
@@ -192,7 +191,8 @@ def rank_window(
     )
 
     # --- 4. numbering inside buckets ----------------------------------------
-    group_cols = [*parts, "_bucket"]
+    # The only row-level shuffle: hash partitioning on (group, bucket).
+    group_cols = [*grp, "_bucket"]
     n_tie = len(tie_fields)
     tie_order = [F.col("_key")[f"n{i // 2}" if i % 2 == 0 else f"v{i // 2}"] for i in range(n_tie)]
     full_order = tie_order + [F.col("_key")[f"t{i}"] for i in range(len(tiebreak))]
@@ -203,6 +203,10 @@ def rank_window(
     numbered = with_bucket.withColumn("_rn", F.row_number().over(w_full).cast("long"))
     if need_rank:
         numbered = numbered.withColumn("_rk", F.rank().over(w_tie).cast("long"))
+    if materialize:
+        # Computed once; the checkpoint keeps the (group, bucket) hash
+        # partitioning, so the bucket table below and the final join reuse it.
+        numbered = _checkpoint(numbered)
 
     # bucket table: counts, offsets, group sizes (one row per bucket)
     aggs = [F.count(F.lit(1)).alias("_cnt")]
@@ -210,45 +214,44 @@ def rank_window(
         aggs += [F.min("_tie").alias("_min_tie"), F.max("_tie").alias("_max_tie"),
                  F.max("_rk").alias("_max_rk")]
     stats = numbered.groupBy(*group_cols).agg(*aggs)
-    w_grp = Window.partitionBy(*parts).orderBy("_bucket") if parts else Window.orderBy("_bucket")
+    # Windows over the bucket table: one row per bucket (<= max_bounds + groups).
+    w_grp = Window.partitionBy(*grp).orderBy("_bucket")
     stats = stats.withColumns(
         {
             "_offset": F.coalesce(
                 F.sum("_cnt").over(w_grp.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
             ).cast("long"),
-            "_n": F.sum("_cnt").over(
-                (Window.partitionBy(*parts) if parts else Window.partitionBy())
-            ).cast("long"),
+            "_n": F.sum("_cnt").over(Window.partitionBy(*grp)).cast("long"),
         }
     )
+    if materialize:
+        # small (one row per bucket) but read three times below
+        stats = _checkpoint(stats)
     if need_rank:
         cands = stats.select(
-            *parts, F.col("_min_tie").alias("_tv"), (F.col("_offset") + 1).alias("_first")
+            *grp, F.col("_min_tie").alias("_tv"), (F.col("_offset") + 1).alias("_first")
         ).unionByName(
             stats.select(
-                *parts,
+                *grp,
                 F.col("_max_tie").alias("_tv"),
                 (F.col("_offset") + F.col("_max_rk")).alias("_first"),
             )
         )
-        firsts = cands.groupBy(*parts, "_tv").agg(F.min("_first").alias("_min_first"))
-        cond = [stats[p].eqNullSafe(firsts[p]) for p in parts] + [
-            stats["_min_tie"] == firsts["_tv"]
-        ]
-        stats = stats.join(firsts, cond, "left").select(stats["*"], firsts["_min_first"])
+        firsts = cands.groupBy(*grp, "_tv").agg(F.min("_first").alias("_min_first"))
+        firsts = firsts.withColumnRenamed("_tv", "_min_tie")
+        stats = stats.join(firsts, [*grp, "_min_tie"], "left")
     keep = [*group_cols, "_offset", "_n"] + (["_min_tie", "_min_first"] if need_rank else [])
-    stats = stats.select(*keep)
-    cond = [numbered[c].eqNullSafe(stats[c]) for c in group_cols]
-    joined = numbered.join(stats, cond, "inner").select(
-        numbered["*"], *[stats[c] for c in keep if c not in group_cols]
+    stats = stats.select(*keep).withColumnsRenamed(
+        {"_min_tie": "_bucket_min_tie"} if need_rank else {}
     )
+    joined = numbered.join(stats, group_cols, "inner")
 
     # --- 5. final numbers -----------------------------------------------------
     g = F.col("_offset") + F.col("_rn")
     n = F.col("_n")
     rank = None
     if need_rank:
-        rank = F.when(F.col("_tie") == F.col("_min_tie"), F.col("_min_first")).otherwise(
+        rank = F.when(F.col("_tie") == F.col("_bucket_min_tie"), F.col("_min_first")).otherwise(
             F.col("_offset") + F.col("_rk")
         )
     cols = {}
@@ -267,7 +270,8 @@ def rank_window(
         else:
             raise ValueError(f"unknown ranking kind {kind!r}")
     out = joined.withColumns(cols)
-    return out.drop("_key", "_tie", "_bucket", "_rn", "_rk", "_offset", "_n", "_min_tie", "_min_first")
+    return out.drop("_key", "_tie", "_grp", "_bucket", "_rn", "_rk", "_offset", "_n",
+                    "_bucket_min_tie", "_min_first")
 
 
 def _spark_order(o: Order) -> Column:

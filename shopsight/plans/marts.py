@@ -50,7 +50,7 @@ def store_orders(t: Tables, p: Params) -> DataFrame:
     )
 
 
-def item_lines(t: Tables, p: Params, valid_only: bool) -> DataFrame:
+def item_lines(t: Tables, p: Params, valid_only: bool, items: DataFrame | None = None) -> DataFrame:
     """Order lines joined to order ids.
 
     ``valid_only``: inner join with valid orders (KPI 3, 6, exports 3, 6).
@@ -59,7 +59,8 @@ def item_lines(t: Tables, p: Params, valid_only: bool) -> DataFrame:
     with the status test in its ON clause does.
     """
     v = valid_orders(t, p).select("order_id", F.lit(True).alias("_valid"))
-    items = t.order_items.select("order_id", "prod_id", "quantity", "unit_price", "discount")
+    if items is None:
+        items = t.order_items.select("order_id", "prod_id", "quantity", "unit_price", "discount")
     how = "inner" if valid_only else "left"
     return items.join(v, "order_id", how).withColumns(
         {

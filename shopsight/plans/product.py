@@ -14,6 +14,7 @@ from shopsight.functions.semantics import div_round, money, pct, stock_status
 from shopsight.operators.ranking import desc, rank_window
 from shopsight.params import Params
 from shopsight.plans.marts import item_lines
+from shopsight.plans.sales import category_lines
 from shopsight.sources.tables import Tables
 
 
@@ -94,9 +95,7 @@ def category_performance(t: Tables, p: Params = Params()) -> DataFrame:
     categories and products without sales stay in. The share window runs
     over one row per category.
     """
-    lines = item_lines(t, p, valid_only=False).join(
-        t.products.select("prod_id", "category"), "prod_id", "inner"
-    )
+    lines = category_lines(t, p, valid_only=False)
     per_cat = _lines_per_key(lines, ["category"])
     counts = t.products.groupBy("category").agg(F.count_distinct("prod_id").alias("product_count"))
     g = counts.join(per_cat, counts["category"].eqNullSafe(per_cat["category"]), "left").select(

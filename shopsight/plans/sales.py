@@ -83,10 +83,16 @@ def _per_order_then_group(lines: DataFrame, keys: list[str], value: str) -> Data
 
 
 def category_lines(t: Tables, p: Params, valid_only: bool = True) -> DataFrame:
-    """Order lines with their product category (inner join with products)."""
-    lines = item_lines(t, p, valid_only)
-    prods = t.products.select("prod_id", "category")
-    return lines.join(prods, "prod_id", "inner")
+    """Order lines with their product category (inner join with products).
+
+    Products are attached first and the order join comes last: its output is
+    hash-partitioned by order_id, which already clusters the following
+    (category, order_id) grouping — two line-sized shuffles instead of three
+    when neither side can be broadcast.
+    """
+    items = t.order_items.select("order_id", "prod_id", "quantity", "unit_price", "discount")
+    items = items.join(t.products.select("prod_id", "category"), "prod_id", "inner")
+    return item_lines(t, p, valid_only, items=items)
 
 
 def revenue_by_category(t: Tables, p: Params = Params(), measure: str = "net") -> DataFrame:
