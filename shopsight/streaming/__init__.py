@@ -1,0 +1,5 @@
+"""Structured Streaming: refresh of the dashboard documents as orders arrive."""
+
+from shopsight.streaming.refresh import refresh_documents, start_export_refresh
+
+__all__ = ["refresh_documents", "start_export_refresh"]
