@@ -34,13 +34,13 @@ def unique(df: DataFrame, table: str, *keys: str) -> DataFrame:
 
 
 def not_null(df: DataFrame, table: str, *columns: str) -> DataFrame:
-    """NULL counts of all ``columns`` in one scan, one report row each."""
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    out = None
-    for c in columns:
-        r = _row(agg, "not_null", table, c, F.col(c))
-        out = r if out is None else out.unionByName(r)
-    return out
+    """NULL counts of all ``columns`` in one scan, unpivoted to one report row each."""
+    agg = df.agg(*[F.count_if(F.col(c).isNull()).cast("long").alias(c) for c in columns])
+    long = agg.unpivot([], list(columns), "columns", "violations")
+    return long.select(
+        F.lit("not_null").alias("check"), F.lit(table).alias("table"),
+        "columns", F.col("violations").cast("long").alias("violations"),
+    )
 
 
 def domain(df: DataFrame, table: str, column: str, allowed) -> DataFrame:

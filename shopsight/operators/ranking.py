@@ -103,6 +103,8 @@ def rank_window(
     oversample: int = 20,
     max_bounds: int = MAX_BOUNDS,
     materialize: bool = True,
+    _skip_small_check: bool = False,
+    _input_checkpointed: bool = False,
 ) -> DataFrame:
     """Add ranking columns computed over ``partition_by`` / ``order``.
 
@@ -122,8 +124,9 @@ def rank_window(
         raise ValueError("a unique tie-break column list is required")
     max_bounds = min(max_bounds, MAX_BOUNDS)
     parts = list(partition_by)
-    if materialize:
+    if materialize and not _input_checkpointed:
         df = _checkpoint(df)
+    if materialize and not _skip_small_check:
         # Exact size check on the materialized input: when every row fits in
         # one bucket, the bucketed plan would produce a single bucket anyway,
         # and Spark's own window over <= bucket_rows rows is the same work
@@ -274,6 +277,36 @@ def rank_window(
                     "_bucket_min_tie", "_min_first")
 
 
+def rank_windows(
+    df: DataFrame,
+    specs: list[dict],
+    tiebreak: list[str],
+    bucket_rows: int = 2_000_000,
+    **kw,
+) -> DataFrame:
+    """Several rankings of the same rows, e.g. three NTILEs with different
+    orderings. ``specs`` items: ``{"order": [...], "outputs": {...},
+    "partition_by": [...]}``.
+
+    The input is checkpointed and counted once. When it fits one bucket all
+    windows run directly; otherwise each spec runs the bucketed path in turn
+    (each ordering needs its own buckets), every step reading the previous
+    step's checkpoint.
+    """
+    df = _checkpoint(df)
+    if df.count() <= bucket_rows:
+        for spec in specs:
+            df = _builtin_window(df, spec["order"], tiebreak, spec["outputs"],
+                                 list(spec.get("partition_by", ())))
+        return df
+    for i, spec in enumerate(specs):
+        df = rank_window(df, spec["order"], tiebreak, spec["outputs"],
+                         partition_by=spec.get("partition_by", ()), bucket_rows=bucket_rows,
+                         materialize=True, _skip_small_check=True,
+                         _input_checkpointed=(i == 0), **kw)
+    return df
+
+
 def _spark_order(o: Order) -> Column:
     c = F.col(o.column)
     if o.ascending:

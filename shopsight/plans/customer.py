@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shopsight.functions.semantics import div_round, money, pct, rfm_segment, tier
-from shopsight.operators.ranking import asc, desc, rank_window
+from shopsight.operators.ranking import asc, desc, rank_windows
 from shopsight.params import CLV_DEFAULT, Params
 from shopsight.plans.marts import customer_orders
 from shopsight.sources.tables import Tables
@@ -70,14 +70,21 @@ def clv_segment_summary(t: Tables, p: Params = Params(), marts=None) -> DataFram
     ).orderBy(F.col("avg_clv").desc(), "segment")
 
 
-def rfm_scores(t: Tables, p: Params, marts=None, with_names: bool = True) -> DataFrame:
-    """Customers with >= 1 valid order and their three NTILE scores.
+def rfm_scores(t: Tables, p: Params, marts=None, with_names: bool = True,
+               having_order_id: bool = True) -> DataFrame:
+    """Customers with valid orders and their three NTILE scores.
+
+    ``having_order_id``: KPI 9's population (LEFT JOIN ... HAVING
+    COUNT(o.order_id) > 0); otherwise KPI 10's (inner JOIN: at least one valid
+    order row). They differ only if an order_id can be NULL.
 
     NTILE over all customers would be one task (``Exchange SinglePartition``);
-    ``rank_window`` computes the same tiles over range buckets. Ties in the
+    ``rank_windows`` computes the same tiles over range buckets. Ties in the
     ORDER BY value are broken by cust_id (the definition leaves them open).
     """
-    co = _customer_orders(t, p, marts).filter(F.col("n_order_ids") > 0)
+    co = _customer_orders(t, p, marts)
+    if having_order_id:
+        co = co.filter(F.col("n_order_ids") > 0)
     cols = ["cust_id"] + (["full_name"] if with_names else [])
     base = t.customers.select(*cols).join(co, "cust_id", "inner").select(
         *cols,
@@ -86,11 +93,16 @@ def rfm_scores(t: Tables, p: Params, marts=None, with_names: bool = True) -> Dat
         F.coalesce(F.col("amount"), F.lit(0).cast("decimal(22,2)")).alias("monetary_exact"),
     )
     k = p.rfm_tiles
-    kw = dict(tiebreak=["cust_id"], bucket_rows=p.rank_bucket_rows)
-    scored = rank_window(base, [desc("recency_days")], outputs={"r_score": ("ntile", k)}, **kw)
-    scored = rank_window(scored, [asc("frequency")], outputs={"f_score": ("ntile", k)}, **kw)
-    scored = rank_window(scored, [asc("monetary_exact")], outputs={"m_score": ("ntile", k)}, **kw)
-    return scored
+    return rank_windows(
+        base,
+        [
+            {"order": [desc("recency_days")], "outputs": {"r_score": ("ntile", k)}},
+            {"order": [asc("frequency")], "outputs": {"f_score": ("ntile", k)}},
+            {"order": [asc("monetary_exact")], "outputs": {"m_score": ("ntile", k)}},
+        ],
+        tiebreak=["cust_id"],
+        bucket_rows=p.rank_bucket_rows,
+    )
 
 
 def rfm_analysis(t: Tables, p: Params = Params(), marts=None, sort: bool = True) -> DataFrame:
@@ -116,7 +128,9 @@ def rfm_analysis(t: Tables, p: Params = Params(), marts=None, sort: bool = True)
 
 def rfm_segment_summary(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """KPI 10: per RFM segment; rounding 2 / 2 / 1 / 0 digits."""
-    s = rfm_scores(t, p, marts, with_names=False).withColumn("segment", rfm_segment())
+    s = rfm_scores(t, p, marts, with_names=False, having_order_id=False).withColumn(
+        "segment", rfm_segment()
+    )
     g = s.groupBy("segment").agg(
         F.count(F.lit(1)).alias("customer_count"),
         F.sum("monetary_exact").alias("ms"),

@@ -40,9 +40,9 @@ def export_monthly_trends(t: Tables, p: Params = Params()) -> DataFrame:
     ).orderBy("_order").drop("_order")
 
 
-def export_category_sales(t: Tables, p: Params = Params()) -> DataFrame:
+def export_category_sales(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """Export 3: like KPI 3 but GROSS revenue (discount ignored), no order count."""
-    return sales_kpis.revenue_by_category(t, p, measure="gross").drop("order_count")
+    return sales_kpis.revenue_by_category(t, p, measure="gross", marts=marts).drop("order_count")
 
 
 def export_customer_segments(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
@@ -77,10 +77,9 @@ def export_store_performance(t: Tables, p: Params = Params(), marts=None) -> Dat
     ).orderBy(F.col("_a").desc_nulls_first(), "_s").drop("_a", "_s")
 
 
-def export_top_products(t: Tables, p: Params = Params()) -> DataFrame:
+def export_top_products(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """Export 6: top n by GROSS revenue, fields renamed for the dashboard."""
-    ps = sales_kpis.product_sales(t, p, measure="gross")
-    ps = ps.join(t.products.select("prod_id"), "prod_id", "left_semi")
+    ps = sales_kpis.product_sales(t, p, measure="gross", marts=marts)
     top = ps.select(
         "prod_id", money("value").alias("revenue"), F.col("units").cast("long").alias("units_sold")
     ).orderBy(F.col("revenue").desc_nulls_first(), "prod_id").limit(p.top_n)

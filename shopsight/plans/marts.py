@@ -71,6 +71,30 @@ def item_lines(t: Tables, p: Params, valid_only: bool, items: DataFrame | None =
     ).drop("_valid")
 
 
+def product_lines(t: Tables, p: Params) -> DataFrame:
+    """Line measures per (prod_id, category, order_id), all statuses, with ``ok``
+    marking lines of valid orders — the shared input of KPI 3, 6, 13, 14 and
+    exports 3 and 6.
+
+    Lines of unknown products are dropped (every line-level job joins
+    products); products are attached first and the order join last, so the
+    output is hash-partitioned by order_id and the (key, order_id) groupings
+    downstream need no further line-sized shuffle. Validity is a property of
+    the order, so valid-only measures are the rows with ``ok``.
+    """
+    items = t.order_items.select("order_id", "prod_id", "quantity", "unit_price", "discount")
+    items = items.join(t.products.select("prod_id", "category"), "prod_id", "inner")
+    lines = item_lines(t, p, valid_only=False, items=items)
+    return lines.groupBy("prod_id", "category", "order_id").agg(
+        F.sum("quantity").alias("q"),
+        F.sum("net").alias("net"),
+        F.sum("gross").alias("gross"),
+        F.sum("unit_price").alias("up"),
+        F.count("unit_price").alias("nup"),
+        F.coalesce(F.max(F.col("valid_order_id").isNotNull()), F.lit(False)).alias("ok"),
+    )
+
+
 class Marts:
     """Lazily built, optionally persisted marts for one run."""
 
@@ -92,6 +116,9 @@ class Marts:
     def store_orders(self) -> DataFrame:
         return self._get("store_orders", store_orders)
 
+    def product_lines(self) -> DataFrame:
+        return self._get("product_lines", product_lines)
+
     def release(self) -> None:
         for df in self._cache.values():
             if self.persist:

@@ -13,38 +13,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 from shopsight.functions.semantics import div_round, money, pct, stock_status
 from shopsight.operators.ranking import desc, rank_window
 from shopsight.params import Params
-from shopsight.plans.marts import item_lines
-from shopsight.plans.sales import category_lines
+from shopsight.plans.sales import _product_lines, category_rollup, product_rollup
 from shopsight.sources.tables import Tables
 
 
-def _lines_per_key(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, order_id) then keys; distinct *valid* order ids counted.
-
-    Lines come out of the order join hash-partitioned by order_id, which
-    already clusters the first level.
-    """
-    first = lines.groupBy(*keys, "order_id").agg(
-        F.sum("quantity").alias("q"),
-        F.sum("net").alias("v"),
-        F.sum("unit_price").alias("up"),
-        F.count("unit_price").alias("nup"),
-        F.max(F.col("valid_order_id").isNotNull()).alias("ok"),
-        F.count(F.lit(1)).alias("n_lines"),
-    )
-    return first.groupBy(*keys).agg(
-        F.sum("q").alias("units"),
-        F.sum("v").alias("rev"),
-        F.sum("up").alias("price_sum"),
-        F.sum("nup").alias("price_n"),
-        F.count(F.when(F.col("ok") & F.col("order_id").isNotNull(), 1)).alias("n_orders"),
-    )
-
-
-def product_sales_all_status(t: Tables, p: Params) -> DataFrame:
+def product_sales_all_status(t: Tables, p: Params, marts=None) -> DataFrame:
     """Per prod_id over all lines of existing products (status ignored for sums)."""
-    lines = item_lines(t, p, valid_only=False)
-    return _lines_per_key(lines, ["prod_id"])
+    return product_rollup(_product_lines(t, p, marts), False, "net")
 
 
 def inventory_by_product(t: Tables) -> DataFrame:
@@ -54,9 +29,10 @@ def inventory_by_product(t: Tables) -> DataFrame:
     )
 
 
-def product_performance(t: Tables, p: Params = Params(), sort: bool = True) -> DataFrame:
+def product_performance(t: Tables, p: Params = Params(), marts=None,
+                        sort: bool = True) -> DataFrame:
     """KPI 13: per product; rank within category on unrounded revenue, NULLS LAST."""
-    ps = product_sales_all_status(t, p)
+    ps = product_sales_all_status(t, p, marts).withColumnRenamed("value", "rev")
     inv = inventory_by_product(t)
     prods = t.products.select("prod_id", "prod_name", "category", "brand", "price")
     j = prods.join(ps, "prod_id", "left").join(inv, "prod_id", "left")
@@ -86,17 +62,17 @@ def product_performance(t: Tables, p: Params = Params(), sort: bool = True) -> D
     return out.drop("_rev")
 
 
-def category_performance(t: Tables, p: Params = Params()) -> DataFrame:
+def category_performance(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """KPI 14: per category, unsold products counted; share of all revenue.
 
-    One pass over the lines: lines (all statuses) meet their category, are
-    grouped per (category, order_id) — clustered already by the order join —
-    and then per category. Product counts come from the products table, so
+    One pass over the product-lines mart (all statuses): grouped per
+    (category, order_id) — clustered already by the order join — and then per
+    category. Product counts come from the products table, so
     categories and products without sales stay in. The share window runs
     over one row per category.
     """
-    lines = category_lines(t, p, valid_only=False)
-    per_cat = _lines_per_key(lines, ["category"])
+    per_cat = category_rollup(_product_lines(t, p, marts), False, "net").withColumnRenamed(
+        "value", "rev")
     counts = t.products.groupBy("category").agg(F.count_distinct("prod_id").alias("product_count"))
     g = counts.join(per_cat, counts["category"].eqNullSafe(per_cat["category"]), "left").select(
         counts["category"], "product_count", "units", "rev", "price_sum", "price_n", "n_orders"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from shopsight.functions.semantics import as_of_date, div_round, money, pct
 from shopsight.params import Params
-from shopsight.plans.marts import item_lines, valid_orders
+from shopsight.plans.marts import product_lines, valid_orders
 from shopsight.sources.tables import Tables
 
 
@@ -59,49 +59,57 @@ def monthly_revenue_trend(t: Tables, p: Params = Params()) -> DataFrame:
     ).orderBy("month_date")
 
 
-def _per_order_then_group(lines: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Two-level aggregation: (keys, order_id) then keys.
+def _product_lines(t: Tables, p: Params, marts=None) -> DataFrame:
+    return marts.product_lines() if marts is not None else product_lines(t, p)
 
-    ``COUNT(DISTINCT order_id)`` per key needs the (key, order_id) pairs; the
-    lines arrive hash-partitioned by order_id from the order join, which
-    already satisfies the first grouping, so only the small second level
-    shuffles.
+
+def category_rollup(pl: DataFrame, valid_only: bool, measure: str) -> DataFrame:
+    """Per category from the product-lines mart.
+
+    ``COUNT(DISTINCT order_id)`` per category needs (category, order_id)
+    pairs; the mart is hash-partitioned by order_id, which already clusters
+    that first grouping, so only the small second level shuffles.
     """
-    per_order = lines.groupBy(*keys, "order_id").agg(
-        F.sum(value).alias("v"),
-        F.sum("quantity").alias("q"),
-        F.sum("unit_price").alias("up"),
-        F.count("unit_price").alias("nup"),
+    if valid_only:
+        pl = pl.filter("ok")
+    per_order = pl.groupBy("category", "order_id").agg(
+        F.sum(measure).alias("v"),
+        F.sum("q").alias("q"),
+        F.sum("up").alias("up"),
+        F.sum("nup").alias("nup"),
+        F.max(F.col("ok") & F.col("order_id").isNotNull()).alias("ok"),
     )
-    return per_order.groupBy(*keys).agg(
+    return per_order.groupBy("category").agg(
         F.sum("v").alias("value"),
         F.sum("q").alias("units"),
-        F.count("order_id").alias("n_orders"),
+        F.count_if("ok").alias("n_orders"),
         F.sum("up").alias("price_sum"),
         F.sum("nup").alias("price_n"),
     )
 
 
-def category_lines(t: Tables, p: Params, valid_only: bool = True) -> DataFrame:
-    """Order lines with their product category (inner join with products).
-
-    Products are attached first and the order join comes last: its output is
-    hash-partitioned by order_id, which already clusters the following
-    (category, order_id) grouping — two line-sized shuffles instead of three
-    when neither side can be broadcast.
-    """
-    items = t.order_items.select("order_id", "prod_id", "quantity", "unit_price", "discount")
-    items = items.join(t.products.select("prod_id", "category"), "prod_id", "inner")
-    return item_lines(t, p, valid_only, items=items)
+def product_rollup(pl: DataFrame, valid_only: bool, measure: str) -> DataFrame:
+    """Per product from the product-lines mart ((prod_id, order_id) is unique
+    there, so counting rows with ``ok`` counts distinct valid orders)."""
+    if valid_only:
+        pl = pl.filter("ok")
+    return pl.groupBy("prod_id").agg(
+        F.sum(measure).alias("value"),
+        F.sum("q").alias("units"),
+        F.count_if(F.col("ok") & F.col("order_id").isNotNull()).alias("n_orders"),
+        F.sum("up").alias("price_sum"),
+        F.sum("nup").alias("price_n"),
+    )
 
 
-def revenue_by_category(t: Tables, p: Params = Params(), measure: str = "net") -> DataFrame:
+def revenue_by_category(t: Tables, p: Params = Params(), measure: str = "net",
+                        marts=None) -> DataFrame:
     """KPI 3 (NET revenue). ``measure='gross'`` gives export 3's variant.
 
     Aggregating per category first makes the share-of-total window run over
     one row per category.
     """
-    g = _per_order_then_group(category_lines(t, p), ["category"], measure)
+    g = category_rollup(_product_lines(t, p, marts), True, measure)
     scale = 6 if measure == "net" else 2
     total = F.sum("value").over(Window.partitionBy())
     g = g.withColumn("total", total)
@@ -164,21 +172,19 @@ def daily_sales_30d(t: Tables, p: Params = Params()) -> DataFrame:
     ).orderBy("sale_date")
 
 
-def product_sales(t: Tables, p: Params, measure: str = "net") -> DataFrame:
-    """Per prod_id over lines of valid orders (before attaching products)."""
-    lines = item_lines(t, p, valid_only=True)
-    return _per_order_then_group(lines, ["prod_id"], measure)
+def product_sales(t: Tables, p: Params, measure: str = "net", marts=None) -> DataFrame:
+    """Per prod_id over lines of valid orders of existing products."""
+    return product_rollup(_product_lines(t, p, marts), True, measure)
 
 
-def top_products(t: Tables, p: Params = Params()) -> DataFrame:
+def top_products(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """KPI 6: top ``n`` products by rounded NET revenue (ties: prod_id).
 
-    Per-product aggregates are filtered to existing products (the inner join)
-    and cut to the top n with a distributed top-k (TakeOrderedAndProject);
+    Per-product aggregates (of existing products: the mart joins products)
+    are cut to the top n with a distributed top-k (TakeOrderedAndProject);
     only the n winners meet the product names.
     """
-    ps = product_sales(t, p)
-    ps = ps.join(t.products.select("prod_id"), "prod_id", "left_semi")
+    ps = product_sales(t, p, marts=marts)
     ranked = ps.select(
         "prod_id",
         F.col("units").cast("long").alias("units_sold"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from shopsight.functions.semantics import div_round, money, pct, tier
-from shopsight.operators.ranking import asc, desc, rank_window
+from shopsight.operators.ranking import asc, desc, rank_windows
 from shopsight.params import STORE_TIER_DEFAULT, Params
 from shopsight.plans.marts import store_orders, valid_orders
 from shopsight.sources.tables import Tables
@@ -46,11 +46,17 @@ def store_performance(t: Tables, p: Params = Params(), marts=None, sort: bool =
     not become one task.
     """
     ss = store_sales(t, p, marts).withColumn("profit_x", F.col("rev") - F.col("exp"))
-    kw = dict(tiebreak=["store_id"], bucket_rows=p.rank_bucket_rows)
-    r = rank_window(ss, [desc("rev")], outputs={"overall_rank": "rank"}, **kw)
-    r = rank_window(r, [desc("rev")], outputs={"regional_rank": "rank"},
-                    partition_by=["region"], **kw)
-    r = rank_window(r, [asc("rev")], outputs={"prank": "percent_rank"}, **kw)
+    r = rank_windows(
+        ss,
+        [
+            {"order": [desc("rev")], "outputs": {"overall_rank": "rank"}},
+            {"order": [desc("rev")], "outputs": {"regional_rank": "rank"},
+             "partition_by": ["region"]},
+            {"order": [asc("rev")], "outputs": {"prank": "percent_rank"}},
+        ],
+        tiebreak=["store_id"],
+        bucket_rows=p.rank_bucket_rows,
+    )
     out = r.select(
         "store_id", "store_name", "city", "region", "total_orders", "unique_customers",
         money("rev").alias("revenue"),

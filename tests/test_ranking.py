@@ -81,3 +81,24 @@ def test_no_single_partition_window_over_rows(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     # windows over the rows are partitioned by the bucket
     assert "_bucket" in plan
+
+
+@pytest.mark.parametrize("bucket_rows", [13, 10_000])
+def test_rank_windows_several_orderings(spark, bucket_rows):
+    from shopsight.operators.ranking import rank_windows
+
+    df = _frame(spark, n=400)
+    got = rank_windows(
+        df,
+        [{"order": [desc("v")], "outputs": {"a": "rank"}},
+         {"order": [asc("d")], "outputs": {"b": ("ntile", 5)}, "partition_by": ["g"]},
+         {"order": [asc("v")], "outputs": {"c": "percent_rank"}}],
+        tiebreak=["k"], bucket_rows=bucket_rows,
+    ).select("k", "a", "b", "c")
+    want = df.select(
+        "k",
+        F.rank().over(Window.orderBy(F.col("v").desc_nulls_first())).cast("long").alias("a"),
+        F.ntile(5).over(Window.partitionBy("g").orderBy(F.col("d").asc_nulls_last(), "k")).cast("long").alias("b"),
+        F.percent_rank().over(Window.orderBy(F.col("v").asc_nulls_last())).alias("c"),
+    )
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
