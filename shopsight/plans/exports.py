@@ -91,15 +91,32 @@ def export_top_products(t: Tables, p: Params = Params(), marts=None) -> DataFram
     )
 
 
+# name: (payload function, bounded). Bounded payloads (one row, months,
+# categories, segments, top n) become one {generated_at, data} document.
+# The store payload has one element per store, so it grows with the data: it
+# is written as JSON lines over many files (``lines_document``) instead of one
+# array value built in a single task.
 EXPORTS = {
-    # name: (payload function, is_single_object, ordering of the JSON array)
-    "sales_overview": (export_sales_overview, True, None),
-    "monthly_trends": (export_monthly_trends, False, None),
-    "category_sales": (export_category_sales, False, None),
-    "customer_segments": (export_customer_segments, False, None),
-    "store_performance": (export_store_performance, False, None),
-    "top_products": (export_top_products, False, None),
+    "sales_overview": (export_sales_overview, True),
+    "monthly_trends": (export_monthly_trends, True),
+    "category_sales": (export_category_sales, True),
+    "customer_segments": (export_customer_segments, True),
+    "store_performance": (export_store_performance, False),
+    "top_products": (export_top_products, True),
 }
+SINGLE_OBJECT = {"sales_overview"}
+
+
+def lines_document(payload: DataFrame, generated_at: Column | None = None) -> DataFrame:
+    """Per-entity payload as JSON lines: one ``{generated_at, ...fields}`` object
+    per row, in the payload's order (range-partitioned sort, so part files
+    follow each other in order). Null fields are kept."""
+    ts = generated_at if generated_at is not None else F.current_timestamp()
+    cols = payload.columns
+    return payload.select(
+        F.to_json(F.struct(ts.alias("generated_at"), *cols), {"ignoreNullFields": "false"})
+        .alias("json")
+    )
 
 
 def document(payload: DataFrame, single: bool, generated_at: Column | None = None,

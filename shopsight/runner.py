@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession, functions as F
 from shopsight.functions.display import currency_display, short_label, status_slug
 from shopsight.params import FIXTURE_AS_OF, Params
 from shopsight.plans import catalog
-from shopsight.plans.exports import EXPORTS
+from shopsight.plans.exports import EXPORTS, SINGLE_OBJECT
 from shopsight.plans.marts import Marts
 from shopsight.plans.registry import JOBS
 from shopsight.sinks import AuditLog, refresh_rows, write_document, write_table
@@ -68,13 +68,14 @@ def run_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None
             status, err = audit.timed(name, lambda: write_table(df, path("kpis", name), name))
             if status != "SUCCESS" and fail_fast:
                 raise RuntimeError(f"{name} failed: {err}")
-        for name, (fn, single, _) in EXPORTS.items():
+        for name, (fn, bounded) in EXPORTS.items():
             payload = _call(fn, t, params, marts)
             target = path("data", f"{name}.json")
             holder = {}
 
-            def job(payload=payload, target=target, single=single):
-                n, _ = write_document(payload, single, target, generated_at)
+            def job(payload=payload, target=target, single=name in SINGLE_OBJECT,
+                    bounded=bounded):
+                n, _ = write_document(payload, single, target, generated_at, bounded)
                 holder["n"] = n
                 return n, "SUCCESS"
 

@@ -14,7 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from shopsight.plans.exports import document
+from shopsight.plans.exports import document, lines_document
 
 EXECUTION_LOG_SCHEMA = (
     "log_id STRING, kpi_name STRING, executed_at TIMESTAMP_NTZ, execution_time_ms INT, "
@@ -47,28 +47,31 @@ def write_table(df: DataFrame, path: str | None, name: str) -> tuple[int, str]:
 
 
 def write_document(payload: DataFrame, single: bool, path: str | None,
-                   generated_at: dt.datetime) -> tuple[int, DataFrame]:
-    """Write the ``{generated_at, data}`` JSON document as one text file.
-
-    The payload is bounded by the export's definition, so the document is a
-    single row; ``coalesce(1)`` only merges that one row's partition.
-    """
+                   generated_at: dt.datetime, bounded: bool = True) -> tuple[int, DataFrame]:
+    """Write an export: bounded payloads as one ``{generated_at, data}`` JSON
+    document in one text file (``coalesce(1)`` merges a single row), per-entity
+    payloads as JSON lines over many files (no single task holds them)."""
     obs = Observation("payload_rows")
     counted = payload.observe(obs, F.count(F.lit(1)).alias("rows"))
-    doc = document(counted, single, generated_at=F.lit(generated_at))
+    if bounded:
+        doc = document(counted, single, generated_at=F.lit(generated_at))
+        out = doc.coalesce(1)
+    else:
+        doc = lines_document(counted, generated_at=F.lit(generated_at))
+        out = doc
     if path is None:
         doc.write.format("noop").mode("overwrite").save()
     else:
-        doc.coalesce(1).write.mode("overwrite").text(path)
+        out.write.mode("overwrite").text(path)
     return int(obs.get["rows"]), doc
 
 
 def refresh_rows(spark: SparkSession, path: str, data_file: str, record_count: int,
                  refreshed_at: dt.datetime) -> DataFrame:
-    """One refresh_history row, with the size read back from the written files."""
-    files = spark.read.text(path).select(F.col("_metadata.file_path").alias("f"),
-                                         F.col("_metadata.file_size").alias("s")).distinct()
-    size = files.agg(F.sum("s").alias("bytes"))
+    """One refresh_history row; the size is read back from the written files'
+    metadata (the binaryFile source reads file contents only when asked)."""
+    files = spark.read.format("binaryFile").load(path).select("length")
+    size = files.agg(F.sum("length").alias("bytes"))
     return size.select(
         F.lit(str(uuid.uuid4())).alias("refresh_id"),
         F.lit(data_file).alias("data_file"),

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from shopsight.params import Params
-from shopsight.plans.exports import EXPORTS
+from shopsight.plans.exports import EXPORTS, SINGLE_OBJECT
 from shopsight.plans.marts import Marts
 from shopsight.session import checkpoint_dir
 from shopsight.sinks import refresh_rows, write_document
@@ -39,10 +39,11 @@ def refresh_documents(spark: SparkSession, tables_root: str, out_dir: str,
     refreshed_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = None
     try:
-        for name, (fn, single, _) in EXPORTS.items():
+        for name, (fn, bounded) in EXPORTS.items():
             kwargs = {"marts": marts} if "marts" in inspect.signature(fn).parameters else {}
             target = os.path.join(out_dir, "data", f"{name}.json")
-            n, _ = write_document(fn(tables, params, **kwargs), single, target, refreshed_at)
+            n, _ = write_document(fn(tables, params, **kwargs), name in SINGLE_OBJECT, target,
+                                  refreshed_at, bounded)
             r = refresh_rows(spark, target, f"{name}.json", n, refreshed_at)
             rows = r if rows is None else rows.unionByName(r)
         rows.write.mode("append").parquet(os.path.join(out_dir, "analytics", "refresh_history"))
