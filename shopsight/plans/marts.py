@@ -71,27 +71,45 @@ def item_lines(t: Tables, p: Params, valid_only: bool, items: DataFrame | None =
     ).drop("_valid")
 
 
-def product_lines(t: Tables, p: Params) -> DataFrame:
-    """Line measures per (prod_id, category, order_id), all statuses, with ``ok``
-    marking lines of valid orders — the shared input of KPI 3, 6, 13, 14 and
-    exports 3 and 6.
-
-    Lines of unknown products are dropped (every line-level job joins
-    products); products are attached first and the order join last, so the
-    output is hash-partitioned by order_id and the (key, order_id) groupings
-    downstream need no further line-sized shuffle. Validity is a property of
-    the order, so valid-only measures are the rows with ``ok``.
+def line_measures(t: Tables, p: Params, with_category: bool = True) -> DataFrame:
+    """Order lines of existing products with their category and validity.
+
+    Columns: prod_id, category, order_id, q, net, gross, up, nup, ok — the
+    same names as ``product_lines``, so the rollups accept either. Products
+    are attached first and the order join last, so rows come out
+    hash-partitioned by order_id and the (key, order_id) groupings downstream
+    need no further line-sized shuffle. Validity is a property of the order:
+    valid-only measures are the rows with ``ok``.
+
+    Per-product jobs pass ``with_category=False``: they attach products after
+    aggregating (product-grain rows), saving the line-sized prod_id shuffle;
+    lines of unknown products are then dropped by that later join.
     """
     items = t.order_items.select("order_id", "prod_id", "quantity", "unit_price", "discount")
-    items = items.join(t.products.select("prod_id", "category"), "prod_id", "inner")
+    if with_category:
+        items = items.join(t.products.select("prod_id", "category"), "prod_id", "inner")
     lines = item_lines(t, p, valid_only=False, items=items)
-    return lines.groupBy("prod_id", "category", "order_id").agg(
-        F.sum("quantity").alias("q"),
+    return lines.select(
+        "prod_id", *(["category"] if with_category else []), "order_id",
+        F.col("quantity").alias("q"),
+        "net",
+        "gross",
+        F.col("unit_price").alias("up"),
+        F.when(F.col("unit_price").isNotNull(), 1).otherwise(0).alias("nup"),
+        F.col("valid_order_id").isNotNull().alias("ok"),
+    )
+
+
+def product_lines(t: Tables, p: Params) -> DataFrame:
+    """``line_measures`` summed per (prod_id, category, order_id): the shared,
+    persisted input of KPI 3, 6, 13, 14 and exports 3, 6 in a full run."""
+    return line_measures(t, p).groupBy("prod_id", "category", "order_id").agg(
+        F.sum("q").alias("q"),
         F.sum("net").alias("net"),
         F.sum("gross").alias("gross"),
-        F.sum("unit_price").alias("up"),
-        F.count("unit_price").alias("nup"),
-        F.coalesce(F.max(F.col("valid_order_id").isNotNull()), F.lit(False)).alias("ok"),
+        F.sum("up").alias("up"),
+        F.sum("nup").alias("nup"),
+        F.max("ok").alias("ok"),
     )
 
 

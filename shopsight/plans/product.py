@@ -19,7 +19,7 @@ from shopsight.sources.tables import Tables
 
 def product_sales_all_status(t: Tables, p: Params, marts=None) -> DataFrame:
     """Per prod_id over all lines of existing products (status ignored for sums)."""
-    return product_rollup(_product_lines(t, p, marts), False, "net")
+    return product_rollup(_product_lines(t, p, marts, with_category=False), False, "net")
 
 
 def inventory_by_product(t: Tables) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from shopsight.functions.semantics import as_of_date, div_round, money, pct
 from shopsight.params import Params
-from shopsight.plans.marts import product_lines, valid_orders
+from shopsight.plans.marts import line_measures, valid_orders
 from shopsight.sources.tables import Tables
 
 
@@ -59,12 +59,15 @@ def monthly_revenue_trend(t: Tables, p: Params = Params()) -> DataFrame:
     ).orderBy("month_date")
 
 
-def _product_lines(t: Tables, p: Params, marts=None) -> DataFrame:
-    return marts.product_lines() if marts is not None else product_lines(t, p)
+def _product_lines(t: Tables, p: Params, marts=None, with_category: bool = True) -> DataFrame:
+    """The persisted mart in a full run; line-level rows for a single job."""
+    if marts is not None:
+        return marts.product_lines()
+    return line_measures(t, p, with_category)
 
 
 def category_rollup(pl: DataFrame, valid_only: bool, measure: str) -> DataFrame:
-    """Per category from the product-lines mart.
+    """Per category from line rows or the product-lines mart.
 
     ``COUNT(DISTINCT order_id)`` per category needs (category, order_id)
     pairs; the mart is hash-partitioned by order_id, which already clusters
@@ -89,14 +92,21 @@ def category_rollup(pl: DataFrame, valid_only: bool, measure: str) -> DataFrame:
 
 
 def product_rollup(pl: DataFrame, valid_only: bool, measure: str) -> DataFrame:
-    """Per product from the product-lines mart ((prod_id, order_id) is unique
-    there, so counting rows with ``ok`` counts distinct valid orders)."""
+    """Per product from line rows or the mart: (prod_id, order_id) first — no
+    shuffle on the order_id-partitioned input — so distinct orders count once."""
     if valid_only:
         pl = pl.filter("ok")
-    return pl.groupBy("prod_id").agg(
-        F.sum(measure).alias("value"),
+    per_order = pl.groupBy("prod_id", "order_id").agg(
+        F.sum(measure).alias("v"),
+        F.sum("q").alias("q"),
+        F.sum("up").alias("up"),
+        F.sum("nup").alias("nup"),
+        F.max(F.col("ok") & F.col("order_id").isNotNull()).alias("ok"),
+    )
+    return per_order.groupBy("prod_id").agg(
+        F.sum("v").alias("value"),
         F.sum("q").alias("units"),
-        F.count_if(F.col("ok") & F.col("order_id").isNotNull()).alias("n_orders"),
+        F.count_if("ok").alias("n_orders"),
         F.sum("up").alias("price_sum"),
         F.sum("nup").alias("price_n"),
     )
@@ -173,15 +183,16 @@ def daily_sales_30d(t: Tables, p: Params = Params()) -> DataFrame:
 
 
 def product_sales(t: Tables, p: Params, measure: str = "net", marts=None) -> DataFrame:
-    """Per prod_id over lines of valid orders of existing products."""
-    return product_rollup(_product_lines(t, p, marts), True, measure)
+    """Per prod_id over lines of valid orders of existing products (the inner
+    join with products becomes a semi join on product-grain rows)."""
+    ps = product_rollup(_product_lines(t, p, marts, with_category=False), True, measure)
+    return ps.join(t.products.select("prod_id"), "prod_id", "left_semi")
 
 
 def top_products(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """KPI 6: top ``n`` products by rounded NET revenue (ties: prod_id).
 
-    Per-product aggregates (of existing products: the mart joins products)
-    are cut to the top n with a distributed top-k (TakeOrderedAndProject);
+    Per-product aggregates (of existing products) are cut to the top n with a distributed top-k (TakeOrderedAndProject);
     only the n winners meet the product names.
     """
     ps = product_sales(t, p, marts=marts)
