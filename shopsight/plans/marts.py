@@ -71,7 +71,8 @@ def item_lines(t: Tables, p: Params, valid_only: bool, items: DataFrame | None =
     ).drop("_valid")
 
 
-def line_measures(t: Tables, p: Params, with_category: bool = True) -> DataFrame:
+def line_measures(t: Tables, p: Params, with_category: bool = True,
+                  valid_only: bool = False) -> DataFrame:
     """Order lines of existing products with their category and validity.
 
     Columns: prod_id, category, order_id, q, net, gross, up, nup, ok — the
@@ -84,11 +85,13 @@ def line_measures(t: Tables, p: Params, with_category: bool = True) -> DataFrame
     Per-product jobs pass ``with_category=False``: they attach products after
     aggregating (product-grain rows), saving the line-sized prod_id shuffle;
     lines of unknown products are then dropped by that later join.
+    ``valid_only`` inner-joins the valid orders (KPI 3, 6, exports 3, 6): the
+    join drops the other lines instead of flagging them.
     """
     items = t.order_items.select("order_id", "prod_id", "quantity", "unit_price", "discount")
     if with_category:
         items = items.join(t.products.select("prod_id", "category"), "prod_id", "inner")
-    lines = item_lines(t, p, valid_only=False, items=items)
+    lines = item_lines(t, p, valid_only=valid_only, items=items)
     return lines.select(
         "prod_id", *(["category"] if with_category else []), "order_id",
         F.col("quantity").alias("q"),

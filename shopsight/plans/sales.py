@@ -59,11 +59,12 @@ def monthly_revenue_trend(t: Tables, p: Params = Params()) -> DataFrame:
     ).orderBy("month_date")
 
 
-def _product_lines(t: Tables, p: Params, marts=None, with_category: bool = True) -> DataFrame:
+def _product_lines(t: Tables, p: Params, marts=None, with_category: bool = True,
+                   valid_only: bool = False) -> DataFrame:
     """The persisted mart in a full run; line-level rows for a single job."""
     if marts is not None:
         return marts.product_lines()
-    return line_measures(t, p, with_category)
+    return line_measures(t, p, with_category, valid_only)
 
 
 def category_rollup(pl: DataFrame, valid_only: bool, measure: str) -> DataFrame:
@@ -119,7 +120,7 @@ def revenue_by_category(t: Tables, p: Params = Params(), measure: str = "net",
     Aggregating per category first makes the share-of-total window run over
     one row per category.
     """
-    g = category_rollup(_product_lines(t, p, marts), True, measure)
+    g = category_rollup(_product_lines(t, p, marts, valid_only=True), True, measure)
     scale = 6 if measure == "net" else 2
     total = F.sum("value").over(Window.partitionBy())
     g = g.withColumn("total", total)
@@ -185,7 +186,8 @@ def daily_sales_30d(t: Tables, p: Params = Params()) -> DataFrame:
 def product_sales(t: Tables, p: Params, measure: str = "net", marts=None) -> DataFrame:
     """Per prod_id over lines of valid orders of existing products (the inner
     join with products becomes a semi join on product-grain rows)."""
-    ps = product_rollup(_product_lines(t, p, marts, with_category=False), True, measure)
+    ps = product_rollup(_product_lines(t, p, marts, with_category=False, valid_only=True), True,
+                        measure)
     return ps.join(t.products.select("prod_id"), "prod_id", "left_semi")
 
 

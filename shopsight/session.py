@@ -40,19 +40,28 @@ def build_session(master: str | None = None, app: str = "shopsight",
     return b.getOrCreate()
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster's setting is always used when present. Only when it is unset
-    (local runs and tests) a scratch folder is created and registered.
+    on a local master (local runs and tests) a scratch folder is created and
+    registered; on a cluster without the setting this raises instead of
+    falling back to a machine-local folder. Under Spark Connect there is no
+    SparkContext: the server's own ``spark.checkpoint.dir`` applies.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect
+        return current
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        sc.setCheckpointDir(current)
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder on the cluster")
     path = tempfile.mkdtemp(prefix="shopsight-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
