@@ -290,8 +290,9 @@ def rank_windows(
 
     The input is checkpointed and counted once. When it fits one bucket all
     windows run directly; otherwise each spec runs the bucketed path in turn
-    (each ordering needs its own buckets), every step reading the previous
-    step's checkpoint.
+    (each ordering needs its own buckets). A step's output is its
+    checkpointed numbered rows joined to a small broadcast bucket table, so
+    the next step reads it without writing another copy.
     """
     df = _checkpoint(df)
     if df.count() <= bucket_rows:
@@ -299,11 +300,11 @@ def rank_windows(
             df = _builtin_window(df, spec["order"], tiebreak, spec["outputs"],
                                  list(spec.get("partition_by", ())))
         return df
-    for i, spec in enumerate(specs):
+    for spec in specs:
         df = rank_window(df, spec["order"], tiebreak, spec["outputs"],
                          partition_by=spec.get("partition_by", ()), bucket_rows=bucket_rows,
                          materialize=True, _skip_small_check=True,
-                         _input_checkpointed=(i == 0), **kw)
+                         _input_checkpointed=True, **kw)
     return df
 
 

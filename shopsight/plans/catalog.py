@@ -96,18 +96,57 @@ METRICS = {
 
 
 def metric_mart(t: Tables) -> DataFrame:
-    out = None
-    for fn in METRICS.values():
-        df = fn(t)
-        out = df if out is None else out.unionByName(df)
-    return out
+    """All seven metrics in long format with two passes over orders.
+
+    The three global order formulas share one aggregation (unpivoted to
+    rows); the per-customer and per-store sums share one GROUPING SETS pass
+    (one scan, one shuffle of partial sums). Values equal the single-metric
+    jobs above.
+    """
+    o = t.orders
+    g = o.agg(
+        F.sum(F.when(F.col("order_status") != "Cancelled", F.col("total_amount"))).alias("rev"),
+        t.distinct_count("orders", "order_id").alias("n"),
+        F.sum("total_amount").alias("s"),
+        F.count("order_id").alias("c"),
+    ).select(
+        F.col("rev").cast("double").alias("total_revenue"),
+        F.col("n").cast("double").alias("order_count"),
+        div_round("s", "c", 6, num_scale=2).alias("avg_order_value"),
+    )
+    glob = g.unpivot([], ["total_revenue", "order_count", "avg_order_value"], "metric", "value")
+    glob = glob.select(
+        "metric", F.lit("all").alias("entity_type"), F.lit(None).cast("long").alias("entity_id"),
+        F.col("value").cast("double"),
+    )
+    per = o.groupingSets([["cust_id"], ["store_id"]], "cust_id", "store_id").agg(
+        F.sum("total_amount").alias("value"), F.grouping_id().alias("gid")
+    )
+    by_customer = F.col("gid") == 1  # store_id rolled up: the (cust_id) set
+    per = per.select(
+        F.when(by_customer, "customer_lifetime_value").otherwise("store_revenue").alias("metric"),
+        F.when(by_customer, "customer").otherwise("store").alias("entity_type"),
+        F.when(by_customer, F.col("cust_id")).otherwise(F.col("store_id")).cast("long")
+        .alias("entity_id"),
+        F.col("value").cast("double"),
+    )
+    return (
+        glob.unionByName(per)
+        .unionByName(metric_customer_count(t))
+        .unionByName(metric_product_sales(t))
+    )
 
 
 def registry(spark: SparkSession, owner: str | None = None,
              created_at: dt.datetime | None = None) -> DataFrame:
     """The metric registry (kpi_metadata) as a small DataFrame: 7 fixed rows."""
     created = created_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    who = owner or spark.sparkContext.sparkUser()
+    if owner is None:  # DEFAULT CURRENT_USER
+        try:
+            owner = spark.sparkContext.sparkUser()
+        except Exception:  # Spark Connect: no SparkContext
+            owner = spark.sql("SELECT current_user()").first()[0]
+    who = owner
     rows = [(i + 1, *r, who, created) for i, r in enumerate(REGISTRY)]
     return spark.createDataFrame(
         rows,

@@ -58,7 +58,14 @@ def item_lines(t: Tables, p: Params, valid_only: bool, items: DataFrame | None =
     still count for units and revenue (KPI 13, 14), exactly as the LEFT JOIN
     with the status test in its ON clause does.
     """
-    v = valid_orders(t, p).select("order_id", F.lit(True).alias("_valid"))
+    # The two largest tables meet here; at any real scale neither side can be
+    # broadcast. Shuffle-hash join: the build side is one entry per valid
+    # order (unique key, so no hot key and a per-partition size of about
+    # orders / partitions), the line side is never sorted, and the output
+    # stays hash-partitioned by order_id for the groupings that follow. The
+    # hint also keeps small inputs from being planned as one broadcast probe
+    # inside a single scan task.
+    v = valid_orders(t, p).select("order_id", F.lit(True).alias("_valid")).hint("shuffle_hash")
     if items is None:
         items = t.order_items.select("order_id", "prod_id", "quantity", "unit_price", "discount")
     how = "inner" if valid_only else "left"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
-
 from pyspark.sql import DataFrame, functions as F
 
 TABLE_NAMES = (
@@ -29,27 +27,51 @@ SCHEMAS = {
 DIMENSION_KEYS = {"products": "prod_id", "stores": "store_id", "customers": "cust_id"}
 
 
-@dataclass(frozen=True)
 class Tables:
-    orders: DataFrame
-    order_items: DataFrame
-    products: DataFrame
-    inventory: DataFrame
-    stores: DataFrame
-    expenses: DataFrame
-    customers: DataFrame
-    # Declared unique keys beyond the dimension keys, e.g. {"orders": "order_id"}.
-    # A declared unique order_id lets COUNT(DISTINCT order_id) over orders
-    # alone become COUNT(order_id) (no distinct shuffle of every order id).
-    unique_keys: dict = field(default_factory=dict)
+    """The seven logical tables, each given as a DataFrame or built on first use.
+
+    ``factories`` maps table names to zero-argument callables; a job that
+    touches two tables only ever builds (and analyzes) those two.
+    """
+
+    def __init__(self, orders: DataFrame | None = None, order_items: DataFrame | None = None,
+                 products: DataFrame | None = None, inventory: DataFrame | None = None,
+                 stores: DataFrame | None = None, expenses: DataFrame | None = None,
+                 customers: DataFrame | None = None, unique_keys: dict | None = None,
+                 factories: dict | None = None):
+        given = dict(orders=orders, order_items=order_items, products=products,
+                     inventory=inventory, stores=stores, expenses=expenses, customers=customers)
+        self._frames = {k: v for k, v in given.items() if v is not None}
+        self._factories = dict(factories or {})
+        missing = [n for n in TABLE_NAMES if n not in self._frames and n not in self._factories]
+        if missing:
+            raise ValueError(f"tables not given: {missing}")
+        # Declared unique keys beyond the dimension keys, e.g. {"orders": "order_id"}.
+        # A declared unique order_id lets COUNT(DISTINCT order_id) over orders
+        # alone become COUNT(order_id) (no distinct shuffle of every order id).
+        self.unique_keys = dict(unique_keys or {})
 
     def get(self, name: str) -> DataFrame:
-        return getattr(self, name)
+        if name not in self._frames:
+            self._frames[name] = self._factories[name]()
+        return self._frames[name]
+
+    orders = property(lambda self: self.get("orders"))
+    order_items = property(lambda self: self.get("order_items"))
+    products = property(lambda self: self.get("products"))
+    inventory = property(lambda self: self.get("inventory"))
+    stores = property(lambda self: self.get("stores"))
+    expenses = property(lambda self: self.get("expenses"))
+    customers = property(lambda self: self.get("customers"))
+
+    def __repr__(self) -> str:
+        return f"Tables(built={sorted(self._frames)}, unique_keys={self.unique_keys})"
 
     def with_unique(self, table: str, column: str) -> "Tables":
         keys = dict(self.unique_keys)
         keys[table] = column
-        return replace(self, unique_keys=keys)
+        out = Tables(unique_keys=keys, factories={n: (lambda n=n: self.get(n)) for n in TABLE_NAMES})
+        return out
 
     def is_unique(self, table: str, column: str) -> bool:
         return self.unique_keys.get(table) == column or DIMENSION_KEYS.get(table) == column
