@@ -64,17 +64,20 @@ def run_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None
 
     try:
         for name in KPI_NAMES:
-            df = with_display(name, _call(JOBS[name], t, params, marts))
-            status, err = audit.timed(name, lambda: write_table(df, path("kpis", name), name))
+            # timed from definition on: ranking jobs checkpoint while defined
+            def kpi(name=name):
+                df = with_display(name, _call(JOBS[name], t, params, marts))
+                return write_table(df, path("kpis", name), name)
+
+            status, err = audit.timed(name, kpi)
             if status != "SUCCESS" and fail_fast:
                 raise RuntimeError(f"{name} failed: {err}")
         for name, (fn, bounded) in EXPORTS.items():
-            payload = _call(fn, t, params, marts)
             target = path("data", f"{name}.json")
             holder = {}
 
-            def job(payload=payload, target=target, single=name in SINGLE_OBJECT,
-                    bounded=bounded):
+            def job(fn=fn, target=target, single=name in SINGLE_OBJECT, bounded=bounded):
+                payload = _call(fn, t, params, marts)
                 n, _ = write_document(payload, single, target, generated_at, bounded)
                 holder["n"] = n
                 return n, "SUCCESS"
