@@ -155,6 +155,19 @@ def registry(spark: SparkSession, owner: str | None = None,
     )
 
 
+def metric_catalog(t: Tables) -> DataFrame:
+    """The metric mart with each metric's registry entry attached by name
+    (the 7 fixed registry rows are broadcast: a fixed-size side)."""
+    spark = t.orders.sparkSession
+    reg = spark.createDataFrame(
+        [(name, cat, formula) for name, cat, _, formula, _ in REGISTRY],
+        "metric STRING, kpi_category STRING, formula STRING",
+    )
+    return metric_mart(t).join(F.broadcast(reg), "metric", "left").select(
+        "metric", "kpi_category", "formula", "entity_type", "entity_id", "value"
+    )
+
+
 def write_mart(t: Tables, path: str, mode: str = "overwrite") -> None:
     """Write the mart partitioned by metric (one folder per metric)."""
     metric_mart(t).write.mode(mode).partitionBy("metric").parquet(path)

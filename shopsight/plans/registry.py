@@ -37,6 +37,7 @@ JOBS: dict[str, Callable[[Tables, Params], DataFrame]] = {
     # metric catalog
     **{k: (lambda f: (lambda t, p: f(t)))(f) for k, f in catalog.METRICS.items()},
     "metric_mart": lambda t, p: catalog.metric_mart(t),
+    "metric_catalog": lambda t, p: catalog.metric_catalog(t),
     # data-quality report over the business tables
     "quality_key_report": lambda t, p: quality.key_report(t),
 }

@@ -18,6 +18,7 @@ import os
 from pyspark.sql import SparkSession, functions as F
 
 from shopsight.functions.display import currency_display, short_label, status_slug
+from shopsight.operators import quality
 from shopsight.params import FIXTURE_AS_OF, Params
 from shopsight.plans import catalog
 from shopsight.plans.exports import EXPORTS, SINGLE_OBJECT
@@ -27,7 +28,7 @@ from shopsight.sinks import AuditLog, refresh_rows, write_document, write_table
 from shopsight.sources.star_schema import tables_from_star
 from shopsight.sources.tables import Tables
 
-KPI_NAMES = [n for n in JOBS if not n.startswith(("export_", "metric_"))]
+KPI_NAMES = [n for n in JOBS if not n.startswith(("export_", "metric_", "quality_"))]
 
 
 def _call(job, t: Tables, p: Params, marts: Marts):
@@ -53,8 +54,19 @@ def with_display(name: str, df):
 
 def run_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None = None,
             params: Params = Params(as_of=FIXTURE_AS_OF), tables: Tables | None = None,
-            fail_fast: bool = True) -> AuditLog:
+            fail_fast: bool = True, check_keys: bool = False) -> AuditLog:
+    """Run everything. ``check_keys`` first verifies the keys the
+    pre-aggregated plans rely on (unique dimension and declared keys) and
+    stops before any output is written if one is violated; the full report
+    (incl. NULL keys and orphans) is written to ``analytics/quality_report``."""
     t = tables if tables is not None else tables_from_star(spark, sf_dir)
+    if check_keys:
+        report = quality.key_report(t)
+        if out_dir:
+            report.write.mode("overwrite").parquet(os.path.join(out_dir, "analytics",
+                                                                "quality_report"))
+            report = spark.read.parquet(os.path.join(out_dir, "analytics", "quality_report"))
+        quality.assert_clean(report, checks=("unique",))
     marts = Marts(t, params, persist=True)
     audit = AuditLog(spark)
     generated_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)

@@ -13,6 +13,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key even when the split costs an extra shuffle: the
+    # line jobs reuse the order join's partitioning, so without this a single
+    # hot order_id would stay in one task.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Runtime (measured) broadcast decisions; the static estimate stays at
     # Spark's default so nothing unbounded is broadcast from plan-time guesses.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",

@@ -14,7 +14,9 @@ from tests.conftest import SF001
 
 def test_run_all_writes_sinks_and_audit(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="shopsight-run-"), "out")
-    run_all(spark, SF001, out_dir=out)
+    run_all(spark, SF001, out_dir=out, check_keys=True)
+    qr = spark.read.parquet(os.path.join(out, "analytics", "quality_report"))
+    assert qr.filter("check = 'unique' AND violations > 0").count() == 0
     log = spark.read.parquet(os.path.join(out, "analytics", "execution_log"))
     assert log.count() == len(KPI_NAMES) + 6 + 1
     assert log.filter(F.col("status") != "SUCCESS").count() == 0
