@@ -105,6 +105,21 @@ EXPORTS = {
     "top_products": (export_top_products, True),
 }
 SINGLE_OBJECT = {"sales_overview"}
+# Rounded numbers print with the scale their ROUND gives (11534588112.51, 17.6),
+# not as doubles (1.153458811251E10): double fields are cast to DECIMAL with
+# this scale in the documents (default 2: money). Payload rows stay DOUBLE.
+JSON_SCALES = {"pct_of_total": 1}
+
+
+def _json_fields(payload: DataFrame) -> list[Column]:
+    out = []
+    for f in payload.schema.fields:
+        if f.dataType.typeName() == "double":
+            scale = JSON_SCALES.get(f.name, 2)
+            out.append(F.col(f.name).cast(f"decimal(38,{scale})").alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return out
 
 
 def lines_document(payload: DataFrame, generated_at: Column | None = None) -> DataFrame:
@@ -112,10 +127,9 @@ def lines_document(payload: DataFrame, generated_at: Column | None = None) -> Da
     per row, in the payload's order (range-partitioned sort, so part files
     follow each other in order). Null fields are kept."""
     ts = generated_at if generated_at is not None else F.current_timestamp()
-    cols = payload.columns
     return payload.select(
-        F.to_json(F.struct(ts.alias("generated_at"), *cols), {"ignoreNullFields": "false"})
-        .alias("json")
+        F.to_json(F.struct(ts.alias("generated_at"), *_json_fields(payload)),
+                  {"ignoreNullFields": "false"}).alias("json")
     )
 
 
@@ -131,9 +145,9 @@ def document(payload: DataFrame, single: bool, generated_at: Column | None = Non
     Null fields are kept (``ignoreNullFields=false``).
     """
     ts = generated_at if generated_at is not None else F.current_timestamp()
-    cols = payload.columns
+    fields = _json_fields(payload)
     if single:
-        data = payload.select(F.struct(*cols).alias("data"))
+        data = payload.select(F.struct(*fields).alias("data"))
         agg = data.agg(F.first("data").alias("data"))
     else:
         if order_by is None:
@@ -141,7 +155,7 @@ def document(payload: DataFrame, single: bool, generated_at: Column | None = Non
             numbered = payload.withColumn("_seq", F.monotonically_increasing_id())
         else:
             numbered = payload.orderBy(*order_by).withColumn("_seq", F.monotonically_increasing_id())
-        items = numbered.select(F.struct(F.col("_seq"), F.struct(*cols).alias("v")).alias("e"))
+        items = numbered.select(F.struct(F.col("_seq"), F.struct(*fields).alias("v")).alias("e"))
         agg = items.agg(F.sort_array(F.collect_list("e")).alias("arr")).select(
             F.when(F.size("arr") > 0, F.transform("arr", lambda e: e["v"])).alias("data")
         )

@@ -160,3 +160,13 @@ def test_json_document_shape(spark, t):
     empty = make(spark)
     e = json.loads(exports.document(exports.export_monthly_trends(empty, P), single=False).first()["json"])
     assert e["data"] is None  # json_agg over no rows is NULL, and the key is kept
+
+
+def test_json_numbers_print_like_rounded_numerics(spark, t):
+    doc = exports.document(exports.export_category_sales(t, P), single=False,
+                           generated_at=F.lit(dt.datetime(2024, 4, 1))).first()["json"]
+    # HW gross over valid lines: bolt 2*10 + 1*10, nut 1*3 + 4*3
+    assert '"category":"HW","revenue":45.00,"units_sold":8,"pct_of_total":100.0' in doc
+    assert "E1" not in doc and "E+" not in doc
+    one = exports.document(exports.export_sales_overview(t, P), single=True).first()["json"]
+    assert '"total_revenue":750.25' in one and '"avg_order_value":250.08' in one
