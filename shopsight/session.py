@@ -21,12 +21,40 @@ DEFAULT_CONF = {
     # Spark's default so nothing unbounded is broadcast from plan-time guesses.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
+    # Checkpointed ranking inputs are removed from the shared folder once
+    # their DataFrames are garbage-collected (otherwise every run leaves
+    # customer/store/product-sized copies behind).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a large run.
+
+    Scans are split into ``partition_bytes`` pieces; the shuffle starts with
+    enough partitions that the largest shuffle (order lines, roughly a third
+    of the input after column pruning) lands near ``partition_bytes`` per
+    partition, at least 3 waves of the cluster's cores. AQE then coalesces
+    small partitions and splits skewed ones, so the initial number only has
+    to be large enough, never exact. Example: 100 TiB of input on 1000
+    executors x 8 cores gives 136,534 initial shuffle partitions and 256 MiB
+    scan splits.
+    """
+    shuffle_bytes = input_bytes // 3
+    n = max(3 * total_cores, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def build_session(master: str | None = None, app: str = "shopsight",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app)
