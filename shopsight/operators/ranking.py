@@ -15,7 +15,8 @@ spread over range buckets:
    boundaries are therefore a pure function of the data (stable when a lost
    task is recomputed) and small by construction, which is what makes the
    broadcast below safe.
-3. bucket = number of boundaries <= key (binary search, 16 codegen'd steps).
+3. bucket = number of boundaries <= key (binary search: 16 halving steps folded
+   in one aggregate() expression).
 4. ROW_NUMBER / RANK inside (group, bucket) with an ordinary window; bucket
    row counts give offsets via a window over the small bucket table.
 5. Equal ORDER BY values can straddle buckets; for RANK the first row of each

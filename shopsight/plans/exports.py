@@ -10,13 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shopsight.functions.semantics import div_round, money
+from shopsight.functions.semantics import div_round, money, tier
 from shopsight.operators.ranking import asc, rank_window
 from shopsight.params import STORE_TIER_DEFAULT, Params
-from shopsight.functions.semantics import tier
 from shopsight.plans import customer as customer_kpis
 from shopsight.plans import sales as sales_kpis
-from shopsight.plans.marts import store_orders, valid_orders
+from shopsight.plans.marts import store_orders
 from shopsight.sources.tables import Tables
 
 
