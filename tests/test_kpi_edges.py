@@ -170,3 +170,23 @@ def test_json_numbers_print_like_rounded_numerics(spark, t):
     assert "E1" not in doc and "E+" not in doc
     one = exports.document(exports.export_sales_overview(t, P), single=True).first()["json"]
     assert '"total_revenue":750.25' in one and '"avg_order_value":250.08' in one
+
+
+def test_null_amount_and_repeated_product_in_order(spark):
+    t2 = make(
+        spark,
+        stores=STORES, customers=CUSTOMERS, products=PRODUCTS,
+        orders=[(1, 10, 1, dt.date(2024, 1, 5), "Delivered", D("100.00")),
+                (2, 11, 1, dt.date(2024, 1, 6), "Delivered", None)],   # NULL amount
+        order_items=[(1, 100, 1, D("10.00"), None), (1, 100, 2, D("10.00"), None),
+                     (2, 100, 1, D("10.00"), None)],
+    )
+    r = sales.sales_overview(t2, P).first()
+    assert r["total_orders"] == 2 and r["total_customers"] == 2
+    assert r["avg_order_value"] == 100.0        # AVG skips the NULL amount
+    assert r["revenue_per_customer"] == 50.0    # SUM / COUNT(DISTINCT cust_id)
+    top = {x["prod_id"]: x for x in sales.top_products(t2, P).collect()}
+    assert top[100]["order_count"] == 2 and top[100]["units_sold"] == 4
+    clv = {x["cust_id"]: x for x in customer.customer_lifetime_value(t2, P).collect()}
+    assert clv[11]["total_orders"] == 1 and clv[11]["lifetime_value"] == 0.0
+    assert clv[11]["avg_order_value"] == 0.0 and clv[11]["clv_segment"] == "New"
