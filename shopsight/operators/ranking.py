@@ -117,9 +117,10 @@ def rank_window(
     BIGINT, except PERCENT_RANK (DOUBLE).
 
     The input is read three times (sample, boundaries, numbering); with
-    ``materialize`` it is first checkpointed to the shared
-    ``spark.checkpoint.dir`` so its lineage is computed once and a lost
-    executor does not send the recomputation back to the sources.
+    ``materialize`` it is first written as a Parquet table under the shared
+    ``spark.checkpoint.dir`` (``session.materialize``), so its lineage is
+    computed once and a lost executor does not send the recomputation back
+    to the sources.
     """
     if not tiebreak:
         raise ValueError("a unique tie-break column list is required")
@@ -204,13 +205,19 @@ def rank_window(
     w_tie = Window.partitionBy(*group_cols).orderBy(*tie_order)
     kinds = {v if isinstance(v, str) else v[0] for v in outputs.values()}
     need_rank = bool(kinds & {"rank", "percent_rank"})
-    numbered = with_bucket.withColumn("_rn", F.row_number().over(w_full).cast("long"))
+    need_rn = bool(kinds & {"row_number", "ntile"})
+    numbered = with_bucket
+    if need_rn:
+        numbered = numbered.withColumn("_rn", F.row_number().over(w_full).cast("long"))
     if need_rank:
         numbered = numbered.withColumn("_rk", F.rank().over(w_tie).cast("long"))
     if materialize:
-        # Computed once; the checkpoint keeps the (group, bucket) hash
-        # partitioning, so the bucket table below and the final join reuse it.
-        numbered = _checkpoint(numbered)
+        # Computed once (scan, bucket search, shuffle, windows) and kept for
+        # the bucket table and the final join; a lost block is recomputed
+        # from the materialized input with the same (deterministic) buckets.
+        from shopsight.session import persist_derived
+
+        numbered = persist_derived(numbered)
 
     # bucket table: counts, offsets, group sizes (one row per bucket)
     aggs = [F.count(F.lit(1)).alias("_cnt")]
@@ -230,7 +237,9 @@ def rank_window(
     )
     if materialize:
         # small (one row per bucket) but read three times below
-        stats = _checkpoint(stats)
+        from shopsight.session import persist_derived
+
+        stats = persist_derived(stats)
     if need_rank:
         cands = stats.select(
             *grp, F.col("_min_tie").alias("_tv"), (F.col("_offset") + 1).alias("_first")
@@ -251,7 +260,7 @@ def rank_window(
     joined = numbered.join(stats, group_cols, "inner")
 
     # --- 5. final numbers -----------------------------------------------------
-    g = F.col("_offset") + F.col("_rn")
+    g = (F.col("_offset") + F.col("_rn")) if need_rn else None
     n = F.col("_n")
     rank = None
     if need_rank:
@@ -341,10 +350,9 @@ def _builtin_window(df: DataFrame, order: list[Order], tiebreak: list[str],
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    from shopsight.session import checkpoint_dir
+    from shopsight.session import materialize
 
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialize(df)
 
 
 def ntile_of(g: Column, n: Column, k: int) -> Column:

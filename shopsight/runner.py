@@ -24,6 +24,7 @@ from shopsight.plans import catalog
 from shopsight.plans.exports import EXPORTS, SINGLE_OBJECT
 from shopsight.plans.marts import Marts
 from shopsight.plans.registry import JOBS
+from shopsight.session import clean_materialized
 from shopsight.sinks import AuditLog, refresh_rows, write_document, write_table
 from shopsight.sources.star_schema import tables_from_star
 from shopsight.sources.tables import Tables
@@ -113,6 +114,7 @@ def run_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None
             audit.append(path("analytics"))
     finally:
         marts.release()
+        clean_materialized(spark)
     return audit
 
 

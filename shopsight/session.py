@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -97,3 +98,53 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path
+
+
+def _materialized_root(spark: SparkSession) -> str:
+    base = checkpoint_dir(spark)
+    if base is None:
+        raise RuntimeError("spark.checkpoint.dir is not set")
+    return f"{base.rstrip('/')}/shopsight-tables/{spark.sparkContext.applicationId}"
+
+
+def materialize(df):
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    read it back: lineage is cut and the rows survive lost executors.
+
+    Faster than ``DataFrame.checkpoint`` (Java-serialized rows) both to write
+    and to read back (columnar, compressed, column-pruned). The tables of an
+    application are removed by ``clean_materialized``.
+    """
+    spark = df.sparkSession
+    path = f"{_materialized_root(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+_PERSISTED: list = []
+
+
+def persist_derived(df):
+    """Persist an intermediate that is cheap to recompute from a materialized
+    table (MEMORY_AND_DISK; a lost block is rebuilt from that table, not from
+    the sources). Released by ``clean_materialized``."""
+    from pyspark import StorageLevel
+
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(out)
+    return out
+
+
+def clean_materialized(spark: SparkSession) -> None:
+    """Release what ``persist_derived`` cached and delete the tables
+    ``materialize`` wrote for this application (call once the DataFrames
+    built on them are no longer needed, e.g. at the end of a run)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+    try:
+        root = _materialized_root(spark)
+        jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # Spark Connect or no checkpoint folder: nothing of ours to clean
+        return
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(conf).delete(path, True)
