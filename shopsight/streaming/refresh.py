@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shopsight.params import Params
 from shopsight.plans.exports import EXPORTS, SINGLE_OBJECT
 from shopsight.plans.marts import Marts
-from shopsight.session import checkpoint_dir
+from shopsight.session import checkpoint_dir, clean_materialized
 from shopsight.sinks import refresh_rows, write_document
 from shopsight.sources.business import read_parquet_tables
 from shopsight.sources.tables import SCHEMAS
@@ -49,6 +49,7 @@ def refresh_documents(spark: SparkSession, tables_root: str, out_dir: str,
         rows.write.mode("append").parquet(os.path.join(out_dir, "analytics", "refresh_history"))
     finally:
         marts.release()
+        clean_materialized(spark)
     return rows
 
 
