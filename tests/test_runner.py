@@ -46,3 +46,20 @@ def test_run_all_writes_sinks_and_audit(spark):
     assert mart.select("metric").distinct().count() == 7
     reg = spark.read.parquet(os.path.join(out, "analytics", "kpi_metadata"))
     assert reg.count() == 7 and reg.select("kpi_name").distinct().count() == 7
+
+
+def test_shared_mart_path_equals_standalone_jobs(spark):
+    """run_all computes the line KPIs from the persisted product-lines mart;
+    the rows must equal the standalone (line-level) jobs."""
+    from shopsight.params import FIXTURE_AS_OF, Params
+    from shopsight.plans.registry import JOBS
+
+    out = os.path.join(tempfile.mkdtemp(prefix="shopsight-run-"), "out")
+    run_all(spark, SF001, out_dir=out)
+    t = tables_from_star(spark, SF001)
+    p = Params(as_of=FIXTURE_AS_OF)
+    for name in ("revenue_by_category", "top_products", "product_performance",
+                 "category_performance", "customer_lifetime_value", "store_performance"):
+        want = JOBS[name](t, p)
+        got = spark.read.parquet(os.path.join(out, "kpis", name)).select(*want.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())), name
