@@ -105,7 +105,7 @@ def rank_window(
     max_bounds: int = MAX_BOUNDS,
     materialize: bool = True,
     _skip_small_check: bool = False,
-    _input_checkpointed: bool = False,
+    _input_materialized: bool = False,
 ) -> DataFrame:
     """Add ranking columns computed over ``partition_by`` / ``order``.
 
@@ -126,8 +126,8 @@ def rank_window(
         raise ValueError("a unique tie-break column list is required")
     max_bounds = min(max_bounds, MAX_BOUNDS)
     parts = list(partition_by)
-    if materialize and not _input_checkpointed:
-        df = _checkpoint(df)
+    if materialize and not _input_materialized:
+        df = _materialize(df)
     if materialize and not _skip_small_check:
         # Exact size check on the materialized input: when every row fits in
         # one bucket, the bucketed plan would produce a single bucket anyway,
@@ -298,13 +298,13 @@ def rank_windows(
     orderings. ``specs`` items: ``{"order": [...], "outputs": {...},
     "partition_by": [...]}``.
 
-    The input is checkpointed and counted once. When it fits one bucket all
+    The input is materialized and counted once. When it fits one bucket all
     windows run directly; otherwise each spec runs the bucketed path in turn
     (each ordering needs its own buckets). A step's output is its
-    checkpointed numbered rows joined to a small broadcast bucket table, so
+    persisted numbered rows joined to a small broadcast bucket table, so
     the next step reads it without writing another copy.
     """
-    df = _checkpoint(df)
+    df = _materialize(df)
     if df.count() <= bucket_rows:
         for spec in specs:
             df = _builtin_window(df, spec["order"], tiebreak, spec["outputs"],
@@ -314,7 +314,7 @@ def rank_windows(
         df = rank_window(df, spec["order"], tiebreak, spec["outputs"],
                          partition_by=spec.get("partition_by", ()), bucket_rows=bucket_rows,
                          materialize=True, _skip_small_check=True,
-                         _input_checkpointed=True, **kw)
+                         _input_materialized=True, **kw)
     return df
 
 
@@ -349,7 +349,7 @@ def _builtin_window(df: DataFrame, order: list[Order], tiebreak: list[str],
     return df.withColumns(cols)
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
+def _materialize(df: DataFrame) -> DataFrame:
     from shopsight.session import materialize
 
     return materialize(df)

@@ -1,8 +1,9 @@
 """Shared intermediate results (marts) of the KPI jobs.
 
-Each mart is a DataFrame definition; ``Marts`` can persist them so a full run
-computes each once. On a cluster, ``Marts.checkpointed`` writes them to the
-shared checkpoint folder instead (lineage cut, survives executor loss).
+Each mart is a DataFrame definition; ``Marts(persist=True)`` persists them
+(MEMORY_AND_DISK) so a full run computes each once; a lost block is rebuilt
+from the sources with the same result. ``Marts.release`` unpersists them at
+the end of the run.
 """
 
 from __future__ import annotations

@@ -77,7 +77,7 @@ def run_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None
 
     try:
         for name in KPI_NAMES:
-            # timed from definition on: ranking jobs checkpoint while defined
+            # timed from definition on: ranking jobs materialize their input while defined
             def kpi(name=name):
                 df = with_display(name, _call(JOBS[name], t, params, marts))
                 return write_table(df, path("kpis", name), name)
