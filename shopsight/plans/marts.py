@@ -83,8 +83,8 @@ def line_measures(t: Tables, p: Params, with_category: bool = True,
                   valid_only: bool = False) -> DataFrame:
     """Order lines of existing products with their category and validity.
 
-    Columns: prod_id, category, order_id, q, net, gross, up, nup, ok — the
-    same names as ``product_lines``, so the rollups accept either. Products
+    Columns: prod_id, category, order_id, q, net, gross, up, nup, ok (the
+    measures ``line_totals`` sums). Products
     are attached first and the order join last, so rows come out
     hash-partitioned by order_id and the (key, order_id) groupings downstream
     need no further line-sized shuffle. Validity is a property of the order:
@@ -111,17 +111,36 @@ def line_measures(t: Tables, p: Params, with_category: bool = True,
     )
 
 
-def product_lines(t: Tables, p: Params) -> DataFrame:
-    """``line_measures`` summed per (prod_id, category, order_id): the shared,
-    persisted input of KPI 3, 6, 13, 14 and exports 3, 6 in a full run."""
-    return line_measures(t, p).groupBy("prod_id", "category", "order_id").agg(
-        F.sum("q").alias("q"),
-        F.sum("net").alias("net"),
-        F.sum("gross").alias("gross"),
-        F.sum("up").alias("up"),
-        F.sum("nup").alias("nup"),
-        F.max("ok").alias("ok"),
+MEASURES = ("q", "net", "gross", "up", "nup")
+
+
+def line_totals(lines: DataFrame, key: str) -> DataFrame:
+    """Per ``key`` (prod_id or category): every line measure over all lines
+    (``<m>_all``) and over lines of valid orders (``<m>_ok``), plus the number
+    of distinct valid orders (``n_orders_ok``).
+
+    One row per key serves both the valid-only KPIs (3, 6, exports 3, 6) and
+    the all-status ones (13, 14). The (key, order_id) level needs no shuffle:
+    the lines come out of the order join hash-partitioned by order_id.
+    """
+    per_order = lines.groupBy(key, "order_id").agg(
+        *[F.sum(m).alias(m) for m in MEASURES],
+        F.max(F.col("ok") & F.col("order_id").isNotNull()).alias("ok"),
     )
+    aggs = []
+    for m in MEASURES:
+        aggs += [F.sum(m).alias(f"{m}_all"), F.sum(F.when(F.col("ok"), F.col(m))).alias(f"{m}_ok")]
+    return per_order.groupBy(key).agg(*aggs, F.count_if("ok").alias("n_orders_ok"))
+
+
+def product_totals(t: Tables, p: Params) -> DataFrame:
+    """``line_totals`` per product (products attached later, per product)."""
+    return line_totals(line_measures(t, p, with_category=False), "prod_id")
+
+
+def category_totals(t: Tables, p: Params) -> DataFrame:
+    """``line_totals`` per category (lines of unknown products dropped)."""
+    return line_totals(line_measures(t, p, with_category=True), "category")
 
 
 class Marts:
@@ -145,8 +164,11 @@ class Marts:
     def store_orders(self) -> DataFrame:
         return self._get("store_orders", store_orders)
 
-    def product_lines(self) -> DataFrame:
-        return self._get("product_lines", product_lines)
+    def product_totals(self) -> DataFrame:
+        return self._get("product_totals", product_totals)
+
+    def category_totals(self) -> DataFrame:
+        return self._get("category_totals", category_totals)
 
     def release(self) -> None:
         for df in self._cache.values():

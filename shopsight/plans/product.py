@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 from shopsight.functions.semantics import div_round, money, pct, stock_status
 from shopsight.operators.ranking import desc, rank_window
 from shopsight.params import Params
-from shopsight.plans.sales import _product_lines, category_rollup, product_rollup
+from shopsight.plans.sales import category_sales, product_sales_rollup
 from shopsight.sources.tables import Tables
 
 
 def product_sales_all_status(t: Tables, p: Params, marts=None) -> DataFrame:
     """Per prod_id over all lines of existing products (status ignored for sums)."""
-    return product_rollup(_product_lines(t, p, marts, with_category=False), False, "net")
+    return product_sales_rollup(t, p, False, "net", marts)
 
 
 def inventory_by_product(t: Tables) -> DataFrame:
@@ -65,14 +65,13 @@ def product_performance(t: Tables, p: Params = Params(), marts=None,
 def category_performance(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """KPI 14: per category, unsold products counted; share of all revenue.
 
-    One pass over the product-lines mart (all statuses): grouped per
-    (category, order_id) — clustered already by the order join — and then per
-    category. Product counts come from the products table, so
+    One pass over the lines (all statuses), or the category mart in a full
+    run: grouped per (category, order_id) — clustered already by the order
+    join — and then per category. Product counts come from the products table, so
     categories and products without sales stay in. The share window runs
     over one row per category.
     """
-    per_cat = category_rollup(_product_lines(t, p, marts), False, "net").withColumnRenamed(
-        "value", "rev")
+    per_cat = category_sales(t, p, False, "net", marts).withColumnRenamed("value", "rev")
     counts = t.products.groupBy("category").agg(F.count_distinct("prod_id").alias("product_count"))
     g = counts.join(per_cat, counts["category"].eqNullSafe(per_cat["category"]), "left").select(
         counts["category"], "product_count", "units", "rev", "price_sum", "price_n", "n_orders"

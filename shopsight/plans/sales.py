@@ -59,16 +59,39 @@ def monthly_revenue_trend(t: Tables, p: Params = Params()) -> DataFrame:
     ).orderBy("month_date")
 
 
-def _product_lines(t: Tables, p: Params, marts=None, with_category: bool = True,
-                   valid_only: bool = False) -> DataFrame:
-    """The persisted mart in a full run; line-level rows for a single job."""
+def from_totals(totals: DataFrame, key: str, valid_only: bool, measure: str) -> DataFrame:
+    """The rollup columns (value, units, n_orders, price_sum, price_n) of one
+    variant from a ``line_totals`` mart; valid-only keeps keys with a valid
+    order (the inner join's rows)."""
+    sfx = "ok" if valid_only else "all"
+    out = totals.select(
+        key,
+        F.col(f"{measure}_{sfx}").alias("value"),
+        F.col(f"q_{sfx}").alias("units"),
+        F.col("n_orders_ok").alias("n_orders"),
+        F.col(f"up_{sfx}").alias("price_sum"),
+        F.col(f"nup_{sfx}").alias("price_n"),
+    )
+    return out.filter(F.col("n_orders") > 0) if valid_only else out
+
+
+def category_sales(t: Tables, p: Params, valid_only: bool, measure: str, marts=None) -> DataFrame:
+    """Per-category rollup: from the category mart in a full run, else from lines."""
+    if marts is not None:
+        return from_totals(marts.category_totals(), "category", valid_only, measure)
+    return category_rollup(line_measures(t, p, True, valid_only), valid_only, measure)
+
+
+def product_sales_rollup(t: Tables, p: Params, valid_only: bool, measure: str,
+                         marts=None) -> DataFrame:
+    """Per-product rollup: from the product mart in a full run, else from lines."""
     if marts is not None:
-        return marts.product_lines()
-    return line_measures(t, p, with_category, valid_only)
+        return from_totals(marts.product_totals(), "prod_id", valid_only, measure)
+    return product_rollup(line_measures(t, p, False, valid_only), valid_only, measure)
 
 
 def category_rollup(pl: DataFrame, valid_only: bool, measure: str) -> DataFrame:
-    """Per category from line rows or the product-lines mart.
+    """Per category from line rows.
 
     ``COUNT(DISTINCT order_id)`` per category needs (category, order_id)
     pairs; the mart is hash-partitioned by order_id, which already clusters
@@ -93,8 +116,8 @@ def category_rollup(pl: DataFrame, valid_only: bool, measure: str) -> DataFrame:
 
 
 def product_rollup(pl: DataFrame, valid_only: bool, measure: str) -> DataFrame:
-    """Per product from line rows or the mart: (prod_id, order_id) first — no
-    shuffle on the order_id-partitioned input — so distinct orders count once."""
+    """Per product from line rows: (prod_id, order_id) first — no shuffle on
+    the order_id-partitioned input — so distinct orders count once."""
     if valid_only:
         pl = pl.filter("ok")
     per_order = pl.groupBy("prod_id", "order_id").agg(
@@ -120,7 +143,7 @@ def revenue_by_category(t: Tables, p: Params = Params(), measure: str = "net",
     Aggregating per category first makes the share-of-total window run over
     one row per category.
     """
-    g = category_rollup(_product_lines(t, p, marts, valid_only=True), True, measure)
+    g = category_sales(t, p, True, measure, marts)
     scale = 6 if measure == "net" else 2
     total = F.sum("value").over(Window.partitionBy())
     g = g.withColumn("total", total)
@@ -186,8 +209,7 @@ def daily_sales_30d(t: Tables, p: Params = Params()) -> DataFrame:
 def product_sales(t: Tables, p: Params, measure: str = "net", marts=None) -> DataFrame:
     """Per prod_id over lines of valid orders of existing products (the inner
     join with products becomes a semi join on product-grain rows)."""
-    ps = product_rollup(_product_lines(t, p, marts, with_category=False, valid_only=True), True,
-                        measure)
+    ps = product_sales_rollup(t, p, True, measure, marts)
     return ps.join(t.products.select("prod_id"), "prod_id", "left_semi")
 
 
