@@ -105,9 +105,19 @@ def rfm_scores(t: Tables, p: Params, marts=None, with_names: bool = True,
     )
 
 
+def _shared_scores(t: Tables, p: Params, marts) -> DataFrame | None:
+    """In a full run with a declared order_id key (unique and non-NULL), KPI
+    9's and KPI 10's populations coincide, so the three NTILE passes run once."""
+    if marts is None or t.unique_keys.get("orders") != "order_id":
+        return None
+    return marts.get("rfm_scores", lambda t, p: rfm_scores(t, p, marts))
+
+
 def rfm_analysis(t: Tables, p: Params = Params(), marts=None, sort: bool = True) -> DataFrame:
     """KPI 9."""
-    s = rfm_scores(t, p, marts)
+    s = _shared_scores(t, p, marts)
+    if s is None:
+        s = rfm_scores(t, p, marts)
     out = s.select(
         "cust_id",
         "full_name",
@@ -128,9 +138,10 @@ def rfm_analysis(t: Tables, p: Params = Params(), marts=None, sort: bool = True)
 
 def rfm_segment_summary(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """KPI 10: per RFM segment; rounding 2 / 2 / 1 / 0 digits."""
-    s = rfm_scores(t, p, marts, with_names=False, having_order_id=False).withColumn(
-        "segment", rfm_segment()
-    )
+    s = _shared_scores(t, p, marts)
+    if s is None:
+        s = rfm_scores(t, p, marts, with_names=False, having_order_id=False)
+    s = s.withColumn("segment", rfm_segment())
     g = s.groupBy("segment").agg(
         F.count(F.lit(1)).alias("customer_count"),
         F.sum("monetary_exact").alias("ms"),

@@ -150,6 +150,10 @@ class Marts:
         self.t, self.p, self.persist = tables, params, persist
         self._cache: dict[str, DataFrame] = {}
 
+    def get(self, name: str, build) -> DataFrame:
+        """A mart by name, built with ``build(tables, params)`` on first use."""
+        return self._get(name, build)
+
     def _get(self, name: str, build) -> DataFrame:
         if name not in self._cache:
             df = build(self.t, self.p)

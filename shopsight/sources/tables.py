@@ -46,9 +46,10 @@ class Tables:
         missing = [n for n in TABLE_NAMES if n not in self._frames and n not in self._factories]
         if missing:
             raise ValueError(f"tables not given: {missing}")
-        # Declared unique keys beyond the dimension keys, e.g. {"orders": "order_id"}.
-        # A declared unique order_id lets COUNT(DISTINCT order_id) over orders
-        # alone become COUNT(order_id) (no distinct shuffle of every order id).
+        # Declared primary keys (unique, non-NULL) beyond the dimension keys,
+        # e.g. {"orders": "order_id"}. A declared order_id lets COUNT(DISTINCT
+        # order_id) over orders alone become COUNT(order_id) (no distinct
+        # shuffle of every order id); quality.key_report checks both parts.
         self.unique_keys = dict(unique_keys or {})
 
     def get(self, name: str) -> DataFrame:

@@ -59,7 +59,8 @@ def test_shared_mart_path_equals_standalone_jobs(spark):
     t = tables_from_star(spark, SF001)
     p = Params(as_of=FIXTURE_AS_OF)
     for name in ("revenue_by_category", "top_products", "product_performance",
-                 "category_performance", "customer_lifetime_value", "store_performance"):
+                 "category_performance", "customer_lifetime_value", "store_performance",
+                 "rfm_analysis", "rfm_segment_summary"):
         want = JOBS[name](t, p)
         got = spark.read.parquet(os.path.join(out, "kpis", name)).select(*want.columns)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())), name
