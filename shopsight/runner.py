@@ -3,7 +3,8 @@
 ``run_all`` is the batch entry point a scheduler calls. With ``out_dir`` it
 writes:
   kpis/<name>/           Parquet KPI tables (store and product tables with display columns)
-  data/<name>.json/      one JSON document per dashboard export
+  data/<name>.json       one JSON document (a single file) per dashboard export;
+                         data/store_performance.json/ holds JSON lines (one per store)
   analytics/metric_mart/ long-format metric mart, partitioned by metric
   analytics/kpi_metadata/, execution_log/, refresh_history/  governance tables
 Without ``out_dir`` every job still runs in full into the ``noop`` sink.

@@ -61,11 +61,37 @@ def write_document(payload: DataFrame, single: bool, path: str | None,
         out = doc
     if path is None:
         doc.write.format("noop").mode("overwrite").save()
-    else:
+    elif bounded and hasattr(payload.sparkSession, "_jvm"):
+        # the dashboard reads data/<name>.json as one file: write the single
+        # part into a temporary folder, then move it into place
+        staging = f"{path}.staging-{uuid.uuid4().hex}"
+        out.write.mode("overwrite").text(staging)
+        _publish_single_part(payload.sparkSession, staging, path)
+    else:  # per-entity lines (or Spark Connect): a folder of part files
         out.write.mode("overwrite").text(path)
     return int(obs.get["rows"]), doc
 
 
+def _publish_single_part(spark: SparkSession, staging: str, target: str) -> None:
+    """Move the one ``part-*`` file of ``staging`` to ``target`` (replacing it)
+    and drop the staging folder. File-system metadata operations only, on
+    whatever Hadoop file system the paths name."""
+    jvm = spark._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src_dir = jvm.org.apache.hadoop.fs.Path(staging)
+    dst = jvm.org.apache.hadoop.fs.Path(target)
+    fs = src_dir.getFileSystem(conf)
+    parts = [st.getPath() for st in fs.listStatus(src_dir) if st.getPath().getName().startswith("part-")]
+    if len(parts) != 1:
+        raise RuntimeError(f"expected one part file in {staging}, found {len(parts)}")
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(parts[0], dst):
+        raise RuntimeError(f"could not move {parts[0]} to {target}")
+    fs.delete(src_dir, True)
+
+
 def refresh_rows(spark: SparkSession, path: str, data_file: str, record_count: int,
                  refreshed_at: dt.datetime) -> DataFrame:
     """One refresh_history row; the size is read back from the written files'
