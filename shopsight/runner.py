@@ -4,7 +4,9 @@
 writes:
   kpis/<name>/           Parquet KPI tables (store and product tables with display columns)
   data/<name>.json       one JSON document (a single file) per dashboard export;
-                         data/store_performance.json/ holds JSON lines (one per store)
+                         store_performance also as data/store_performance.jsonl/
+                         (JSON lines, one per store; the single document only up to
+                         sinks.DOCUMENT_MAX_ROWS stores)
   analytics/metric_mart/ long-format metric mart, partitioned by metric
   analytics/kpi_metadata/, execution_log/, refresh_history/  governance tables
 Without ``out_dir`` every job still runs in full into the ``noop`` sink.
@@ -26,7 +28,8 @@ from shopsight.plans.exports import EXPORTS, SINGLE_OBJECT
 from shopsight.plans.marts import Marts
 from shopsight.plans.registry import JOBS
 from shopsight.session import clean_materialized
-from shopsight.sinks import AuditLog, refresh_rows, write_document, write_table
+from shopsight.sinks import (AuditLog, refresh_rows, write_document, write_table,
+                             written_paths)
 from shopsight.sources.star_schema import tables_from_star
 from shopsight.sources.tables import Tables
 
@@ -100,7 +103,8 @@ def run_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None
             if status != "SUCCESS" and fail_fast:
                 raise RuntimeError(f"export {name} failed: {err}")
             if target and status == "SUCCESS":
-                audit.refresh.append(refresh_rows(spark, target, f"{name}.json", holder["n"],
+                written = written_paths(target, bounded, holder["n"])
+                audit.refresh.append(refresh_rows(spark, written, f"{name}.json", holder["n"],
                                                   generated_at))
         mart_path = path("analytics", "metric_mart")
         status, err = audit.timed(

@@ -12,6 +12,7 @@ import datetime as dt
 import time
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from shopsight.plans.exports import document, lines_document
@@ -46,30 +47,55 @@ def write_table(df: DataFrame, path: str | None, name: str) -> tuple[int, str]:
     return int(obs.get["rows"]), "SUCCESS"
 
 
+# A per-entity export is also published as one document when it has at most
+# this many rows (checked on the written row count, not assumed).
+DOCUMENT_MAX_ROWS = 100_000
+
+
 def write_document(payload: DataFrame, single: bool, path: str | None,
                    generated_at: dt.datetime, bounded: bool = True) -> tuple[int, DataFrame]:
-    """Write an export: bounded payloads as one ``{generated_at, data}`` JSON
-    document in one text file (``coalesce(1)`` merges a single row), per-entity
-    payloads as JSON lines over many files (no single task holds them)."""
+    """Write an export.
+
+    Bounded payloads become one ``{generated_at, data}`` JSON document in one
+    file (``coalesce(1)`` merges a single row). Per-entity payloads are written
+    as JSON lines by many tasks (``<name>.jsonl/``); when the observed row
+    count is at most ``DOCUMENT_MAX_ROWS`` the same rows (persisted, so in the
+    same order) are also published as the one-file document the dashboard
+    reads. Larger payloads never go through one task.
+    """
     obs = Observation("payload_rows")
     counted = payload.observe(obs, F.count(F.lit(1)).alias("rows"))
+    movable = hasattr(payload.sparkSession, "_jvm")
     if bounded:
         doc = document(counted, single, generated_at=F.lit(generated_at))
-        out = doc.coalesce(1)
-    else:
-        doc = lines_document(counted, generated_at=F.lit(generated_at))
-        out = doc
-    if path is None:
-        doc.write.format("noop").mode("overwrite").save()
-    elif bounded and hasattr(payload.sparkSession, "_jvm"):
-        # the dashboard reads data/<name>.json as one file: write the single
-        # part into a temporary folder, then move it into place
-        staging = f"{path}.staging-{uuid.uuid4().hex}"
-        out.write.mode("overwrite").text(staging)
-        _publish_single_part(payload.sparkSession, staging, path)
-    else:  # per-entity lines (or Spark Connect): a folder of part files
-        out.write.mode("overwrite").text(path)
-    return int(obs.get["rows"]), doc
+        if path is None:
+            doc.write.format("noop").mode("overwrite").save()
+        elif movable:
+            # the dashboard reads data/<name>.json as one file: write the single
+            # part into a temporary folder, then move it into place
+            staging = f"{path}.staging-{uuid.uuid4().hex}"
+            doc.coalesce(1).write.mode("overwrite").text(staging)
+            _publish_single_part(payload.sparkSession, staging, path)
+        else:  # Spark Connect: no file-system handle; a folder with one part
+            doc.coalesce(1).write.mode("overwrite").text(path)
+        return int(obs.get["rows"]), doc
+
+    kept = counted.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        lines = lines_document(kept, generated_at=F.lit(generated_at))
+        if path is None:
+            lines.write.format("noop").mode("overwrite").save()
+        else:
+            lines_path = (path[:-5] if path.endswith(".json") else path) + ".jsonl"
+            lines.write.mode("overwrite").text(lines_path)
+        n = int(obs.get["rows"])
+        if path is not None and movable and n <= DOCUMENT_MAX_ROWS:
+            staging = f"{path}.staging-{uuid.uuid4().hex}"
+            document(kept, single, generated_at=F.lit(generated_at)).coalesce(1).write.text(staging)
+            _publish_single_part(payload.sparkSession, staging, path)
+    finally:
+        kept.unpersist()
+    return n, lines
 
 
 def _publish_single_part(spark: SparkSession, staging: str, target: str) -> None:
@@ -92,7 +118,15 @@ def _publish_single_part(spark: SparkSession, staging: str, target: str) -> None
     fs.delete(src_dir, True)
 
 
-def refresh_rows(spark: SparkSession, path: str, data_file: str, record_count: int,
+def written_paths(path: str, bounded: bool, record_count: int) -> list[str]:
+    """The files/folders ``write_document`` produced for ``path``."""
+    if bounded:
+        return [path]
+    lines = (path[:-5] if path.endswith(".json") else path) + ".jsonl"
+    return [lines] + ([path] if record_count <= DOCUMENT_MAX_ROWS else [])
+
+
+def refresh_rows(spark: SparkSession, path: str | list[str], data_file: str, record_count: int,
                  refreshed_at: dt.datetime) -> DataFrame:
     """One refresh_history row; the size is read back from the written files'
     metadata (the binaryFile source reads file contents only when asked)."""

@@ -26,7 +26,7 @@ from shopsight.params import Params
 from shopsight.plans.exports import EXPORTS, SINGLE_OBJECT
 from shopsight.plans.marts import Marts
 from shopsight.session import checkpoint_dir, clean_materialized
-from shopsight.sinks import refresh_rows, write_document
+from shopsight.sinks import refresh_rows, write_document, written_paths
 from shopsight.sources.business import read_parquet_tables
 from shopsight.sources.tables import SCHEMAS
 
@@ -44,7 +44,8 @@ def refresh_documents(spark: SparkSession, tables_root: str, out_dir: str,
             target = os.path.join(out_dir, "data", f"{name}.json")
             n, _ = write_document(fn(tables, params, **kwargs), name in SINGLE_OBJECT, target,
                                   refreshed_at, bounded)
-            r = refresh_rows(spark, target, f"{name}.json", n, refreshed_at)
+            r = refresh_rows(spark, written_paths(target, bounded, n), f"{name}.json", n,
+                             refreshed_at)
             rows = r if rows is None else rows.unionByName(r)
         rows.write.mode("append").parquet(os.path.join(out_dir, "analytics", "refresh_history"))
     finally:

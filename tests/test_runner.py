@@ -29,9 +29,14 @@ def test_run_all_writes_sinks_and_audit(spark):
 
     t = tables_from_star(spark, SF001)
     # per-entity export: JSON lines, one per store, each with generated_at
-    lines = spark.read.json(os.path.join(out, "data", "store_performance.json"))
+    lines = spark.read.json(os.path.join(out, "data", "store_performance.jsonl"))
     assert lines.count() == t.stores.count()
     assert "generated_at" in lines.columns and "performance_tier" in lines.columns
+    # few stores: also published as the one-file document, in revenue order
+    sp = json.loads(open(os.path.join(out, "data", "store_performance.json")).read())
+    assert len(sp["data"]) == t.stores.count()
+    revs = [x["revenue"] for x in sp["data"] if x["revenue"] is not None]
+    assert revs == sorted(revs, reverse=True) and sp["data"][0]["revenue"] is None
     # bounded export: one document
     d = os.path.join(out, "data", "monthly_trends.json")
     assert os.path.isfile(d)  # served as one file, like the reference's data/<name>.json
