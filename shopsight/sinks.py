@@ -93,6 +93,8 @@ def write_document(payload: DataFrame, single: bool, path: str | None,
             staging = f"{path}.staging-{uuid.uuid4().hex}"
             document(kept, single, generated_at=F.lit(generated_at)).coalesce(1).write.text(staging)
             _publish_single_part(payload.sparkSession, staging, path)
+        elif path is not None and movable:
+            _delete(payload.sparkSession, path)  # no stale document from a smaller run
     finally:
         kept.unpersist()
     return n, lines
@@ -118,6 +120,13 @@ def _publish_single_part(spark: SparkSession, staging: str, target: str) -> None
     fs.delete(src_dir, True)
 
 
+def _delete(spark: SparkSession, target: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def written_paths(path: str, bounded: bool, record_count: int) -> list[str]:
     """The files/folders ``write_document`` produced for ``path``."""
     if bounded:
