@@ -79,7 +79,7 @@ def category_sales(t: Tables, p: Params, valid_only: bool, measure: str, marts=N
     """Per-category rollup: from the category mart in a full run, else from lines."""
     if marts is not None:
         return from_totals(marts.category_totals(), "category", valid_only, measure)
-    return category_rollup(line_measures(t, p, True, valid_only), valid_only, measure)
+    return lines_rollup(line_measures(t, p, True, valid_only), "category", valid_only, measure)
 
 
 def product_sales_rollup(t: Tables, p: Params, valid_only: bool, measure: str,
@@ -87,47 +87,27 @@ def product_sales_rollup(t: Tables, p: Params, valid_only: bool, measure: str,
     """Per-product rollup: from the product mart in a full run, else from lines."""
     if marts is not None:
         return from_totals(marts.product_totals(), "prod_id", valid_only, measure)
-    return product_rollup(line_measures(t, p, False, valid_only), valid_only, measure)
+    return lines_rollup(line_measures(t, p, False, valid_only), "prod_id", valid_only, measure)
 
 
-def category_rollup(pl: DataFrame, valid_only: bool, measure: str) -> DataFrame:
-    """Per category from line rows.
+def lines_rollup(lines: DataFrame, key: str, valid_only: bool, measure: str) -> DataFrame:
+    """Per ``key`` (category or prod_id) from line rows.
 
-    ``COUNT(DISTINCT order_id)`` per category needs (category, order_id)
-    pairs; the mart is hash-partitioned by order_id, which already clusters
-    that first grouping, so only the small second level shuffles.
+    ``COUNT(DISTINCT order_id)`` per key needs (key, order_id) pairs; the
+    lines come out of the order join hash-partitioned by order_id, which
+    already clusters that first grouping, so only the small second level
+    shuffles.
     """
     if valid_only:
-        pl = pl.filter("ok")
-    per_order = pl.groupBy("category", "order_id").agg(
+        lines = lines.filter("ok")
+    per_order = lines.groupBy(key, "order_id").agg(
         F.sum(measure).alias("v"),
         F.sum("q").alias("q"),
         F.sum("up").alias("up"),
         F.sum("nup").alias("nup"),
         F.max(F.col("ok") & F.col("order_id").isNotNull()).alias("ok"),
     )
-    return per_order.groupBy("category").agg(
-        F.sum("v").alias("value"),
-        F.sum("q").alias("units"),
-        F.count_if("ok").alias("n_orders"),
-        F.sum("up").alias("price_sum"),
-        F.sum("nup").alias("price_n"),
-    )
-
-
-def product_rollup(pl: DataFrame, valid_only: bool, measure: str) -> DataFrame:
-    """Per product from line rows: (prod_id, order_id) first — no shuffle on
-    the order_id-partitioned input — so distinct orders count once."""
-    if valid_only:
-        pl = pl.filter("ok")
-    per_order = pl.groupBy("prod_id", "order_id").agg(
-        F.sum(measure).alias("v"),
-        F.sum("q").alias("q"),
-        F.sum("up").alias("up"),
-        F.sum("nup").alias("nup"),
-        F.max(F.col("ok") & F.col("order_id").isNotNull()).alias("ok"),
-    )
-    return per_order.groupBy("prod_id").agg(
+    return per_order.groupBy(key).agg(
         F.sum("v").alias("value"),
         F.sum("q").alias("units"),
         F.count_if("ok").alias("n_orders"),
