@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,10 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from shopsight.session import build_session
 
-    s = build_session("local[4]", app="shopsight-tests", shuffle_partitions=8)
+    # catalog tables of the tests go to a scratch warehouse, not the checkout
+    warehouse = tempfile.mkdtemp(prefix="shopsight-warehouse-")
+    s = build_session("local[4]", app="shopsight-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": warehouse})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
