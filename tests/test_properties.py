@@ -91,3 +91,27 @@ def test_no_unpartitioned_window_over_rows(spark, parts):
         assert len(rows) == 5000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def _desc(values):
+    return all(a >= b for a, b in zip(values, values[1:]))
+
+
+def test_output_order_follows_order_by(spark, t):
+    """The driver's hash ignores order; the ORDER BY of each KPI is asserted here."""
+    clv = [r["lifetime_value"] for r in customer.customer_lifetime_value(t, P).collect()]
+    assert _desc(clv)
+    rfm = [r["monetary"] for r in customer.rfm_analysis(t, P).collect()]
+    assert _desc(rfm)
+    st = [r["revenue"] for r in store.store_performance(t, P).collect()]
+    assert _desc(st)
+    pp = [r["revenue"] for r in product.product_performance(t, P).collect()]
+    assert _desc(pp)
+    months = [r["month_date"] for r in sales.monthly_revenue_trend(t, P).collect()]
+    assert months == sorted(months)
+    days = [r["sale_date"] for r in sales.daily_sales_30d(t, P).collect()]
+    assert days == sorted(days)
+    top = [r["revenue"] for r in sales.top_products(t, P).collect()]
+    assert len(top) == 10 and _desc(top)
+    seg = [r["avg_clv"] for r in customer.clv_segment_summary(t, P).collect()]
+    assert _desc(seg)
