@@ -60,6 +60,9 @@ def metric_order_count(t: Tables) -> DataFrame:
 
 
 def metric_avg_order_value(t: Tables) -> DataFrame:
+    """SUM(total_amount) / COUNT(order_id). The catalog formula states no
+    rounding; the value is the exact quotient rounded half away from zero to
+    6 decimals, so every engine stores the same number."""
     agg = t.orders.agg(F.sum("total_amount").alias("s"), F.count("order_id").alias("c"))
     return agg.select(
         F.lit("avg_order_value").alias("metric"), F.lit("all").alias("entity_type"),
