@@ -300,9 +300,10 @@ def rank_windows(
 
     The input is materialized and counted once. When it fits one bucket all
     windows run directly; otherwise each spec runs the bucketed path in turn
-    (each ordering needs its own buckets). A step's output is its
-    persisted numbered rows joined to a small broadcast bucket table, so
-    the next step reads it without writing another copy.
+    (each ordering needs its own buckets). Each step's output is written
+    (``materialize``) before the next step starts: otherwise every later
+    step's plan would contain all earlier steps with their subqueries, and
+    planning time would grow with the number of orderings.
     """
     df = _materialize(df)
     if df.count() <= bucket_rows:
@@ -310,7 +311,9 @@ def rank_windows(
             df = _builtin_window(df, spec["order"], tiebreak, spec["outputs"],
                                  list(spec.get("partition_by", ())))
         return df
-    for spec in specs:
+    for i, spec in enumerate(specs):
+        if i:
+            df = _materialize(df)
         df = rank_window(df, spec["order"], tiebreak, spec["outputs"],
                          partition_by=spec.get("partition_by", ()), bucket_rows=bucket_rows,
                          materialize=True, _skip_small_check=True,
