@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopsight.llm import quality
+import public_tokenizers
+
+from shopsight.llm import mixing, packing, quality
 from shopsight.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.draw(docs, mixing.Target(max_repetition=1.5)).drop("text")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     q = F.col("quality")
@@ -25,7 +32,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs).select("doc_id", *(q[n].alias(n) for n in names))
 
 
+def op7_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_temperature_mixing": op2_temperature_mixing,
     "op4_quality_rules": op4_quality_rules,
+    "op7_sequence_packing": op7_sequence_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
