@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shopsight.llm import mixing, packing, quality
+from shopsight.llm import jaccard, mixing, packing, pii, quality
 from shopsight.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.draw(docs, mixing.Target(max_repetition=1.5)).drop("text")
 
 
+def op3_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     q = F.col("quality")
@@ -37,9 +41,15 @@ def op7_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_temperature_mixing": op2_temperature_mixing,
+    "op3_disclosure_pii": op3_disclosure_pii,
     "op4_quality_rules": op4_quality_rules,
     "op7_sequence_packing": op7_sequence_packing,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLE_SQL: dict[str, str] = {}
