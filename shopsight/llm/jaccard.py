@@ -126,7 +126,7 @@ def _prefixes(docs: DataFrame, rule: Join, counts) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
         for b in batches:
-            sizes, keys, kept, ends = [], [], [], [0]
+            sizes, keys, kept, ends, seen = [], [], [], [0], set()
             for tokens, off in token_sets(b.column(0), n):
                 size = np.diff(off)
                 rows = np.repeat(np.arange(len(size)), size)
@@ -134,11 +134,14 @@ def _prefixes(docs: DataFrame, rule: Join, counts) -> DataFrame:
                 order = np.lexsort((tokens, often, rows))
                 rank = np.arange(len(tokens)) - off[rows]
                 need = size - -(-percent * size // 100) + 1  # a linked set shares one of these
-                first = rank < need[rows]
-                kept.append(tokens[order][first])
-                ends += (np.cumsum(np.where(size > 0, need, 0)) + ends[-1]).tolist()
+                own = _set_keys(tokens, off)
+                # copies in one batch give their prefix once
+                new = np.array([k is not None and not (k in seen or seen.add(k)) for k in own], bool)
+                need = np.where(new, need, 0)
+                kept.append(tokens[order][rank < need[rows]])
+                ends += (np.cumsum(need) + ends[-1]).tolist()
                 sizes.append(size)
-                keys += _set_keys(tokens, off)
+                keys += own
             flat = np.concatenate(kept).view(np.int64) if kept else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([
                 b.column(1), pa.array(np.concatenate(sizes) if sizes else [], pa.int64()), pa.array(keys, pa.binary()),
@@ -218,14 +221,21 @@ def _read(t: pa.Table) -> tuple[list[bytes], list[np.ndarray]]:
     return cids, [np.sort(found[c]) for c in cids]
 
 
-def class_labels(reps: DataFrame, docs: DataFrame, rule: Join) -> DataFrame:
+def class_labels(rows: DataFrame, reps: DataFrame, docs: DataFrame, rule: Join) -> DataFrame:
     """(cid, label) of the classes that share prefix tokens with others.
 
-    ``reps``: (cid, n, doc_id, prefix), one row a class; ``docs``: (text, doc_id).
+    ``rows``: (doc_id, n, cid, prefix); ``reps``: (cid, n, doc_id), one row a
+    class; ``docs``: (text, doc_id).
     """
-    postings = reps.select(F.explode("prefix").alias("token"), "cid", "n")
-    often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    shared = cut(postings.join(often, "token"))
+    # 64 bits of a class do for finding candidates: a clash adds one, loses none
+    short = F.xxhash64("cid")
+    postings = rows.select(F.explode("prefix").alias("token"), short.alias("c64"))
+    often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
+    some = postings.join(often, "token").distinct()
+    named = some.join(reps.select(short.alias("c64"), "cid", "n"), "c64").select("token", "cid", "n")
+    named = cut(named)
+    count = named.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    shared = cut(named.join(count, "token"))
 
     # home of a class: its most shared token, in parts of bounded size
     home = shared.groupBy("cid").agg(F.max(F.struct("c", "token")).alias("h")).select(
@@ -309,10 +319,9 @@ def class_table(docs: DataFrame, text: str, doc_id: str, rule: Join) -> tuple[Da
     plain = docs.select(col(text).cast("string").alias("text"), col(doc_id).cast("long").alias("doc_id"))
     counts = spark.sparkContext.broadcast(token_counts(plain.select("text"), rule))
     rows = cut(_prefixes(plain, rule, counts))
-    # min() of a struct would put a null id first
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n", "prefix")).alias("r")
-    reps = cut(rows.where(F.col("cid").isNotNull()).groupBy("cid").agg(best).select("cid", "r.n", "r.doc_id", "r.prefix"))
-    labels = class_labels(reps, plain, rule)
+    reps = cut(rows.where(F.col("cid").isNotNull()).groupBy("cid").agg(
+        F.max("n").alias("n"), F.min("doc_id").alias("doc_id")))
+    labels = class_labels(rows, reps, plain, rule)
     named = reps.select("cid", "doc_id").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     top = named.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.min(
         F.struct(F.col("doc_id").isNull(), "doc_id", "cid")).alias("m")).select("label", "component_id", F.col("m.cid").alias("top"))
