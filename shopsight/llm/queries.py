@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shopsight.llm import jaccard, mixing, packing, pii, quality
+from shopsight.llm import ann, html, jaccard, mixing, packing, pii, quality, urls
 from shopsight.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,11 +36,25 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs).select("doc_id", *(q[n].alias(n) for n in names))
 
 
+def op6_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op7_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op8_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", *(F.col("judged")[n].alias(n) for n in ("host", "path", "rule", "verdict", "template")))
+
+
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -49,7 +63,10 @@ QUERIES: dict[str, Query] = {
     "op2_temperature_mixing": op2_temperature_mixing,
     "op3_disclosure_pii": op3_disclosure_pii,
     "op4_quality_rules": op4_quality_rules,
+    "op6_hilbert_neighbours": op6_hilbert_neighbours,
     "op7_sequence_packing": op7_sequence_packing,
+    "op8_url_templates": op8_url_templates,
+    "op9_main_text": op9_main_text,
     "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLE_SQL: dict[str, str] = {}
