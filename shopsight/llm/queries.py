@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shopsight.llm import ann, html, jaccard, mixing, packing, pii, quality, urls
+from shopsight.llm import ann, html, jaccard, lpf, mixing, packing, pii, quality, urls
 from shopsight.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lpf_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lpf.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.draw(docs, mixing.Target(max_repetition=1.5)).drop("text")
@@ -60,6 +64,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lpf_dedup": op1_lpf_dedup,
     "op2_temperature_mixing": op2_temperature_mixing,
     "op3_disclosure_pii": op3_disclosure_pii,
     "op4_quality_rules": op4_quality_rules,
