@@ -51,6 +51,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: A side of a join with at most so many narrow rows (under 100 bytes each, 20 MB
+#: in all) is sent to all executors; a larger one is shuffled.
+BROADCAST_ROWS = 200_000
+
+
+def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (checkpointed, narrow rows), to be broadcast if its row count,
+    which is taken here, is within ``limit``. Either way gives the same rows."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and its n + 1 offsets; null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopsight.llm.common import col, cut, fresh
+from shopsight.llm.common import col, cut, fresh, small_side
 
 # The rules' patterns in a form without backtracking: possessive, and started
 # only where a run of characters starts or the last match ended, which is where
@@ -37,6 +37,10 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
+#: Documents with flagged terms to broadcast at most; each row has the terms that
+#: are near one document's entities, about 1 kB.
+FLAGGED_ROWS = 20_000
+
 
 @dataclass(frozen=True)
 class Disclosure:
@@ -118,13 +122,19 @@ def revealing_terms(docs: DataFrame, text: str, doc_id: str, rule: Disclosure) -
     entities = pairs.select("key", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     shared = pairs.join(entities.where(F.col("n_e") >= rule.min_support), "entity")
     near_by = shared.select("key", "entity", "n_e", F.explode("terms").alias("term")).distinct()
-    often = cut(near_by.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te"), F.max("n_e").alias("n_e")).where(
-        F.col("n_te") >= rule.min_support))
-    wanted = often.select("term").distinct()
+    often = near_by.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te"), F.max("n_e").alias("n_e")).where(
+        F.col("n_te") >= rule.min_support)
+    # at most this many documents may hold a term that reveals so much; those
+    # that hold it near any entity are a first, cheap count of them
+    n = F.lit(float(max(docs.count(), 1)))
+    bound = F.col("n_te") / F.col("n_e") * n * F.pow(F.col("n_e") / n, F.lit(rule.max_disclosure))
+    near_any = pairs.select("key", F.explode("terms").alias("term")).distinct().groupBy("term").agg(
+        F.count(F.lit(1)).alias("n_near"))
+    often = cut(often.join(near_any, "term").where(F.col("n_near") <= bound * 1.000001).drop("n_near"))
+    wanted = small_side(cut(often.select("term").distinct()))
     all_words = base.select(F.explode(F.array_distinct(
         F.regexp_extract_all(F.lower("t"), F.lit(r"\p{L}{3,}"), F.lit(0)))).alias("term"))
     n_t = all_words.join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n = F.lit(float(max(docs.count(), 1)))
     shown = F.log2(n * F.col("n_te") / (F.col("n_t").cast("double") * F.col("n_e")))
     flagged = often.join(n_t, "term").where(
         (shown > 0) & (shown >= F.lit(rule.max_disclosure) * F.log2(n / F.col("n_e")))).select("entity", "term")
@@ -139,6 +149,7 @@ def with_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule
     key, terms = fresh(docs, "__key"), fresh(docs, "__terms")
     flagged = revealing_terms(docs, text, doc_id, rule).groupBy("key").agg(
         F.array_sort(F.collect_set("term")).alias(terms)).withColumnRenamed("key", key)
+    flagged = small_side(cut(flagged), FLAGGED_ROWS)
     spotted = docs.withColumn(out, base_spans(t)).withColumn(key, _key(t, col(doc_id))).join(flagged, key, "left")
     # a document's flagged terms as one pattern of whole words
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.concat_ws("|", F.col(terms)), F.lit(r")(?!\p{L})"))
