@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopsight.llm import textops as X
-from shopsight.llm.common import col, cut, fresh, slices, text_bytes
+from shopsight.llm.common import col, cut, fresh, slices, small_side, text_bytes
 from shopsight.llm.components import components
 
 
@@ -242,8 +242,8 @@ def class_labels(rows: DataFrame, reps: DataFrame, docs: DataFrame, rule: Join)
         "cid", F.col("h.token").alias("home"),
         F.pmod(F.xxhash64("cid"), F.ceil(F.col("h.c") / F.lit(rule.group)).cast("long")).alias("part"))
     wanted = home.join(reps.select("cid", "doc_id"), "cid")
-    texts = docs.withColumn("d", F.struct("doc_id")).join(
-        wanted.select(F.struct("doc_id").alias("d"), "cid"), "d").select("text", "cid")
+    wanted = small_side(cut(wanted.select(F.struct("doc_id").alias("d"), "cid")))
+    texts = docs.withColumn("d", F.struct("doc_id")).join(wanted, "d").select("text", "cid")
     members = _full_sets(texts, rule).join(home, "cid")
 
     def inside(t: pa.Table) -> pa.Table:
