@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shopsight.llm import ann, html, jaccard, lpf, mixing, packing, pii, quality, urls
+from shopsight.llm import ann, html, jaccard, lpf, mixing, packing, pii, quality, urls, windows
 from shopsight.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs).select("doc_id", *(q[n].alias(n) for n in names))
 
 
+def op5_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op2_temperature_mixing": op2_temperature_mixing,
     "op3_disclosure_pii": op3_disclosure_pii,
     "op4_quality_rules": op4_quality_rules,
+    "op5_compact_windows": op5_compact_windows,
     "op6_hilbert_neighbours": op6_hilbert_neighbours,
     "op7_sequence_packing": op7_sequence_packing,
     "op8_url_templates": op8_url_templates,
