@@ -36,7 +36,7 @@ def export_monthly_trends(t: Tables, p: Params = Params()) -> DataFrame:
         money("rev").alias("revenue"),
         F.col("orders").cast("long").alias("orders"),
         F.col("month_date").alias("_order"),
-    ).orderBy("_order").drop("_order")
+    ).orderBy(F.col("_order").asc_nulls_last()).drop("_order")
 
 
 def export_category_sales(t: Tables, p: Params = Params(), marts=None) -> DataFrame:

@@ -44,7 +44,7 @@ def monthly_revenue_trend(t: Tables, p: Params = Params()) -> DataFrame:
     range, not by the data volume), so its single partition is harmless.
     """
     m = monthly_data(t, p)
-    prev = F.lag("rev").over(Window.orderBy("month_date"))
+    prev = F.lag("rev").over(Window.orderBy(F.col("month_date").asc_nulls_last()))
     m = m.withColumn("prev", prev)
     return m.select(
         F.date_format("month_date", "MMM yyyy").alias("month_label"),
@@ -56,7 +56,7 @@ def monthly_revenue_trend(t: Tables, p: Params = Params()) -> DataFrame:
         pct(F.col("rev") - F.col("prev"), "prev", 1, num_scale=2, den_scale=2).alias(
             "mom_growth_pct"
         ),
-    ).orderBy("month_date")
+    ).orderBy(F.col("month_date").asc_nulls_last())
 
 
 def from_totals(totals: DataFrame, key: str, valid_only: bool, measure: str) -> DataFrame:

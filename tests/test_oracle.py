@@ -6,7 +6,10 @@ import __spark_entry__ as E
 from scripts.check_oracle import duck_connect, rows_of
 from tests.conftest import SF001
 
-NAMES = sorted(E.queries())
+from oracle.sql import ORACLE
+from shopsight.plans.registry import JOBS
+
+NAMES = sorted(JOBS)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +18,8 @@ def duck():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(JOBS) <= set(E.oracle_sql()) and set(JOBS) <= set(E.queries())
+    assert set(ORACLE) == set(JOBS)
 
 
 @pytest.mark.parametrize("name", NAMES)
