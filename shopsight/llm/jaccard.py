@@ -2,8 +2,8 @@
 
 Documents are sets of word shingles. Equal sets are one class. Tokens have one
 global order, the rarest first by a fixed-size table of counts; two sets that
-are similar enough share a token among the first few of each (the prefix).
-Classes that share such a token are partitioned into groups of similar
+are similar enough share tokens among the first few of each (the prefix), at least
+a known number of them. Classes with so many shared tokens are partitioned into groups of similar
 sets of bounded size; a group keeps the union of its members' tokens, its row
 of the matrix. Inside a group every pair is measured. A query meets a group only
 through a shared prefix token, is bounded by its overlap with the group's union,
@@ -49,6 +49,9 @@ class Join:
 
 
 _CHUNK = 1 << 14
+#: A set of n tokens has 1 + n // _MORE tokens more in its prefix than one shared
+#: token needs, and so has to share as many.
+_MORE = 20
 
 
 def token_sets(column: pa.Array, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -133,7 +136,9 @@ def _prefixes(docs: DataFrame, rule: Join, counts) -> DataFrame:
                 often = table[(tokens & X.U(len(table) - 1)).astype(np.int64)]
                 order = np.lexsort((tokens, often, rows))
                 rank = np.arange(len(tokens)) - off[rows]
-                need = size - -(-percent * size // 100) + 1  # a linked set shares one of these
+                # all but this many tokens are shared with a linked set, so
+                # 1 + size // _MORE of these are
+                need = np.minimum(size - -(-percent * size // 100) + 1 + size // _MORE, size)
                 own = _set_keys(tokens, off)
                 # copies in one batch give their prefix once
                 new = np.array([k is not None and not (k in seen or seen.add(k)) for k in own], bool)
@@ -150,6 +155,17 @@ def _prefixes(docs: DataFrame, rule: Join, counts) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, cid binary, prefix array<bigint>")
 
 
+def _pack(tokens: np.ndarray) -> bytes:
+    """Tokens as 48 bits each: two sets of 1000 clash in a token once in 10**8 pairs."""
+    return (tokens >> X.U(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    wide = np.zeros((len(packed) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    return np.sort(wide.view("<i8").ravel())
+
+
 def _full_sets(docs: DataFrame, rule: Join) -> DataFrame:
     """(cid, n, tokens) of (text, cid), where the text's set is that class."""
 
@@ -162,12 +178,12 @@ def _full_sets(docs: DataFrame, rule: Join) -> DataFrame:
                     if k is not None and k == wanted[row]:
                         out["cid"].append(k)
                         out["n"].append(int(off[i + 1] - off[i]))
-                        out["tokens"].append(tokens[off[i] : off[i + 1]].view(np.int64))
+                        out["tokens"].append(_pack(tokens[off[i] : off[i + 1]]))
                     row += 1
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
-                ("cid", pa.binary()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64()))]))
+                ("cid", pa.binary()), ("n", pa.int64()), ("tokens", pa.binary())]))
 
-    return docs.mapInArrow(run, "cid binary, n long, tokens array<bigint>")
+    return docs.mapInArrow(run, "cid binary, n long, tokens binary")
 
 
 class Group:
@@ -216,9 +232,9 @@ def _labels(linked: np.ndarray) -> np.ndarray:
 
 def _read(t: pa.Table) -> tuple[list[bytes], list[np.ndarray]]:
     """Members by class key, each class once."""
-    found = dict(zip(t.column("cid").to_pylist(), (x.values.to_numpy() for x in t.column("tokens")), strict=True))
+    found = dict(zip(t.column("cid").to_pylist(), t.column("tokens").to_pylist(), strict=True))
     cids = sorted(found)
-    return cids, [np.sort(found[c]) for c in cids]
+    return cids, [_unpack(found[c]) for c in cids]
 
 
 def class_labels(rows: DataFrame, reps: DataFrame, docs: DataFrame, rule: Join) -> DataFrame:
@@ -234,6 +250,11 @@ def class_labels(rows: DataFrame, reps: DataFrame, docs: DataFrame, rule: Join)
     some = postings.join(often, "token").distinct()
     named = some.join(reps.select(short.alias("c64"), "cid", "n"), "c64").select("token", "cid", "n")
     named = cut(named)
+    is_shared = named.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
+    # the smaller of two linked sets has percent of the other's tokens at least
+    enough = named.join(is_shared, "token").groupBy("cid").agg(F.count(F.lit(1)).alias("s"), F.max("n").alias("n")).where(
+        F.col("s") >= F.least(F.lit(1) + F.floor(F.col("n") * rule.percent / (100 * _MORE)), F.col("n"))).select("cid")
+    named = cut(named.join(enough, "cid"))
     count = named.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     shared = cut(named.join(count, "token"))
 
@@ -248,15 +269,16 @@ def class_labels(rows: DataFrame, reps: DataFrame, docs: DataFrame, rule: Join)
 
     def inside(t: pa.Table) -> pa.Table:
         cids, sets = _read(t)
+        own = dict(zip(t.column("cid").to_pylist(), t.column("tokens").to_pylist(), strict=True))
         label = _labels(Group(cids, sets).links(rule.percent))
         first = [t.column(c)[0].as_py() for c in ("home", "part")]
         return pa.table({
             "home": pa.array([first[0]] * len(cids), pa.int64()), "part": pa.array([first[1]] * len(cids), pa.int64()),
             "cid": pa.array(cids, pa.binary()), "n": pa.array([len(s) for s in sets], pa.int64()),
-            "tokens": pa.array(sets, pa.list_(pa.int64())), "label": pa.array([cids[i] for i in label], pa.binary())})
+            "tokens": pa.array([own[c] for c in cids], pa.binary()), "label": pa.array([cids[i] for i in label], pa.binary())})
 
     groups = cut(members.groupBy("home", "part").applyInArrow(
-        inside, "home long, part long, cid binary, n long, tokens array<bigint>, label binary"))
+        inside, "home long, part long, cid binary, n long, tokens binary, label binary"))
     named = cut(groups.select("cid", "home", "part", "label"))
     for everyone in (False, True):
         links = cut(_meet(groups, named, shared, rule, everyone))
@@ -287,11 +309,15 @@ def _meet(groups: DataFrame, named: DataFrame, shared: DataFrame, rule: Join, ev
     met = cut(met)
     if met.isEmpty():
         return met.select(F.col("label").alias("a"), F.col("label").alias("b"))
-    turns = met.groupBy("home", "part").agg(F.ceil(F.count(F.lit(1)) / F.lit(rule.queries)).cast("long").alias("turns"))
-    asked = met.join(turns, ["home", "part"]).select(
-        "home", "part", F.pmod(F.xxhash64("cid"), "turns").alias("turn"), "cid", "label")
-    asked = asked.join(groups.select("cid", "tokens"), "cid")
-    opened = groups.drop("label").join(named.select("cid", "label"), "cid").join(turns, ["home", "part"]).withColumn(
+    # token sets are narrowed to the groups and queries that meet before they move
+    turns = cut(met.groupBy("home", "part").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(rule.queries)).cast("long").alias("turns")))
+    asked = cut(met.join(turns, ["home", "part"]).select(
+        "home", "part", F.pmod(F.xxhash64("cid"), "turns").alias("turn"), "cid", "label"))
+    asked = groups.select("cid", F.col("tokens").alias("query")).join(small_side(asked), "cid").select(
+        *(F.col(c).alias(f"q_{c}") for c in ("home", "part", "turn", "label", "query")))
+    opened = groups.drop("label").join(small_side(turns), ["home", "part"]).join(
+        small_side(named.select("cid", "label")), "cid").withColumn(
         "turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1)))
 
     def verify(members: pa.Table, queries: pa.Table) -> pa.Table:
@@ -300,8 +326,8 @@ def _meet(groups: DataFrame, named: DataFrame, shared: DataFrame, rule: Join, ev
             label = dict(zip(members.column("cid").to_pylist(), members.column("label").to_pylist(), strict=True))
             cids, sets = _read(members)
             group = Group(cids, sets)
-            for own, tokens in zip(queries.column("label").to_pylist(), queries.column("tokens"), strict=True):
-                for i in group.linked_to(np.sort(tokens.values.to_numpy()), percent):
+            for own, tokens in zip(queries.column("q_label").to_pylist(), queries.column("q_query").to_pylist(), strict=True):
+                for i in group.linked_to(_unpack(tokens), percent):
                     if label[cids[i]] != own:
                         links.add((own, label[cids[i]]))
         a, b = zip(*sorted(links), strict=True) if links else ((), ())
@@ -309,7 +335,7 @@ def _meet(groups: DataFrame, named: DataFrame, shared: DataFrame, rule: Join, ev
 
     key = ("home", "part", "turn")
     return opened.select(*key, "cid", "tokens", "label").groupBy(*key).cogroup(
-        asked.select(*key, "label", "tokens").groupBy(*key)).applyInArrow(verify, "a binary, b binary").distinct()
+        asked.groupBy(*(f"q_{c}" for c in key))).applyInArrow(verify, "a binary, b binary").distinct()
 
 
 def class_table(docs: DataFrame, text: str, doc_id: str, rule: Join) -> tuple[DataFrame, DataFrame]:
