@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopsight.llm import textops as X
-from shopsight.llm.common import col, cut, slices, text_bytes
+from shopsight.llm.common import col, cut, slices, small_side, text_bytes
 
 LENGTH = 400
 GRAM = 16
@@ -155,9 +155,12 @@ def repeats(docs: DataFrame, length: int, keep: str) -> DataFrame:
     stand = cut(kinds.join(several, "p").select("fid", "m", "first"))
     per_text = stand.groupBy(F.struct("first.doc_id", "first.h").alias("k")).agg(
         F.collect_list(F.struct("first.place", "fid")).alias("places"))
-    texts = _packed(docs.where(F.octet_length("text") >= length)).withColumn("k", _key()).dropDuplicates(["k"])
-    strings = _windows(texts.join(per_text, "k"), length).select("fid", F.posexplode("strings").alias("i", "string"))
-    strings = cut(strings.join(stand.select("fid", "first"), "fid") if keep == "first" else strings)
+    per_text = cut(per_text)
+    asked = docs.withColumn("k", _key()).join(small_side(per_text.select("k")), "k", "left_semi")
+    texts = _packed(asked).withColumn("k", _key()).dropDuplicates(["k"])
+    strings = cut(_windows(texts.join(per_text, "k"), length)).select("fid", F.posexplode("strings").alias("i", "string"))
+    if keep == "first":
+        strings = strings.join(stand.select("fid", "first"), "fid")
     twice = strings.groupBy("string").agg(*([F.min("first").alias("least")] if keep == "first" else []),
                                           F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     hit = strings.join(twice, "string")
@@ -200,8 +203,13 @@ def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: i
         raise ValueError(f"length is at least {2 * GRAM}")
     t = F.coalesce(col(text).cast("string"), F.lit(""))
     plain = docs.select(t.alias("text"), col(doc_id).cast("long").alias("doc_id")).withColumn("h", F.xxhash64("text"))
-    places = repeats(plain, length, keep).select(_key().alias("k"), "places")
-    rows = _packed(plain).withColumn("k", _key()).join(places, "k", "left").select("doc_id", "z", "places")
+    places = cut(repeats(plain, length, keep).select(_key().alias("k"), "places"))
+    keyed = plain.withColumn("k", _key())
+    has_some = small_side(places.select("k"))
+    # only texts that lose something meet their places
+    touched = _packed(keyed.join(has_some, "k", "left_semi")).withColumn("k", _key()).join(places, "k")
+    whole = _packed(keyed.join(has_some, "k", "left_anti")).withColumn("places", F.lit(None).cast(places.schema["places"].dataType))
+    rows = touched.select("doc_id", "z", "places").unionByName(whole.select("doc_id", "z", "places"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
