@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopsight.llm.common import col, cut, fresh
+from shopsight.llm.common import col, cut, fresh, small_side
 
 #: Levels of bisection that one pass over the source totals settles: all
 #: midpoints that these levels can reach are measured at once.
@@ -121,7 +121,8 @@ def permutation_edges(tokens: DataFrame, plan: DataFrame, seed: int) -> DataFram
     plan = plan.withColumn("s", F.struct("source")).withColumn(
         "blocks", F.ceil(F.col("docs") / F.lit(BLOCK_DOCS)).cast("long"))
     places = tokens.select(named, "n_tokens", _place(F.col("doc_id"), F.col("n_tokens"), seed).alias("place"))
-    places = places.join(plan.select("s", "blocks"), "s").withColumn("block", _block(F.col("place"), F.col("blocks")))
+    plan = cut(plan)
+    places = places.join(small_side(plan.select("s", "blocks")), "s").withColumn("block", _block(F.col("place"), F.col("blocks")))
     sums = places.groupBy("s", "block").agg(F.sum("n_tokens").alias("sum"))
     upto = Window.partitionBy("s").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
     sums = sums.withColumn("upto", F.sum("sum").over(upto)).join(plan.select("s", "rest"), "s")
@@ -145,8 +146,8 @@ def draw(docs: DataFrame, target: Target = Target(), text: str = "text", source:
     size = words(col(text).cast("string"))
     tokens = cut(docs.select(col(doc_id).cast("string").alias("doc_id"),
                              col(source).cast("string").alias("source"), size.alias("n_tokens")))
-    edges = cut(permutation_edges(tokens, source_plan(tokens, target), target.seed)).select(
-        F.col("s").alias("__s"), "epochs", "rest", "blocks", "edge", "last")
+    edges = small_side(cut(permutation_edges(tokens, source_plan(tokens, target), target.seed)).select(
+        F.col("s").alias("__s"), "epochs", "rest", "blocks", "edge", "last"))
     rows = docs.withColumn(n_tokens, size).withColumn("__s", F.struct(col(source).cast("string").alias("source")))
     rows = rows.join(edges, "__s", "left").withColumn("__place", _place(col(doc_id), F.col(n_tokens), target.seed))
     block = _block(F.col("__place"), F.col("blocks"))
