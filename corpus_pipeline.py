@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shopsight.llm import jaccard, mixing, packing, pii, quality
-from shopsight.llm.common import ship
+from shopsight.llm.common import cut, ship
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,6 +59,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))  # each stage reads its input several times
+    return STAGES[-1][1](spark, docs, sf_dir)
