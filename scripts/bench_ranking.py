@@ -22,7 +22,7 @@ def main(argv: list[str]) -> None:
     from pyspark.sql import Window, functions as F
 
     from shopsight.operators.ranking import asc, desc, rank_windows
-    from shopsight.session import build_session, clean_materialized, materialize
+    from shopsight.session import build_session, materialize
 
     n = int(argv[1]) if len(argv) > 1 else 20_000_000
     bucket_rows = int(argv[2]) if len(argv) > 2 else 2_000_000
@@ -44,7 +44,6 @@ def main(argv: list[str]) -> None:
     ).agg(F.sum("rk"), F.sum("nt"), F.count("*")).first()
     t2 = time.perf_counter()
     print(f"rows={n} bucketed={t1 - t0:.1f}s single_task={t2 - t1:.1f}s equal={tuple(got) == tuple(want)}")
-    clean_materialized(spark)
     spark.stop()
 
 

@@ -28,7 +28,7 @@ def indian_grouping(value) -> Column:
     r = F.round(F.abs(v), 3)
     whole = F.floor(r).cast("decimal(38,0)").cast("string")
     frac = F.regexp_replace(
-        F.format_string("%.3f", r - F.floor(r)).substr(3, 3), "0+$", ""
+        F.format_string("%.3f", (r - F.floor(r)).cast("double")).substr(3, 3), "0+$", ""
     )
     head = F.regexp_extract(whole, r"^(\d+)\d{3}$", 1)  # all but the last three digits
     tail = F.regexp_extract(whole, r"(\d{3})$", 1)
@@ -64,3 +64,30 @@ def status_slug(tier) -> Column:
     """'status-' + lower-cased tier with its first space turned into '-'."""
     lowered = F.lower(col(tier))
     return F.concat(F.lit("status-"), F.regexp_replace(lowered, r"^([^ ]*) ", "$1-"))
+
+
+def with_display(name: str, df):
+    """Dashboard display columns on the serving tables that show them."""
+    if name == "store_performance":
+        return df.withColumns({
+            "revenue_display": currency_display("revenue"),
+            "tier_class": status_slug("performance_tier"),
+        })
+    if name == "export_store_performance":
+        return df.withColumns({
+            "revenue_display": currency_display("revenue"),
+            "orders_display": indian_grouping("orders"),
+            "tier_class": status_slug("performance_tier"),
+        })
+    if name == "export_top_products":
+        return df.withColumns({
+            "revenue_display": currency_display("revenue"),
+            "units_display": indian_grouping("units_sold"),
+            "label": short_label("product_name"),
+        })
+    if name in ("product_performance", "top_products"):
+        return df.withColumns({
+            "revenue_display": currency_display("revenue"),
+            "label": short_label("prod_name"),
+        })
+    return df

@@ -17,8 +17,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from shopsight.sources.tables import DIMENSION_KEYS, Tables
 
-REPORT_SCHEMA = "check STRING, table STRING, columns STRING, violations BIGINT"
-
 
 def _row(df: DataFrame, check: str, table: str, columns: str, n) -> DataFrame:
     return df.select(
@@ -33,6 +31,39 @@ def unique(df: DataFrame, table: str, *keys: str) -> DataFrame:
     return _row(dup.agg(F.count(F.lit(1)).alias("n")), "unique", table, ",".join(keys), F.col("n"))
 
 
+def _report(agg: DataFrame, table: str, names: list[tuple[str, str]]) -> DataFrame:
+    """Report rows of one aggregate row, whose columns are named check:columns."""
+    rows = [F.struct(F.lit(c).alias("check"), F.lit(table).alias("table"), F.lit(k).alias("columns"),
+                     F.coalesce(F.col(f"`{c}:{k}`"), F.lit(0)).cast("long").alias("violations")) for c, k in names]
+    return agg.select(F.inline(F.array(*rows)))
+
+
+def unique_and_not_null(df: DataFrame, table: str, key: str, columns: tuple[str, ...]) -> DataFrame:
+    """Repeated keys and NULL counts in one scan: NULLs are counted per key and
+    then summed."""
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *nulls)
+    agg = per_key.agg(F.count_if(F.col("n") > 1).alias(f"unique:{key}"),
+                      *(F.sum(f"null_{c}").alias(f"not_null:{c}") for c in columns))
+    return _report(agg, table, [("unique", key), *(("not_null", c) for c in columns)])
+
+
+def links(child: DataFrame, table: str, parents: list[tuple[str, DataFrame]],
+          not_null_columns: tuple[str, ...] = ()) -> DataFrame:
+    """Orphans of several keys, and NULL counts, in one pass over ``child``:
+    rows are first counted per combination of the keys, and a flagged left join
+    for each key marks the combinations that have a parent."""
+    keys = list(dict.fromkeys([*(k for k, _ in parents), *not_null_columns]))
+    rows = child.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    for key, parent in parents:
+        rows = rows.join(parent.select(key).distinct().withColumn(f"_has_{key}", F.lit(True)), key, "left")
+    lost = [F.sum(F.when(F.col(k).isNotNull() & F.col(f"_has_{k}").isNull(), F.col("_n"))).alias(f"orphans:{k}")
+            for k, _ in parents]
+    nulls = [F.sum(F.when(F.col(c).isNull(), F.col("_n"))).alias(f"not_null:{c}") for c in not_null_columns]
+    return _report(rows.agg(*lost, *nulls), table,
+                   [*(("orphans", k) for k, _ in parents), *(("not_null", c) for c in not_null_columns)])
+
+
 def not_null(df: DataFrame, table: str, *columns: str) -> DataFrame:
     """NULL counts of all ``columns`` in one scan, unpivoted to one report row each."""
     agg = df.agg(*[F.count_if(F.col(c).isNull()).cast("long").alias(c) for c in columns])
@@ -58,14 +89,17 @@ def key_report(t: Tables) -> DataFrame:
     """Checks that make the pre-aggregated plans exact: unique dimension keys
     (and declared unique keys), non-NULL join keys, and orphan facts."""
     parts = [unique(t.get(tbl), tbl, key) for tbl, key in DIMENSION_KEYS.items()]
-    parts += [unique(t.get(tbl), tbl, key) for tbl, key in t.unique_keys.items()]
+    required = ("order_id", "cust_id", "store_id")
+    declared = dict(t.unique_keys)
+    if declared.pop("orders", None) == "order_id":
+        parts.append(unique_and_not_null(t.orders, "orders", "order_id", required))
+    else:
+        parts.append(not_null(t.orders, "orders", *required))
+    parts += [unique(t.get(tbl), tbl, key) for tbl, key in declared.items()]
     parts += [
-        not_null(t.orders, "orders", "order_id", "cust_id", "store_id"),
-        not_null(t.order_items, "order_items", "order_id", "prod_id"),
-        orphans(t.order_items, t.orders, "order_items", "order_id"),
-        orphans(t.order_items, t.products, "order_items", "prod_id"),
-        orphans(t.orders, t.stores, "orders", "store_id"),
-        orphans(t.orders, t.customers, "orders", "cust_id"),
+        links(t.order_items, "order_items", [("order_id", t.orders), ("prod_id", t.products)],
+              ("order_id", "prod_id")),
+        links(t.orders, "orders", [("store_id", t.stores), ("cust_id", t.customers)]),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -79,3 +113,13 @@ def assert_clean(report: DataFrame, checks=("unique",)) -> None:
     if bad:
         raise ValueError("data quality violations: " + "; ".join(
             f"{r['check']} {r['table']}.{r['columns']}={r['violations']}" for r in bad))
+
+
+def assert_keys(report: DataFrame, t: Tables) -> None:
+    """Raise if a declared key has NULLs: it would not identify its rows."""
+    declared = [f"{tbl}.{key}" for tbl, key in t.unique_keys.items()]
+    bad = report.filter((F.col("check") == "not_null") & (F.col("violations") > 0)
+                        & F.concat_ws(".", "table", "columns").isin(*declared)).collect()
+    if bad:
+        raise ValueError("NULL in declared keys: " + "; ".join(
+            f"{r['table']}.{r['columns']}={r['violations']}" for r in bad))

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MAX_BOUNDS = 65535  # boundary keys over all groups; binary search needs 16 steps
 _SEARCH_STEPS = [1 << i for i in range(15, -1, -1)]
-_HASH_SPACE = 1 << 20
+_HASH_SPACE = 1 << 40
 
 
 @dataclass(frozen=True)
@@ -58,27 +58,40 @@ def desc(c: str, nulls_first: bool | None = None) -> Order:
     return Order(c, False, nulls_first)
 
 
+_INTEGERS = ("byte", "short", "integer", "long")
+_FLOATS = ("float", "double")
+
+
+def _check_types(df: DataFrame, order: list[Order]) -> None:
+    """The same inputs are accepted whatever the number of rows."""
+    for o in order:
+        dtype = df.schema[o.column].dataType.typeName()
+        known = (*_INTEGERS, *_FLOATS, "decimal", "date", "timestamp", "timestamp_ntz", "boolean")
+        if dtype not in known and not (dtype == "string" and o.ascending):
+            way = "ascending" if o.ascending else "descending"
+            raise TypeError(f"{way} order on {dtype} column {o.column!r} is not supported")
+
+
 def _ascending_value(df: DataFrame, o: Order) -> Column:
+    """A value that sorts upwards; NaN, which has a flag of its own, is 0."""
     c = F.col(o.column)
     dtype = df.schema[o.column].dataType.typeName()
-    if dtype in ("date",):
+    if dtype == "date":
         c = F.unix_date(c)
     elif dtype.startswith("timestamp"):
         c = F.unix_micros(c.cast("timestamp")) if dtype == "timestamp_ntz" else F.unix_micros(c)
-    elif dtype in ("string", "binary", "boolean") and not o.ascending:
-        raise TypeError(f"descending order on {dtype} column {o.column!r} is not supported")
+    elif dtype == "boolean":
+        c = c.cast("int")
+    elif dtype in _FLOATS:
+        c = F.when(F.isnan(c), F.lit(0.0)).otherwise(c.cast("double")) + F.lit(0.0)  # -0.0 is 0.0
     if not o.ascending:
-        c = -c
+        # the smallest LONG has no negative as a LONG
+        c = -(c.cast("decimal(20,0)") if dtype in (*_INTEGERS, "timestamp", "timestamp_ntz") else c)
     return c
 
 
 def _zero_for(df: DataFrame, o: Order) -> Column:
-    dtype = df.schema[o.column].dataType.typeName()
-    if dtype == "string":
-        return F.lit("")
-    if dtype == "boolean":
-        return F.lit(False)
-    return F.lit(0)
+    return F.lit("") if df.schema[o.column].dataType.typeName() == "string" else F.lit(0)
 
 
 def _key_fields(df: DataFrame, order: list[Order]) -> list[Column]:
@@ -89,6 +102,10 @@ def _key_fields(df: DataFrame, order: list[Order]) -> list[Column]:
         flag = F.when(isnull, 0 if o.nulls_first_resolved() else 1).otherwise(
             1 if o.nulls_first_resolved() else 0
         )
+        if df.schema[o.column].dataType.typeName() in _FLOATS:
+            # as in Spark's own order: NaN is larger than any number
+            nan = F.when(F.isnan(F.col(o.column)), 1 if o.ascending else -1).otherwise(0)
+            flag = 3 * flag + F.coalesce(nan, F.lit(0))
         val = F.coalesce(_ascending_value(df, o), _zero_for(df, o))
         fields += [flag.alias(f"n{i}"), val.alias(f"v{i}")]
     return fields
@@ -124,6 +141,9 @@ def rank_window(
     """
     if not tiebreak:
         raise ValueError("a unique tie-break column list is required")
+    _check_types(df, order)
+    if bucket_rows > _HASH_SPACE * oversample:
+        raise ValueError(f"bucket_rows is at most {_HASH_SPACE * oversample}: the sample can't be thinner")
     max_bounds = min(max_bounds, MAX_BOUNDS)
     parts = list(partition_by)
     if materialize and not _input_materialized:
@@ -133,8 +153,11 @@ def rank_window(
         # one bucket, the bucketed plan would produce a single bucket anyway,
         # and Spark's own window over <= bucket_rows rows is the same work
         # with fewer jobs.
-        if df.count() <= bucket_rows:
+        n_rows = df.count()
+        if n_rows <= bucket_rows:
             return _builtin_window(df, order, tiebreak, outputs, parts)
+        if n_rows > 2 * max_bounds * bucket_rows:
+            raise ValueError(f"{n_rows} rows don't fit {max_bounds} buckets of {bucket_rows}: raise bucket_rows")
     tie_fields = _key_fields(df, order)
     tb_fields = [F.col(t).alias(f"t{i}") for i, t in enumerate(tiebreak)]
     cols = {"_key": F.struct(*tie_fields, *tb_fields), "_tie": F.struct(*tie_fields)}
@@ -148,7 +171,7 @@ def rank_window(
 
     # --- 2. deterministic sample -> boundary keys --------------------------
     rate = min(1.0, oversample / max(bucket_rows, 1))
-    threshold = max(1, int(round(rate * _HASH_SPACE)))
+    threshold = int(round(rate * _HASH_SPACE))
     sample = base.filter(F.pmod(F.xxhash64("_key"), F.lit(_HASH_SPACE)) < threshold).select(
         *grp, "_key"
     )
@@ -305,6 +328,8 @@ def rank_windows(
     step's plan would contain all earlier steps with their subqueries, and
     planning time would grow with the number of orderings.
     """
+    for spec in specs:
+        _check_types(df, spec["order"])
     df = _materialize(df)
     if df.count() <= bucket_rows:
         for spec in specs:

@@ -33,8 +33,6 @@ REGISTRY = [
      "SUM(quantity) GROUP BY prod_id", "sales.order_items, products.products"),
 ]
 
-MART_SCHEMA = "metric STRING, entity_type STRING, entity_id BIGINT, value DOUBLE"
-
 
 def _global(name: str, df: DataFrame, value) -> DataFrame:
     return df.agg(value.alias("value")).select(
@@ -143,7 +141,7 @@ def metric_mart(t: Tables) -> DataFrame:
 def registry(spark: SparkSession, owner: str | None = None,
              created_at: dt.datetime | None = None) -> DataFrame:
     """The metric registry (kpi_metadata) as a small DataFrame: 7 fixed rows."""
-    created = created_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    created = created_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)  # TIMESTAMP_NTZ: UTC wall clock
     if owner is None:  # DEFAULT CURRENT_USER
         try:
             owner = spark.sparkContext.sparkUser()
@@ -163,14 +161,9 @@ def metric_catalog(t: Tables) -> DataFrame:
     (the 7 fixed registry rows are broadcast: a fixed-size side)."""
     spark = t.orders.sparkSession
     reg = spark.createDataFrame(
-        [(name, cat, formula) for name, cat, _, formula, _ in REGISTRY],
-        "metric STRING, kpi_category STRING, formula STRING",
+        [(i, *row) for i, row in enumerate(REGISTRY, 1)],
+        "kpi_id INT, metric STRING, kpi_category STRING, description STRING, formula STRING, source_tables STRING",
     )
     return metric_mart(t).join(F.broadcast(reg), "metric", "left").select(
-        "metric", "kpi_category", "formula", "entity_type", "entity_id", "value"
+        "kpi_id", "metric", "kpi_category", "description", "formula", "source_tables", "entity_type", "entity_id", "value"
     )
-
-
-def write_mart(t: Tables, path: str, mode: str = "overwrite") -> None:
-    """Write the mart partitioned by metric (one folder per metric)."""
-    metric_mart(t).write.mode(mode).partitionBy("metric").parquet(path)

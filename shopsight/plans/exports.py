@@ -90,15 +90,14 @@ def export_top_products(t: Tables, p: Params = Params(), marts=None) -> DataFram
     )
 
 
-# name: (payload function, bounded). Bounded payloads (one row, months,
-# categories, segments, top n) become one {generated_at, data} document.
-# The store payload has one element per store, so it grows with the data: it
-# is written as JSON lines over many files (``lines_document``) instead of one
-# array value built in a single task.
+# name: (payload function, bounded). Bounded payloads (one row, months, segments,
+# top n) become one {generated_at, data} document. Payloads with an element per
+# store or category grow with the data: their documents are written in parts
+# (``document_lines``) instead of as one array value built in a single task.
 EXPORTS = {
     "sales_overview": (export_sales_overview, True),
     "monthly_trends": (export_monthly_trends, True),
-    "category_sales": (export_category_sales, True),
+    "category_sales": (export_category_sales, False),
     "customer_segments": (export_customer_segments, True),
     "store_performance": (export_store_performance, False),
     "top_products": (export_top_products, True),
@@ -121,23 +120,38 @@ def _json_fields(payload: DataFrame) -> list[Column]:
     return out
 
 
-def lines_document(payload: DataFrame, generated_at: Column | None = None) -> DataFrame:
-    """Per-entity payload as JSON lines: one ``{generated_at, ...fields}`` object
-    per row, in the payload's order (range-partitioned sort, so part files
-    follow each other in order). Null fields are kept."""
+def document_lines(payload: DataFrame, generated_at: Column | None = None) -> DataFrame:
+    """A per-entity document as lines: a head, one element a line in the
+    payload's order, a foot. Joined, they are ``{generated_at, data: [...]}``
+    (``data: null`` for no rows). Elements are written where the payload's sort
+    left them; nothing is gathered."""
     ts = generated_at if generated_at is not None else F.current_timestamp()
-    return payload.select(
-        F.to_json(F.struct(ts.alias("generated_at"), *_json_fields(payload)),
-                  {"ignoreNullFields": "false"}).alias("json")
-    )
+    spark = payload.sparkSession
+    element = F.to_json(F.struct(*_json_fields(payload)), {"ignoreNullFields": "false"})
+    # the range-partitioned sort leaves the first element at the first place
+    first = F.monotonically_increasing_id() == 0
+    body = payload.select(F.concat(F.when(first, "[").otherwise(","), element).alias("line"))
+    one = spark.range(1, numPartitions=1)
+    stamp = F.get_json_object(F.to_json(F.struct(ts.alias("t"))), "$.t")
+    head = one.select(F.concat(F.lit('{"generated_at":"'), stamp, F.lit('","data":')).alias("line"))
+    # an empty payload has no element that opens the array
+    some = payload.select(F.count(F.lit(1)) > 0).scalar()
+    foot = one.select(F.when(some, "]}").otherwise("null}").alias("line"))
+    return head.union(body).union(foot)
+
+
+def stamped(payload: DataFrame, bounded: bool, single: bool, at: str = "2001-08-02T00:00:00.000Z") -> DataFrame:
+    """An export's document with a fixed ``generated_at``."""
+    stamp = F.lit(at)
+    return document(payload, single, stamp) if bounded else document_lines(payload, stamp)
 
 
 def document(payload: DataFrame, single: bool, generated_at: Column | None = None,
              order_by: list[Column] | None = None) -> DataFrame:
     """One-row DataFrame with column ``json``: ``{"generated_at": ..., "data": ...}``.
 
-    The payloads are bounded by their definitions (1 row, months, categories,
-    segments, stores, top n); the document is a single value by nature. Array
+    For payloads that are bounded by their definitions (1 row, months, segments,
+    top n); the document is a single value by nature. Array
     order is made explicit: rows are numbered before aggregation and the
     array is sorted by that number (collect_list alone does not keep order
     across partitions). An empty array becomes JSON null, like json_agg.

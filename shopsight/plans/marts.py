@@ -51,6 +51,26 @@ def store_orders(t: Tables, p: Params) -> DataFrame:
     )
 
 
+def region_measures(t: Tables, p: Params) -> DataFrame:
+    """Per region over valid orders of known stores: stores, orders, customers,
+    revenue. With a declared order_id key the orders are first summed per
+    (store, customer), so their shuffle carries partial sums and a hot store
+    is spread over its customers; the region joins those rows."""
+    v = valid_orders(t, p)
+    stores = t.stores.select("store_id", "region")
+    if t.unique_keys.get("orders") == "order_id":
+        pairs = v.where(F.col("store_id").isNotNull()).groupBy("store_id", "cust_id").agg(
+            F.count("order_id").alias("n"), F.sum("total_amount").alias("s"), F.count("total_amount").alias("c"))
+        orders = F.sum("n")
+    else:
+        pairs = v.select("store_id", "cust_id", "order_id", F.col("total_amount").alias("s"),
+                         F.when(F.col("total_amount").isNotNull(), 1).otherwise(0).alias("c"))
+        orders = F.count_distinct("order_id")
+    return pairs.join(stores, "store_id").groupBy("region").agg(
+        F.count_distinct("store_id").alias("n_stores"), orders.alias("n_orders"),
+        F.count_distinct("cust_id").alias("n_customers"), F.sum("s").alias("s"), F.sum("c").alias("c"))
+
+
 def item_lines(t: Tables, p: Params, valid_only: bool, items: DataFrame | None = None) -> DataFrame:
     """Order lines joined to order ids.
 
@@ -59,18 +79,21 @@ def item_lines(t: Tables, p: Params, valid_only: bool, items: DataFrame | None =
     still count for units and revenue (KPI 13, 14), exactly as the LEFT JOIN
     with the status test in its ON clause does.
     """
-    # The two largest tables meet here; at any real scale neither side can be
-    # broadcast. Shuffle-hash join: the build side is one entry per valid
-    # order (unique key, so no hot key and a per-partition size of about
-    # orders / partitions), the line side is never sorted, and the output
-    # stays hash-partitioned by order_id for the groupings that follow. The
-    # hint also keeps small inputs from being planned as one broadcast probe
-    # inside a single scan task.
-    v = valid_orders(t, p).select("order_id", F.lit(True).alias("_valid")).hint("shuffle_hash")
+    # The two largest tables meet here. No join is forced: a sort-merge join
+    # spills at any size, and AQE makes it a hash join where the measured
+    # partitions are small enough. Either way the output stays
+    # hash-partitioned by order_id for the groupings that follow.
+    v = valid_orders(t, p).select("order_id", F.lit(True).alias("_valid"))
     if items is None:
         items = t.order_items.select("order_id", "prod_id", "quantity", "unit_price", "discount")
     how = "inner" if valid_only else "left"
-    return items.join(v, "order_id", how).withColumns(
+    joined = items.join(v, "order_id", how)
+    if not valid_only:
+        # lines without an order id can't match: they don't go to the join,
+        # where all of them would meet in one partition
+        joined = items.where(F.col("order_id").isNotNull()).join(v, "order_id", how).unionByName(
+            items.where(F.col("order_id").isNull()).withColumn("_valid", F.lit(None).cast("boolean")))
+    return joined.withColumns(
         {
             "net": net_value(),
             "gross": F.col("quantity") * F.col("unit_price"),

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from shopsight.params import Params
+from shopsight.functions.display import with_display
+from shopsight.params import ORDER_STATUSES, Params
 from shopsight.operators import quality
 from shopsight.plans import catalog, customer, exports, product, sales, store
 from shopsight.sources.tables import Tables
@@ -38,6 +39,30 @@ JOBS: dict[str, Callable[[Tables, Params], DataFrame]] = {
     **{k: (lambda f: (lambda t, p: f(t)))(f) for k, f in catalog.METRICS.items()},
     "metric_mart": lambda t, p: catalog.metric_mart(t),
     "metric_catalog": lambda t, p: catalog.metric_catalog(t),
-    # data-quality report over the business tables
+    # the export documents, with a fixed stamp
+    **{f"document_{name}": (lambda fn, bounded, single: lambda t, p: exports.stamped(fn(t, p), bounded, single))(
+        fn, bounded, name in exports.SINGLE_OBJECT) for name, (fn, bounded) in exports.EXPORTS.items()},
+    # serving tables with the dashboard's display columns
+    "display_store_performance": lambda t, p: with_display("store_performance", store.store_performance(t, p)),
+    "display_product_performance": lambda t, p: with_display("product_performance", product.product_performance(t, p)),
+    "display_top_products": lambda t, p: with_display("top_products", sales.top_products(t, p)),
+    "display_export_stores": lambda t, p: with_display("export_store_performance", exports.export_store_performance(t, p)),
+    "display_export_products": lambda t, p: with_display("export_top_products", exports.export_top_products(t, p)),
+    # data-quality reports over the business tables
     "quality_key_report": lambda t, p: quality.key_report(t),
+    "quality_domain_report": lambda t, p: quality.domain(t.orders, "orders", "order_status", ORDER_STATUSES).unionByName(
+        quality.domain(t.order_items, "order_items", "discount", (0, 2, 4, 6, 8, 10))),
+    # rows that a run's execution log records for some jobs
+    "run_audit": lambda t, p: logged_run(t, p, ("sales_overview", "region_summary", "export_customer_segments")),
 }
+
+
+def logged_run(t: Tables, p: Params, names: tuple[str, ...]) -> DataFrame:
+    """What the execution log records of running ``names`` in full."""
+    from shopsight.sinks import AuditLog, write_table
+
+    audit = AuditLog(t.orders.sparkSession)
+    for name in names:
+        audit.timed(name, lambda name=name: write_table(JOBS[name](t, p), None, name))
+    audit.close()
+    return audit.execution_log().select("kpi_name", "rows_returned", "status", "error_message")

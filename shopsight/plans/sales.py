@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from shopsight.functions.semantics import as_of_date, div_round, money, pct
 from shopsight.params import Params
-from shopsight.plans.marts import line_measures, valid_orders
+from shopsight.plans.marts import line_measures, region_measures, valid_orders
 from shopsight.sources.tables import Tables
 
 
@@ -137,29 +137,13 @@ def revenue_by_category(t: Tables, p: Params = Params(), measure: str = "net",
 
 
 def revenue_by_region(t: Tables, p: Params = Params()) -> DataFrame:
-    """KPI 4: inner join, so stores without valid orders are not counted.
-
-    The stores dimension is broadcast when AQE measures it small; otherwise
-    the shuffle join is split on hot stores by AQE's skew handling. The
-    distinct counts share one Expand + partial aggregation; with a declared
-    unique order_id the order count is a plain count.
-    """
-    v = valid_orders(t, p)
-    stores = t.stores.select("store_id", "region")
-    joined = v.join(stores, "store_id", "inner")
-    g = joined.groupBy("region").agg(
-        F.count_distinct("store_id").alias("store_count"),
-        F.sum("total_amount").alias("s"),
-        F.count("total_amount").alias("c"),
-        t.distinct_count("orders", "order_id").alias("orders"),
-        F.count_distinct("cust_id").alias("customers"),
-    )
-    return g.select(
+    """KPI 4: inner join, so stores without valid orders are not counted."""
+    return region_measures(t, p).select(
         "region",
-        F.col("store_count").cast("long"),
+        F.col("n_stores").cast("long").alias("store_count"),
         money("s").alias("revenue"),
-        F.col("orders").cast("long"),
-        F.col("customers").cast("long"),
+        F.col("n_orders").cast("long").alias("orders"),
+        F.col("n_customers").cast("long").alias("customers"),
         div_round("s", "c", 2, num_scale=2).alias("avg_order_value"),
     ).orderBy(F.col("revenue").desc_nulls_first(), "region")
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from shopsight.functions.semantics import div_round, money, pct, tier
-from shopsight.operators.ranking import asc, desc, rank_windows
+from shopsight.operators.ranking import desc, rank_windows
 from shopsight.params import STORE_TIER_DEFAULT, Params
-from shopsight.plans.marts import store_orders, valid_orders
+from shopsight.plans.marts import region_measures, store_orders
 from shopsight.sources.tables import Tables
 
 
@@ -40,6 +40,10 @@ def store_sales(t: Tables, p: Params, marts=None) -> DataFrame:
 def store_performance(t: Tables, p: Params = Params(), marts=None, sort: bool = True) -> DataFrame:
     """KPI 11: RANK (gaps) overall and per region, tier from PERCENT_RANK.
 
+    The ascending PERCENT_RANK needs no third ordering: of n stores,
+    n - rank - ties + 1 lie below one of descending rank ``rank`` that shares
+    its revenue with ``ties`` stores, itself included.
+
     The global RANK / PERCENT_RANK run through ``rank_window`` (range
     buckets) instead of one single-partition window over all stores; the
     regional rank is bucketed too, so one region holding most stores does
@@ -52,11 +56,15 @@ def store_performance(t: Tables, p: Params = Params(), marts=None, sort: bool =
             {"order": [desc("rev")], "outputs": {"overall_rank": "rank"}},
             {"order": [desc("rev")], "outputs": {"regional_rank": "rank"},
              "partition_by": ["region"]},
-            {"order": [asc("rev")], "outputs": {"prank": "percent_rank"}},
         ],
         tiebreak=["store_id"],
         bucket_rows=p.rank_bucket_rows,
     )
+    ties = r.groupBy("rev").agg(F.count(F.lit(1)).alias("_ties"))
+    n = ss.select(F.count(F.lit(1))).scalar()
+    r = r.join(ties, "rev")
+    below = n - F.col("overall_rank") - F.col("_ties") + 1
+    r = r.withColumn("prank", F.when(n > 1, below.cast("double") / (n - 1).cast("double")).otherwise(0.0))
     out = r.select(
         "store_id", "store_name", "city", "region", "total_orders", "unique_customers",
         money("rev").alias("revenue"),
@@ -79,19 +87,12 @@ def store_performance(t: Tables, p: Params = Params(), marts=None, sort: bool =
 def region_summary(t: Tables, p: Params = Params()) -> DataFrame:
     """KPI 12: store_count includes idle stores; NULL revenue without orders.
 
-    Store counts come from the stores dimension alone; the order measures
-    from valid orders joined to stores; the two per-region results (a few
-    rows each) are then joined.
+    Store counts come from the stores dimension alone; the two per-region
+    results (a few rows each) are then joined.
     """
-    stores = t.stores.select("store_id", "region")
-    counts = stores.groupBy("region").agg(F.count_distinct("store_id").alias("store_count"))
-    v = valid_orders(t, p).join(stores, "store_id", "inner")
-    meas = v.groupBy("region").agg(
-        t.distinct_count("orders", "order_id").alias("total_orders"),
-        F.count_distinct("cust_id").alias("unique_customers"),
-        F.sum("total_amount").alias("s"),
-        F.count("total_amount").alias("c"),
-    )
+    counts = t.stores.groupBy("region").agg(F.count_distinct("store_id").alias("store_count"))
+    meas = region_measures(t, p).select(
+        "region", F.col("n_orders").alias("total_orders"), F.col("n_customers").alias("unique_customers"), "s", "c")
     # NULL region is a group of its own, as in GROUP BY: null-safe join
     g = counts.join(meas, counts["region"].eqNullSafe(meas["region"]), "left")
     return g.select(

@@ -3,10 +3,10 @@
 ``run_all`` is the batch entry point a scheduler calls. With ``out_dir`` it
 writes:
   kpis/<name>/           Parquet KPI tables (store and product tables with display columns)
-  data/<name>.json       one JSON document (a single file) per dashboard export;
-                         store_performance also as data/store_performance.jsonl/
-                         (JSON lines, one per store; the single document only up to
-                         sinks.DOCUMENT_MAX_ROWS stores)
+  data/<name>.json       one JSON document per dashboard export: a single file, or for
+                         store_performance and category_sales a folder whose parts,
+                         joined in name order, are the document
+  display/<name>/        the two exports that the page formats, with display columns
   analytics/metric_mart/ long-format metric mart, partitioned by metric
   analytics/kpi_metadata/, execution_log/, refresh_history/  governance tables
 Without ``out_dir`` every job still runs in full into the ``noop`` sink.
@@ -20,20 +20,20 @@ import os
 
 from pyspark.sql import SparkSession, functions as F
 
-from shopsight.functions.display import currency_display, short_label, status_slug
+from shopsight.functions.display import with_display
 from shopsight.operators import quality
 from shopsight.params import FIXTURE_AS_OF, Params
 from shopsight.plans import catalog
 from shopsight.plans.exports import EXPORTS, SINGLE_OBJECT
 from shopsight.plans.marts import Marts
 from shopsight.plans.registry import JOBS
-from shopsight.session import clean_materialized
-from shopsight.sinks import (AuditLog, refresh_rows, write_document, write_table,
-                             written_paths)
+from shopsight.session import Scope
+from shopsight.sinks import AuditLog, refresh_rows, utc_now, write_document, write_table
 from shopsight.sources.star_schema import tables_from_star
 from shopsight.sources.tables import Tables
 
 KPI_NAMES = [n for n in JOBS if not n.startswith(("export_", "metric_", "quality_"))]
+DISPLAY_EXPORTS = ("store_performance", "top_products")
 
 
 def _call(job, t: Tables, p: Params, marts: Marts):
@@ -42,24 +42,9 @@ def _call(job, t: Tables, p: Params, marts: Marts):
     return job(t, p)
 
 
-def with_display(name: str, df):
-    """Dashboard display columns on the serving tables that show them."""
-    if name == "store_performance":
-        return df.withColumns({
-            "revenue_display": currency_display("revenue"),
-            "tier_class": status_slug("performance_tier"),
-        })
-    if name in ("product_performance", "top_products"):
-        return df.withColumns({
-            "revenue_display": currency_display("revenue"),
-            "label": short_label("prod_name"),
-        })
-    return df
-
-
 def run_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None = None,
             params: Params = Params(as_of=FIXTURE_AS_OF), tables: Tables | None = None,
-            fail_fast: bool = True, check_keys: bool = False) -> AuditLog:
+            fail_fast: bool = True, check_keys: bool = True) -> AuditLog:
     """Run everything. ``check_keys`` first verifies the keys the
     pre-aggregated plans rely on (unique dimension and declared keys) and
     stops before any output is written if one is violated; the full report
@@ -72,54 +57,56 @@ def run_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None
                                                                 "quality_report"))
             report = spark.read.parquet(os.path.join(out_dir, "analytics", "quality_report"))
         quality.assert_clean(report, checks=("unique",))
+        quality.assert_keys(report, t)
     marts = Marts(t, params, persist=True)
     audit = AuditLog(spark)
-    generated_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    generated_at = utc_now()
 
     def path(*parts):
         return os.path.join(out_dir, *parts) if out_dir else None
 
-    try:
-        for name in KPI_NAMES:
-            # timed from definition on: ranking jobs materialize their input while defined
-            def kpi(name=name):
-                df = with_display(name, _call(JOBS[name], t, params, marts))
-                return write_table(df, path("kpis", name), name)
-
-            status, err = audit.timed(name, kpi)
-            if status != "SUCCESS" and fail_fast:
-                raise RuntimeError(f"{name} failed: {err}")
-        for name, (fn, bounded) in EXPORTS.items():
-            target = path("data", f"{name}.json")
-            holder = {}
-
-            def job(fn=fn, target=target, single=name in SINGLE_OBJECT, bounded=bounded):
-                payload = _call(fn, t, params, marts)
-                n, _ = write_document(payload, single, target, generated_at, bounded)
-                holder["n"] = n
-                return n, "SUCCESS"
-
-            status, err = audit.timed(f"export_{name}", job)
-            if status != "SUCCESS" and fail_fast:
-                raise RuntimeError(f"export {name} failed: {err}")
-            if target and status == "SUCCESS":
-                written = written_paths(target, bounded, holder["n"])
-                audit.refresh.append(refresh_rows(spark, written, f"{name}.json", holder["n"],
-                                                  generated_at))
-        mart_path = path("analytics", "metric_mart")
-        status, err = audit.timed(
-            "metric_mart",
-            lambda: write_table(catalog.metric_mart(t), None, "metric_mart") if mart_path is None
-            else _write_mart(t, mart_path),
-        )
+    def run(name: str, job) -> bool:
+        status, err = audit.timed(name, job)
         if status != "SUCCESS" and fail_fast:
-            raise RuntimeError(f"metric_mart failed: {err}")
-        if out_dir:
-            catalog.registry(spark).write.mode("overwrite").parquet(path("analytics", "kpi_metadata"))
-            audit.append(path("analytics"))
+            raise RuntimeError(f"{name} failed: {err}")
+        return status == "SUCCESS"
+
+    try:
+        with Scope(spark):
+            for name in KPI_NAMES:
+                # timed from definition on: ranking jobs materialize their input while defined
+                def kpi(name=name):
+                    df = with_display(name, _call(JOBS[name], t, params, marts))
+                    return write_table(df, path("kpis", name), name)
+
+                run(name, kpi)
+            for name, (fn, bounded) in EXPORTS.items():
+                target = path("data", f"{name}.json")
+                holder = {}
+
+                def export(fn=fn, target=target, single=name in SINGLE_OBJECT, bounded=bounded, holder=holder):
+                    payload = _call(fn, t, params, marts)
+                    holder["n"] = write_document(payload, single, target, generated_at, bounded)
+                    return holder["n"], "SUCCESS"
+
+                if run(f"export_{name}", export) and target:
+                    audit.refresh.append(refresh_rows(spark, target, f"{name}.json", holder["n"], generated_at))
+            for name in DISPLAY_EXPORTS:
+                def shown(name=name):
+                    df = with_display(f"export_{name}", _call(EXPORTS[name][0], t, params, marts))
+                    return write_table(df, path("display", name), name)
+
+                run(f"display_{name}", shown)
+            mart_path = path("analytics", "metric_mart")
+            run("metric_mart", lambda: write_table(catalog.metric_mart(t), None, "metric_mart")
+                if mart_path is None else _write_mart(t, mart_path))
+            if out_dir:
+                catalog.registry(spark).write.mode("overwrite").parquet(path("analytics", "kpi_metadata"))
     finally:
         marts.release()
-        clean_materialized(spark)
+        audit.close()
+        if out_dir:  # a run that failed is on record, too
+            audit.append(path("analytics"))
     return audit
 
 
@@ -134,10 +121,11 @@ def _write_mart(t: Tables, target: str):
 
 def main(argv: list[str] | None = None) -> int:
     """Command line: ``python -m shopsight.runner --out DIR (--star DIR |
-    --tables DIR | --database NAME) [--as-of YYYY-MM-DD] [--check-keys]``."""
+    --tables DIR | --database NAME) [--as-of YYYY-MM-DD] [--no-check-keys]
+    [--input-bytes N --total-cores N]``."""
     import argparse
 
-    from shopsight.session import build_session
+    from shopsight.session import build_session, cluster_conf
     from shopsight.sources.business import read_catalog_tables, read_parquet_tables
 
     ap = argparse.ArgumentParser(prog="shopsight.runner")
@@ -149,11 +137,14 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--as-of", help="date used for CURRENT_DATE (default: today)")
     ap.add_argument("--unique-order-id", action="store_true",
                     help="declare orders.order_id unique (counts instead of distinct counts)")
-    ap.add_argument("--check-keys", action="store_true", help="verify keys before running")
+    ap.add_argument("--no-check-keys", action="store_true", help="don't verify keys before running")
+    ap.add_argument("--input-bytes", type=int, help="input size; with --total-cores, sizes the partitions")
+    ap.add_argument("--total-cores", type=int, help="cores of the cluster")
     ap.add_argument("--master", help="Spark master (default: from the environment)")
     args = ap.parse_args(argv)
 
-    spark = build_session(args.master)
+    sized = bool(args.input_bytes and args.total_cores)
+    spark = build_session(args.master, extra=cluster_conf(args.input_bytes, args.total_cores) if sized else None)
     keys = {"orders": "order_id"} if args.unique_order_id else {}
     if args.star:
         tables = tables_from_star(spark, args.star)
@@ -163,7 +154,7 @@ def main(argv: list[str] | None = None) -> int:
         tables = read_catalog_tables(spark, args.database, keys)
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else None
     audit = run_all(spark, tables=tables, out_dir=args.out, params=Params(as_of=as_of),
-                    check_keys=args.check_keys)
+                    check_keys=not args.no_check_keys)
     failed = [r for r in audit.rows if r[5] != "SUCCESS"]
     print(f"{len(audit.rows)} jobs, {len(failed)} failed; output in {args.out}")
     return 1 if failed else 0

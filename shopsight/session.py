@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextvars
 import os
 import tempfile
 import uuid
@@ -21,6 +22,9 @@ DEFAULT_CONF = {
     # Runtime (measured) broadcast decisions; the static estimate stays at
     # Spark's default so nothing unbounded is broadcast from plan-time guesses.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # AQE turns a sort-merge join into a hash join where every measured build
+    # partition is at most this large, so the choice follows the data.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     # Checkpointed ranking inputs are removed from the shared folder once
     # their DataFrames are garbage-collected (otherwise every run leaves
@@ -64,7 +68,7 @@ def build_session(master: str | None = None, app: str = "shopsight",
     conf = dict(DEFAULT_CONF)
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
-        conf["spark.driver.memory"] = os.environ.get("SHOPSIGHT_DRIVER_MEMORY", "16g")
+        conf["spark.driver.memory"] = os.environ.get("SHOPSIGHT_DRIVER_MEMORY", "8g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -100,51 +104,62 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return path
 
 
-def _materialized_root(spark: SparkSession) -> str:
-    base = checkpoint_dir(spark)
-    if base is None:
-        raise RuntimeError("spark.checkpoint.dir is not set")
-    return f"{base.rstrip('/')}/shopsight-tables/{spark.sparkContext.applicationId}"
+class Scope:
+    """The intermediate tables and caches of one run, and only those.
+
+    Inside ``with Scope(spark):`` ``materialize`` writes Parquet tables into the
+    scope's own folder and ``persist_derived`` caches; leaving the scope drops
+    both. Scopes of other runs in the same session are not touched.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        base = checkpoint_dir(spark)
+        if base is None:
+            raise RuntimeError("spark.checkpoint.dir is not set")
+        self.spark = spark
+        self.root = f"{base.rstrip('/')}/shopsight-run-{uuid.uuid4().hex}"
+        self.persisted: list = []
+
+    def __enter__(self) -> Scope:
+        self._token = _SCOPE.set(self)
+        return self
+
+    def __exit__(self, *exc) -> None:
+        _SCOPE.reset(self._token)
+        while self.persisted:
+            self.persisted.pop().unpersist()
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_SCOPE: contextvars.ContextVar[Scope | None] = contextvars.ContextVar("shopsight_scope", default=None)
 
 
 def materialize(df):
-    """Write ``df`` as a Parquet table under the shared checkpoint folder and
-    read it back: lineage is cut and the rows survive lost executors.
+    """``df`` computed once and kept in the shared checkpoint folder: lineage is
+    cut and the rows survive lost executors.
 
-    Faster than ``DataFrame.checkpoint`` (Java-serialized rows) both to write
-    and to read back (columnar, compressed, column-pruned). The tables of an
-    application are removed by ``clean_materialized``.
+    In a ``Scope``: a Parquet table (columnar, compressed), removed with the
+    scope. Outside: ``DataFrame.checkpoint``, whose files Spark's cleaner
+    removes when the DataFrame is gone (``cleanCheckpoints`` above).
     """
-    spark = df.sparkSession
-    path = f"{_materialized_root(spark)}/{uuid.uuid4().hex}"
+    scope = _SCOPE.get()
+    if scope is None:
+        checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    path = f"{scope.root}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
-_PERSISTED: list = []
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def persist_derived(df):
-    """Persist an intermediate that is cheap to recompute from a materialized
-    table (MEMORY_AND_DISK; a lost block is rebuilt from that table, not from
-    the sources). Released by ``clean_materialized``."""
+    """Cache an intermediate that is cheap to recompute from a materialized
+    table, for the length of the scope; outside a scope nothing is cached."""
+    scope = _SCOPE.get()
+    if scope is None:
+        return df
     from pyspark import StorageLevel
 
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(out)
+    scope.persisted.append(out)
     return out
-
-
-def clean_materialized(spark: SparkSession) -> None:
-    """Release what ``persist_derived`` cached and delete the tables
-    ``materialize`` wrote for this application (call once the DataFrames
-    built on them are no longer needed, e.g. at the end of a run)."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
-    try:
-        root = _materialized_root(spark)
-        jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:  # Spark Connect or no checkpoint folder: nothing of ours to clean
-        return
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    path.getFileSystem(conf).delete(path, True)

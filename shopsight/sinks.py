@@ -12,10 +12,9 @@ import datetime as dt
 import time
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from shopsight.plans.exports import document, lines_document
+from shopsight.plans.exports import document, document_lines
 
 EXECUTION_LOG_SCHEMA = (
     "log_id STRING, kpi_name STRING, executed_at TIMESTAMP_NTZ, execution_time_ms INT, "
@@ -28,8 +27,14 @@ REFRESH_SCHEMA = (
 STATUSES = ("SUCCESS", "FAILED", "PARTIAL")
 
 
-def _now() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+def utc_now() -> dt.datetime:
+    """Aware, so that no step takes it for the host's local time."""
+    return dt.datetime.now(dt.timezone.utc)
+
+
+def _wall_clock(at: dt.datetime):
+    """A UTC wall-clock literal (TIMESTAMP_NTZ), whatever the session's zone."""
+    return F.lit(at.astimezone(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def write_table(df: DataFrame, path: str | None, name: str) -> tuple[int, str]:
@@ -47,57 +52,29 @@ def write_table(df: DataFrame, path: str | None, name: str) -> tuple[int, str]:
     return int(obs.get["rows"]), "SUCCESS"
 
 
-# A per-entity export is also published as one document when it has at most
-# this many rows (checked on the written row count, not assumed).
-DOCUMENT_MAX_ROWS = 100_000
-
-
 def write_document(payload: DataFrame, single: bool, path: str | None,
-                   generated_at: dt.datetime, bounded: bool = True) -> tuple[int, DataFrame]:
-    """Write an export.
-
-    Bounded payloads become one ``{generated_at, data}`` JSON document in one
-    file (``coalesce(1)`` merges a single row). Per-entity payloads are written
-    as JSON lines by many tasks (``<name>.jsonl/``); when the observed row
-    count is at most ``DOCUMENT_MAX_ROWS`` the same rows (persisted, so in the
-    same order) are also published as the one-file document the dashboard
-    reads. Larger payloads never go through one task.
+                   generated_at: dt.datetime, bounded: bool = True) -> int:
+    """Write an export; returns its number of elements.
+
+    A bounded payload (one object, months, segments, top n) becomes one
+    ``{generated_at, data}`` JSON document in one file. A payload with a row per
+    entity becomes a folder of that name whose parts, joined in name order, are
+    the same kind of document; many tasks write them, in the same way for ten
+    entities as for ten million.
     """
     obs = Observation("payload_rows")
     counted = payload.observe(obs, F.count(F.lit(1)).alias("rows"))
-    movable = hasattr(payload.sparkSession, "_jvm")
-    if bounded:
-        doc = document(counted, single, generated_at=F.lit(generated_at))
-        if path is None:
-            doc.write.format("noop").mode("overwrite").save()
-        elif movable:
-            # the dashboard reads data/<name>.json as one file: write the single
-            # part into a temporary folder, then move it into place
-            staging = f"{path}.staging-{uuid.uuid4().hex}"
-            doc.coalesce(1).write.mode("overwrite").text(staging)
-            _publish_single_part(payload.sparkSession, staging, path)
-        else:  # Spark Connect: no file-system handle; a folder with one part
-            doc.coalesce(1).write.mode("overwrite").text(path)
-        return int(obs.get["rows"]), doc
-
-    kept = counted.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        lines = lines_document(kept, generated_at=F.lit(generated_at))
-        if path is None:
-            lines.write.format("noop").mode("overwrite").save()
-        else:
-            lines_path = (path[:-5] if path.endswith(".json") else path) + ".jsonl"
-            lines.write.mode("overwrite").text(lines_path)
-        n = int(obs.get["rows"])
-        if path is not None and movable and n <= DOCUMENT_MAX_ROWS:
-            staging = f"{path}.staging-{uuid.uuid4().hex}"
-            document(kept, single, generated_at=F.lit(generated_at)).coalesce(1).write.text(staging)
-            _publish_single_part(payload.sparkSession, staging, path)
-        elif path is not None and movable:
-            _delete(payload.sparkSession, path)  # no stale document from a smaller run
-    finally:
-        kept.unpersist()
-    return n, lines
+    at = F.lit(generated_at)
+    doc = document(counted, single, generated_at=at) if bounded else document_lines(counted, generated_at=at)
+    if path is None:
+        doc.write.format("noop").mode("overwrite").save()
+    elif bounded and hasattr(payload.sparkSession, "_jvm"):
+        staging = f"{path}.staging-{uuid.uuid4().hex}"
+        doc.coalesce(1).write.mode("overwrite").text(staging)
+        _publish_single_part(payload.sparkSession, staging, path)
+    else:
+        (doc.coalesce(1) if bounded else doc).write.mode("overwrite").text(path)
+    return int(obs.get["rows"])
 
 
 def _publish_single_part(spark: SparkSession, staging: str, target: str) -> None:
@@ -120,21 +97,6 @@ def _publish_single_part(spark: SparkSession, staging: str, target: str) -> None
     fs.delete(src_dir, True)
 
 
-def _delete(spark: SparkSession, target: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(target)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
-def written_paths(path: str, bounded: bool, record_count: int) -> list[str]:
-    """The files/folders ``write_document`` produced for ``path``."""
-    if bounded:
-        return [path]
-    lines = (path[:-5] if path.endswith(".json") else path) + ".jsonl"
-    return [lines] + ([path] if record_count <= DOCUMENT_MAX_ROWS else [])
-
-
 def refresh_rows(spark: SparkSession, path: str | list[str], data_file: str, record_count: int,
                  refreshed_at: dt.datetime) -> DataFrame:
     """One refresh_history row; the size is read back from the written files'
@@ -144,7 +106,7 @@ def refresh_rows(spark: SparkSession, path: str | list[str], data_file: str, rec
     return size.select(
         F.lit(str(uuid.uuid4())).alias("refresh_id"),
         F.lit(data_file).alias("data_file"),
-        F.lit(refreshed_at).cast("timestamp_ntz").alias("refreshed_at"),
+        _wall_clock(refreshed_at).alias("refreshed_at"),
         F.lit(record_count).cast("long").alias("record_count"),
         (F.coalesce(F.col("bytes"), F.lit(0)) / F.lit(1024)).cast("decimal(10,2)").alias("file_size_kb"),
     )
@@ -159,7 +121,7 @@ class AuditLog:
         self.refresh: list[DataFrame] = []
 
     def timed(self, kpi_name: str, fn):
-        start, t0 = _now(), time.perf_counter()
+        start, t0 = utc_now().replace(tzinfo=None), time.perf_counter()
         try:
             rows, status = fn()
             err = None
@@ -169,6 +131,16 @@ class AuditLog:
         self.rows.append((str(uuid.uuid4()), kpi_name, start, ms, rows, status, err))
         return status, err
 
+    def close(self, name: str = "run_all") -> str:
+        """Add the run's own row: SUCCESS, PARTIAL if some jobs failed, FAILED if all did."""
+        failed = sum(r[5] != "SUCCESS" for r in self.rows)
+        status = "SUCCESS" if not failed else "FAILED" if failed == len(self.rows) else "PARTIAL"
+        start = min((r[2] for r in self.rows), default=utc_now().replace(tzinfo=None))
+        ms = sum(r[3] for r in self.rows)
+        note = f"{failed} of {len(self.rows)} jobs failed" if failed else None
+        self.rows.append((str(uuid.uuid4()), name, start, ms, None, status, note))
+        return status
+
     def execution_log(self) -> DataFrame:
         return self.spark.createDataFrame(self.rows, EXECUTION_LOG_SCHEMA)
 

@@ -190,3 +190,32 @@ def test_null_amount_and_repeated_product_in_order(spark):
     clv = {x["cust_id"]: x for x in customer.customer_lifetime_value(t2, P).collect()}
     assert clv[11]["total_orders"] == 1 and clv[11]["lifetime_value"] == 0.0
     assert clv[11]["avg_order_value"] == 0.0 and clv[11]["clv_segment"] == "New"
+
+
+def test_orders_without_a_date_come_last(spark):
+    """The growth of the first dated month must not refer to undated orders."""
+    import datetime as dt
+    from decimal import Decimal
+
+    from shopsight.plans.sales import monthly_revenue_trend
+    from shopsight.sources.tables import SCHEMAS, Tables
+
+    rows = [(1, 1, 1, None, "Shipped", Decimal("5.00")),
+            (2, 1, 1, dt.date(2020, 1, 3), "Shipped", Decimal("10.00")),
+            (3, 1, 1, dt.date(2020, 2, 3), "Shipped", Decimal("20.00"))]
+    t = Tables(**{n: spark.createDataFrame(rows if n == "orders" else [], SCHEMAS[n]) for n in SCHEMAS})
+    got = [(r.month_label, r.mom_growth_pct) for r in monthly_revenue_trend(t).collect()]
+    assert got == [("Jan 2020", None), ("Feb 2020", 100.0), (None, -75.0)]
+
+
+def test_every_source_row_is_mapped(spark):
+    from shopsight.sources.star_schema import tables_from_star
+    from tests.conftest import SF001
+
+    t = tables_from_star(spark, SF001)
+    n = lambda name: spark.read.parquet(f"{SF001}/{name}.parquet").count()
+    assert t.order_items.count() == n("lineitem")
+    assert t.expenses.count() == n("supplier")
+    assert t.inventory.count() >= n("part")
+    sold = t.order_items.select("prod_id").distinct()
+    assert t.products.join(sold, "prod_id", "left_anti").count() > 0

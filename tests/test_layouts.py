@@ -45,3 +45,37 @@ def test_bucketed_tables_join_without_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert got == _rows(JOBS["top_products"](star, P))
+
+
+def test_line_join_is_not_forced(spark):
+    """Where partitions are large the line join sorts and merges (it can spill)."""
+    from shopsight.params import Params
+    from shopsight.plans.marts import item_lines
+    from shopsight.sources.star_schema import tables_from_star
+    from tests.conftest import SF001
+
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                           "spark.sql.adaptive.autoBroadcastJoinThreshold",
+                                           "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold")}
+    try:
+        for k in keep:
+            spark.conf.set(k, "-1" if "Broadcast" in k else "0")
+        df = item_lines(tables_from_star(spark, SF001), Params(), True)
+        n = df.count()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan and "ShuffledHashJoin" not in plan
+    assert n == item_lines(tables_from_star(spark, SF001), Params(), True).count()
+
+
+def test_region_measures_do_not_shuffle_orders_by_store(spark):
+    from shopsight.params import Params
+    from shopsight.plans.sales import revenue_by_region
+    from shopsight.sources.star_schema import tables_from_star
+    from tests.conftest import SF001
+
+    plan = revenue_by_region(tables_from_star(spark, SF001), Params())._jdf.queryExecution().executedPlan().toString()
+    first = [x for x in plan.splitlines() if "hashpartitioning(" in x][-1]
+    assert "store_id" in first and "cust_id" in first

@@ -102,3 +102,27 @@ def test_rank_windows_several_orderings(spark, bucket_rows):
         F.percent_rank().over(Window.orderBy(F.col("v").asc_nulls_last())).alias("c"),
     )
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_same_types_and_answers_on_both_sides_of_the_limit(spark):
+    """NaN, the smallest LONG, booleans and timestamps rank alike with Spark's
+    window and with range buckets; unsupported types fail on both."""
+    import datetime as dt
+
+    import pytest
+
+    from shopsight.operators.ranking import asc, desc, rank_window
+
+    rows = [(i, v, n, i % 2 == 0, dt.datetime(2020, 1, 1 + i % 3), f"s{i % 4}") for i, (v, n) in enumerate(
+        [(1.0, 5), (float("nan"), -(2**63)), (None, None), (-0.0, 2**63 - 1), (0.0, 5), (float("inf"), 0),
+         (float("nan"), 5), (float("-inf"), -1)])]
+    df = spark.createDataFrame(rows, "k long, v double, n long, b boolean, t timestamp, s string")
+    for order in ([asc("v")], [desc("v")], [desc("n")], [asc("n")], [desc("b")], [desc("t")], [asc("s")]):
+        answers = []
+        for limit in (1000, 2):
+            got = rank_window(df, order, ["k"], {"r": "rank", "i": "row_number"}, bucket_rows=limit)
+            answers.append(sorted((x.k, x.r, x.i) for x in got.collect()))
+        assert answers[0] == answers[1], order
+    for limit in (1000, 2):
+        with pytest.raises(TypeError):
+            rank_window(df, [desc("s")], ["k"], {"r": "rank"}, bucket_rows=limit)
