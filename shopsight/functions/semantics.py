@@ -1,7 +1,7 @@
 """Column-level semantics shared by the KPI jobs.
 
 All helpers return built-in Spark Column expressions (JVM-side, codegen'd).
-Money stays DECIMAL until the final projection; ratios are rounded exactly on
+Money stays DECIMAL to the sink; ratios are rounded exactly on
 integers so every engine agrees digit for digit (see ``div_round``).
 """
 
@@ -41,8 +41,8 @@ def gross_value(quantity="quantity", price="unit_price") -> Column:
 
 
 def money(c, digits: int = 2) -> Column:
-    """ROUND(decimal, digits) (half away from zero) presented as DOUBLE."""
-    return F.round(col(c), digits).cast("double")
+    """ROUND(decimal, digits) (half away from zero), exact DECIMAL(38, digits)."""
+    return F.round(col(c), digits).cast(f"decimal(38,{digits})")
 
 
 def _unscaled(c: Column, scale: int) -> Column:
@@ -53,7 +53,7 @@ def _unscaled(c: Column, scale: int) -> Column:
 
 
 def div_round(num, den, digits: int, *, num_scale: int = 0, den_scale: int = 0, mult: int = 1) -> Column:
-    """ROUND(num * mult / NULLIF(den, 0), digits) as DOUBLE, exact.
+    """ROUND(num * mult / NULLIF(den, 0), digits) as DECIMAL(38, digits), exact.
 
     Both operands are scaled to integers N, D and the half-away-from-zero
     quotient is ``sign * ((2|N|K + |D|) div 2|D|)`` with K = mult * 10^digits.
@@ -70,7 +70,7 @@ def div_round(num, den, digits: int, *, num_scale: int = 0, den_scale: int = 0,
     mag = F.call_function("div", q, (F.lit(2) * F.abs(d)).cast("decimal(38,0)"))
     negative = (n < 0) != (d < 0)
     r = F.when(d == 0, F.lit(None)).when(negative, -mag).otherwise(mag)
-    return r.cast("double") / F.lit(float(10**digits))
+    return (r.cast("decimal(38,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(38,{digits})")
 
 
 def pct(num, den, digits: int = 1, *, num_scale: int = 0, den_scale: int = 0) -> Column:

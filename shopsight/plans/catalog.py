@@ -33,18 +33,21 @@ REGISTRY = [
      "SUM(quantity) GROUP BY prod_id", "sales.order_items, products.products"),
 ]
 
+#: Every metric's value: money and counts exactly, the mean to 6 decimals.
+VALUE = "decimal(38,6)"
+
 
 def _global(name: str, df: DataFrame, value) -> DataFrame:
     return df.agg(value.alias("value")).select(
         F.lit(name).alias("metric"), F.lit("all").alias("entity_type"),
-        F.lit(None).cast("long").alias("entity_id"), F.col("value").cast("double"),
+        F.lit(None).cast("long").alias("entity_id"), F.col("value").cast(VALUE),
     )
 
 
 def _per(name: str, etype: str, df: DataFrame, key: str, value) -> DataFrame:
     return df.groupBy(key).agg(value.alias("value")).select(
         F.lit(name).alias("metric"), F.lit(etype).alias("entity_type"),
-        F.col(key).cast("long").alias("entity_id"), F.col("value").cast("double"),
+        F.col(key).cast("long").alias("entity_id"), F.col("value").cast(VALUE),
     )
 
 
@@ -111,14 +114,14 @@ def metric_mart(t: Tables) -> DataFrame:
         F.sum("total_amount").alias("s"),
         F.count("order_id").alias("c"),
     ).select(
-        F.col("rev").cast("double").alias("total_revenue"),
-        F.col("n").cast("double").alias("order_count"),
-        div_round("s", "c", 6, num_scale=2).alias("avg_order_value"),
+        F.col("rev").cast(VALUE).alias("total_revenue"),
+        F.col("n").cast(VALUE).alias("order_count"),
+        div_round("s", "c", 6, num_scale=2).cast(VALUE).alias("avg_order_value"),
     )
     glob = g.unpivot([], ["total_revenue", "order_count", "avg_order_value"], "metric", "value")
     glob = glob.select(
         "metric", F.lit("all").alias("entity_type"), F.lit(None).cast("long").alias("entity_id"),
-        F.col("value").cast("double"),
+        F.col("value").cast(VALUE),
     )
     per = o.groupingSets([["cust_id"], ["store_id"]], "cust_id", "store_id").agg(
         F.sum("total_amount").alias("value"), F.grouping_id().alias("gid")
@@ -129,7 +132,7 @@ def metric_mart(t: Tables) -> DataFrame:
         F.when(by_customer, "customer").otherwise("store").alias("entity_type"),
         F.when(by_customer, F.col("cust_id")).otherwise(F.col("store_id")).cast("long")
         .alias("entity_id"),
-        F.col("value").cast("double"),
+        F.col("value").cast(VALUE),
     )
     return (
         glob.unionByName(per)

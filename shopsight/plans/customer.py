@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shopsight.functions.semantics import div_round, money, pct, rfm_segment, tier
@@ -29,7 +31,7 @@ def customer_lifetime_value(t: Tables, p: Params = Params(), marts=None, sort: b
         "cust_id", "full_name", "city", "state", "join_date",
         F.coalesce(F.col("n_orders"), F.lit(0)).cast("long").alias("total_orders"),
         money(F.coalesce(F.col("amount"), F.lit(0))).alias("lifetime_value"),
-        F.coalesce(div_round("amount", "n_amount", 2, num_scale=2), F.lit(0.0)).alias(
+        F.coalesce(div_round("amount", "n_amount", 2, num_scale=2), F.lit(Decimal("0.00"))).alias(
             "avg_order_value"
         ),
         "first_order",

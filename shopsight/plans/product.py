@@ -47,7 +47,7 @@ def product_performance(t: Tables, p: Params = Params(), marts=None,
     stock = F.coalesce(F.col("current_stock"), F.lit(0))
     out = ranked.select(
         "prod_id", "prod_name", "category", "brand",
-        F.col("price").cast("double").alias("list_price"),
+        F.col("price").alias("list_price"),
         F.coalesce(F.col("units"), F.lit(0)).cast("long").alias("units_sold"),
         money(F.coalesce(F.col("rev"), F.lit(0))).alias("revenue"),
         F.coalesce(F.col("n_orders"), F.lit(0)).cast("long").alias("order_count"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, functions as F
 
 from shopsight.functions.semantics import div_round, money, pct, tier
@@ -71,9 +73,9 @@ def store_performance(t: Tables, p: Params = Params(), marts=None, sort: bool =
         money("exp").alias("expenses"),
         money("profit_x").alias("profit"),
         F.when(F.col("rev") > 0, pct("profit_x", "rev", 1, num_scale=2, den_scale=2))
-        .otherwise(F.lit(0.0)).alias("profit_margin_pct"),
+        .otherwise(F.lit(Decimal("0.0"))).alias("profit_margin_pct"),
         F.when(F.col("total_orders") > 0, div_round("rev", "total_orders", 2, num_scale=2))
-        .otherwise(F.lit(0.0)).alias("avg_order_value"),
+        .otherwise(F.lit(Decimal("0.00"))).alias("avg_order_value"),
         "overall_rank",
         "regional_rank",
         tier("prank", p.store_tiers, STORE_TIER_DEFAULT).alias("performance_tier"),

@@ -60,30 +60,30 @@ def test_empty_orders_give_one_row(spark):
 def test_sales_overview_filters_status(spark, t):
     r = sales.sales_overview(t, P).first()
     assert r["total_orders"] == 3 and r["total_customers"] == 2
-    assert r["total_revenue"] == 750.25
-    assert r["avg_order_value"] == 250.08  # 750.25 / 3 = 250.0833
-    assert r["revenue_per_customer"] == 375.13  # 375.125 rounds half up
+    assert r["total_revenue"] == D("750.25")
+    assert r["avg_order_value"] == D("250.08")  # 750.25 / 3 = 250.0833
+    assert r["revenue_per_customer"] == D("375.13")  # 375.125 rounds half up
 
 
 def test_monthly_lag_skips_missing_month(spark, t):
     rows = sales.monthly_revenue_trend(t, P).collect()
     assert [r["month_label"] for r in rows] == ["Jan 2024", "Mar 2024"]
     assert rows[0]["mom_growth_pct"] is None
-    assert rows[1]["mom_growth_pct"] == 550.3  # (650.25 - 100) / 100 * 100
+    assert rows[1]["mom_growth_pct"] == D("550.3")  # (650.25 - 100) / 100 * 100
 
 
 def test_daily_window_counts_rows_not_days(spark, t):
     rows = sales.daily_sales_30d(t, P).collect()
     assert [r["sale_date"] for r in rows] == [dt.date(2024, 3, 2), dt.date(2024, 3, 20)]
     assert rows[0]["day_name"] == "Sat"
-    assert rows[1]["moving_avg_7d"] == 325.13  # (600 + 50.25) / 2
+    assert rows[1]["moving_avg_7d"] == D("325.13")  # (600 + 50.25) / 2
 
 
 def test_clv_keeps_idle_customers(spark, t):
     rows = {r["cust_id"]: r for r in customer.customer_lifetime_value(t, P).collect()}
     idle = rows[12]
-    assert idle["total_orders"] == 0 and idle["lifetime_value"] == 0.0
-    assert idle["avg_order_value"] == 0.0 and idle["first_order"] is None
+    assert idle["total_orders"] == 0 and idle["lifetime_value"] == D("0.0")
+    assert idle["avg_order_value"] == D("0.0") and idle["first_order"] is None
     assert idle["days_since_last_order"] is None and idle["clv_segment"] == "New"
     assert rows[11]["clv_segment"] == "Bronze" and rows[11]["days_since_last_order"] == 29
 
@@ -100,7 +100,7 @@ def test_product_performance_counts_all_status_lines(spark, t):
     bolt = rows[100]
     assert bolt["units_sold"] == 8            # includes the cancelled order's 5
     assert bolt["order_count"] == 2           # orders 1 and 2 only
-    assert bolt["revenue"] == 75.0            # 20 + 5 + 50
+    assert bolt["revenue"] == D("75.0")            # 20 + 5 + 50
     assert rows[102]["units_sold"] == 0 and rows[102]["stores_stocked"] is None
     assert rows[102]["stock_status"] == "Out of Stock" and rows[101]["stock_status"] == "Out of Stock"
     assert bolt["stock_status"] == "In Stock" and bolt["stores_stocked"] == 2
@@ -115,14 +115,14 @@ def test_category_performance_keeps_unsold(spark, t):
     rows = {r["category"]: r for r in product.category_performance(t, P).collect()}
     assert rows["TOY"]["product_count"] == 1 and rows["TOY"]["revenue"] is None
     assert rows["TOY"]["order_count"] == 0 and rows["TOY"]["pct_of_revenue"] is None
-    assert rows["HW"]["pct_of_revenue"] == 100.0
+    assert rows["HW"]["pct_of_revenue"] == D("100.0")
 
 
 def test_store_performance_and_idle_store(spark, t):
     rows = {r["store_id"]: r for r in store.store_performance(t, P).collect()}
-    assert rows[3]["revenue"] == 0.0 and rows[3]["profit_margin_pct"] == 0.0
-    assert rows[3]["avg_order_value"] == 0.0 and rows[3]["overall_rank"] == 3
-    assert rows[2]["profit_margin_pct"] == -66.7  # (600 - 1000) / 600
+    assert rows[3]["revenue"] == D("0.0") and rows[3]["profit_margin_pct"] == D("0.0")
+    assert rows[3]["avg_order_value"] == D("0.0") and rows[3]["overall_rank"] == 3
+    assert rows[2]["profit_margin_pct"] == D("-66.7")  # (600 - 1000) / 600
     assert rows[1]["regional_rank"] == 2 and rows[2]["regional_rank"] == 1
     assert rows[2]["performance_tier"] == "Star" and rows[3]["performance_tier"] == "Needs Attention"
 
@@ -183,13 +183,13 @@ def test_null_amount_and_repeated_product_in_order(spark):
     )
     r = sales.sales_overview(t2, P).first()
     assert r["total_orders"] == 2 and r["total_customers"] == 2
-    assert r["avg_order_value"] == 100.0        # AVG skips the NULL amount
-    assert r["revenue_per_customer"] == 50.0    # SUM / COUNT(DISTINCT cust_id)
+    assert r["avg_order_value"] == D("100.0")        # AVG skips the NULL amount
+    assert r["revenue_per_customer"] == D("50.0")    # SUM / COUNT(DISTINCT cust_id)
     top = {x["prod_id"]: x for x in sales.top_products(t2, P).collect()}
     assert top[100]["order_count"] == 2 and top[100]["units_sold"] == 4
     clv = {x["cust_id"]: x for x in customer.customer_lifetime_value(t2, P).collect()}
-    assert clv[11]["total_orders"] == 1 and clv[11]["lifetime_value"] == 0.0
-    assert clv[11]["avg_order_value"] == 0.0 and clv[11]["clv_segment"] == "New"
+    assert clv[11]["total_orders"] == 1 and clv[11]["lifetime_value"] == D("0.0")
+    assert clv[11]["avg_order_value"] == D("0.0") and clv[11]["clv_segment"] == "New"
 
 
 def test_orders_without_a_date_come_last(spark):
@@ -205,7 +205,7 @@ def test_orders_without_a_date_come_last(spark):
             (3, 1, 1, dt.date(2020, 2, 3), "Shipped", Decimal("20.00"))]
     t = Tables(**{n: spark.createDataFrame(rows if n == "orders" else [], SCHEMAS[n]) for n in SCHEMAS})
     got = [(r.month_label, r.mom_growth_pct) for r in monthly_revenue_trend(t).collect()]
-    assert got == [("Jan 2020", None), ("Feb 2020", 100.0), (None, -75.0)]
+    assert got == [("Jan 2020", None), ("Feb 2020", D("100.0")), (None, D("-75.0"))]
 
 
 def test_every_source_row_is_mapped(spark):
