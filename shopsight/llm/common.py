@@ -36,7 +36,7 @@ def require_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
-    folder = sc.getConf().get("spark.checkpoint.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

@@ -11,6 +11,7 @@ import public_tokenizers
 
 from shopsight.llm import ann, html, jaccard, lpf, mixing, packing, pii, quality, urls, windows
 from shopsight.llm.common import ship
+from shopsight.llm.oracle import ORACLE_SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,4 +80,4 @@ QUERIES: dict[str, Query] = {
     "op9_main_text": op9_main_text,
     "op10_jaccard_join": op10_jaccard_join,
 }
-ORACLE_SQL: dict[str, str] = {}
+
