@@ -243,25 +243,28 @@ def class_labels(rows: DataFrame, reps: DataFrame, docs: DataFrame, rule: Join)
     ``rows``: (doc_id, n, cid, prefix); ``reps``: (cid, n, doc_id), one row a
     class; ``docs``: (text, doc_id).
     """
-    # 64 bits of a class do for finding candidates: a clash adds one, loses none
-    short = F.xxhash64("cid")
-    postings = rows.select(F.explode("prefix").alias("token"), short.alias("c64"))
+    # 64 bits of a class do for finding candidates: a clash adds one, loses none.
+    # The last 8 tell how many tokens it has to share (255: or more): the
+    # smaller of two linked sets has ``percent`` of the other's tokens at least.
+    must = F.least(F.floor(F.col("n") * rule.percent / (100 * _MORE)) + 1, F.col("n"), F.lit(255)).cast("long")
+    short = F.xxhash64("cid").bitwiseAND(F.lit(~255)).bitwiseOR(must).alias("c64")
+    postings = rows.select(F.explode("prefix").alias("token"), short)
     often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-    some = postings.join(often, "token").distinct()
-    named = some.join(reps.select(short.alias("c64"), "cid", "n"), "c64").select("token", "cid", "n")
-    named = cut(named)
-    is_shared = named.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-    # the smaller of two linked sets has percent of the other's tokens at least
-    enough = named.join(is_shared, "token").groupBy("cid").agg(F.count(F.lit(1)).alias("s"), F.max("n").alias("n")).where(
-        F.col("s") >= F.least(F.lit(1) + F.floor(F.col("n") * rule.percent / (100 * _MORE)), F.col("n"))).select("cid")
-    named = cut(named.join(enough, "cid"))
-    count = named.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    shared = cut(named.join(count, "token"))
+    some = cut(postings.join(often, "token").distinct())
+    for _ in range(2):  # tokens of two classes; classes with enough of them
+        two = some.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
+        some = some.join(two, "token")
+        enough = some.groupBy("c64").agg(F.count(F.lit(1)).alias("s")).where(
+            F.col("s") >= F.col("c64").bitwiseAND(F.lit(255))).select("c64")
+        some = cut(some.join(enough, "c64").select("token", "c64"))
+    named = cut(reps.select(short, "cid", "n").join(some.select("c64").distinct(), "c64"))
+    count = some.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    shared = cut(some.join(small_side(named), "c64").join(count, "token").select("token", "cid", "n", "c"))
 
     # home of a class: its most shared token, in parts of bounded size
-    home = shared.groupBy("cid").agg(F.max(F.struct("c", "token")).alias("h")).select(
-        "cid", F.col("h.token").alias("home"),
-        F.pmod(F.xxhash64("cid"), F.ceil(F.col("h.c") / F.lit(rule.group)).cast("long")).alias("part"))
+    home = cut(shared.groupBy("cid").agg(F.max(F.struct("c", "token")).alias("h")).select("cid", F.col("h.token").alias("home")))
+    parts = home.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / F.lit(rule.group)).cast("long").alias("parts"))
+    home = cut(home.join(parts, "home").select("cid", "home", F.pmod(F.xxhash64("cid"), "parts").alias("part")))
     wanted = home.join(reps.select("cid", "doc_id"), "cid")
     wanted = small_side(cut(wanted.select(F.struct("doc_id").alias("d"), "cid")))
     texts = docs.withColumn("d", F.struct("doc_id")).join(wanted, "d").select("text", "cid")
