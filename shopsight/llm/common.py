@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of text that a task turns into numpy arrays at a time; a longer text
 #: is taken alone. The arrays need about 60 times this.
@@ -62,6 +63,23 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def map_rows(df: DataFrame, arrays: Callable[[pa.RecordBatch], list[pa.Array]], added: list[T.StructField],
+             dropped: int = 0) -> DataFrame:
+    """``df`` without its last ``dropped`` columns and with ``added`` ones, which
+    ``arrays`` makes of each batch. Columns are passed by place under plain
+    names, so names with dots are fine."""
+    kept = df.schema.fields[: len(df.columns) - dropped]
+    names = [f"_{i}" for i in range(len(kept) + len(added))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], *arrays(b)], names=names)
+
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, [*kept, *added], strict=True)])
+    out = df.toDF(*(f"_{i}" for i in range(len(df.columns)))).mapInArrow(run, schema)
+    return out.toDF(*(f.name for f in [*kept, *added]))
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and its n + 1 offsets; null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopsight.llm.common import col, fresh
+from shopsight.llm.common import col, fresh, map_rows
 
 
 @dataclass(frozen=True)
@@ -230,16 +230,10 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", rule: Templa
     rows = rows.select(*(col(c) for c in names), known)
     at = names.index(html)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            seen: dict[tuple, frozenset[int]] = {}
-            texts = []
-            for source, known_here in zip(b.column(at), b.column(len(names)).to_pylist(), strict=True):
-                key = tuple(known_here or ())
-                if key not in seen:
-                    seen[key] = frozenset(key)
-                texts.append(Page(source.as_py() or "").text(seen[key]))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(texts, pa.string())], names=[*names, out])
-
-    fields = [f for f in rows.schema.fields if f.name != known]
-    return rows.mapInArrow(run, T.StructType([*fields, T.StructField(out, T.StringType())]))
+    def arrays(b: pa.RecordBatch) -> list[pa.Array]:
+        texts = []
+        for source, templates in zip(b.column(at), b.column(len(names)).to_pylist(), strict=True):
+            texts.append(Page(source.as_py() or "").text(frozenset(templates or ())))
+        return [pa.array(texts, pa.string())]
+
+    return map_rows(rows, arrays, [T.StructField(out, T.StringType())], dropped=1)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopsight.llm import textops as X
-from shopsight.llm.common import col, cut, fresh, slices, small_side, text_bytes
+from shopsight.llm.common import col, cut, fresh, map_rows, slices, small_side, text_bytes
 from shopsight.llm.components import components
 
 
@@ -108,18 +108,14 @@ def with_sets(docs: DataFrame, text: str, rule: Join, size: str, key: str) -> Da
     at = docs.columns.index(text)
     n = rule.shingle
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sizes, keys = [], []
-            for tokens, off in token_sets(b.column(at), n):
-                sizes.append(np.diff(off))
-                keys += _set_keys(tokens, off)
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(np.concatenate(sizes) if sizes else [], pa.int64()), pa.array(keys, pa.binary())],
-                names=[*b.schema.names, size, key])
-
-    fields = [T.StructField(size, T.LongType()), T.StructField(key, T.BinaryType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
+    def arrays(b: pa.RecordBatch) -> list[pa.Array]:
+        sizes, keys = [], []
+        for tokens, off in token_sets(b.column(at), n):
+            sizes.append(np.diff(off))
+            keys += _set_keys(tokens, off)
+        return [pa.array(np.concatenate(sizes) if sizes else [], pa.int64()), pa.array(keys, pa.binary())]
+
+    return map_rows(docs, arrays, [T.StructField(size, T.LongType()), T.StructField(key, T.BinaryType())])
 
 
 def _prefixes(docs: DataFrame, rule: Join, counts) -> DataFrame:

@@ -16,7 +16,6 @@ pass through untouched, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopsight.llm import textops as X
-from shopsight.llm.common import col, fresh, slices, text_bytes
+from shopsight.llm.common import col, fresh, map_rows, slices, text_bytes
 
 #: Common words of four languages, the bins of the word histogram.
 COMMON_WORDS = {
@@ -160,11 +159,7 @@ def with_features(docs: DataFrame, text: str = "text", out: str = "quality") ->
     """``docs`` and a struct column ``out`` of counts and histograms."""
     at = docs.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, _struct(b.column(at))], names=[*b.schema.names, out])
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, FEATURES)]))
+    return map_rows(docs, lambda b: [_struct(b.column(at))], [T.StructField(out, FEATURES)])
 
 
 def language_references(scored: DataFrame, lang: Column, features: str) -> DataFrame:

@@ -47,7 +47,7 @@ def test_base_spans_equal_the_rules(spark, docs):
 
 
 def revealing(spark):
-    rows = [(i, f"{w} plain words here and there") for i, w in enumerate(["some"] * 60)]
+    rows = [(i, "some plain words of the town here and there") for i in range(60)]
     rows += [(100 + i, f"Report {i}: the Zorblax project of ann@corp.example and the usual words here") for i in range(4)]
     rows += [(200, "Zorblax alone says nothing here"), (201, "mail bob@corp.example the plain words")]
     return spark.createDataFrame(rows, "doc_id long, text string")
