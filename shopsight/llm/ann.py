@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -145,9 +145,11 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
     sample, at = _matrix(taken.column("v").combine_chunks(), width) if width else (np.zeros((0, 0)), None)
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    n = plain.count()
+    # a range holds a few times k vectors at least, so that a short table is searched whole
+    rule = replace(rule, blocks=min(rule.blocks, max(1, n // (4 * rule.k))))
     index = spark.sparkContext.broadcast(
         Index(sample, taken.column("vec_id").to_numpy()[at], longest, rule))
-    n = plain.count()
     member_parts = max(1, -(-n // (rule.blocks * rule.members)))
     query_parts = max(1, -(-n * (2 * rule.near + 1) // (every * rule.blocks * rule.queries)))
 
