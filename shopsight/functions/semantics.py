@@ -36,10 +36,6 @@ def net_value(quantity="quantity", price="unit_price", discount="discount") -> C
     )
 
 
-def gross_value(quantity="quantity", price="unit_price") -> Column:
-    return col(quantity) * col(price)
-
-
 def money(c, digits: int = 2) -> Column:
     """ROUND(decimal, digits) (half away from zero), exact DECIMAL(38, digits)."""
     return F.round(col(c), digits).cast(f"decimal(38,{digits})")
@@ -88,18 +84,20 @@ def tier(value, tiers, default: str) -> Column:
     return expr.otherwise(default) if expr is not None else F.lit(default)
 
 
+# Least recency, frequency and money scores of a segment, tried in
+# order; then the segments of a recency score of at most 2 by frequency score.
+RFM_HIGH = (((4, 4, 4), "Champions"), ((4, 3, 1), "Loyal"), ((4, 1, 4), "Big Spenders"), ((4, 1, 1), "Recent"))
+RFM_LOW_RECENCY, RFM_LOW_FREQUENCY, RFM_AT_RISK, RFM_LOST, RFM_ELSE = 2, 3, "At Risk", "Lost", "Potential"
+
+
 def rfm_segment(r="r_score", f="f_score", m="m_score") -> Column:
-    """Ordered first-match RFM segment rules."""
+    """The first RFM segment whose rule holds."""
     r, f, m = col(r), col(f), col(m)
-    return (
-        F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
-        .when((r >= 4) & (f >= 3), "Loyal")
-        .when((r >= 4) & (m >= 4), "Big Spenders")
-        .when(r >= 4, "Recent")
-        .when((r <= 2) & (f >= 3), "At Risk")
-        .when((r <= 2) & (f <= 2), "Lost")
-        .otherwise("Potential")
-    )
+    low = F.when(f >= RFM_LOW_FREQUENCY, RFM_AT_RISK).when(f < RFM_LOW_FREQUENCY, RFM_LOST).otherwise(RFM_ELSE)
+    out = F.when(r <= RFM_LOW_RECENCY, low).otherwise(RFM_ELSE)
+    for (least_r, least_f, least_m), label in reversed(RFM_HIGH):
+        out = F.when((r >= least_r) & (f >= least_f) & (m >= least_m), label).otherwise(out)
+    return out
 
 
 def stock_status(stock) -> Column:

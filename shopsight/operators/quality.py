@@ -8,7 +8,7 @@ final counts.
 * ``unique``   — keys that occur more than once (``groupBy(key).count() > 1``)
 * ``not_null`` — NULLs per required column, all columns in one pass (``count_if``)
 * ``domain``   — values outside an allowed set (NULL counts as outside)
-* ``orphans``  — child rows whose key has no parent row (left anti join)
+* ``orphans``  — child rows whose key has no parent row (flagged left joins, one pass)
 """
 
 from __future__ import annotations
@@ -79,12 +79,6 @@ def domain(df: DataFrame, table: str, column: str, allowed) -> DataFrame:
     return _row(df.agg(bad.alias("n")), "domain", table, column, F.col("n"))
 
 
-def orphans(child: DataFrame, parent: DataFrame, table: str, key: str) -> DataFrame:
-    """Child rows (non-NULL key) without a parent row."""
-    lost = child.filter(F.col(key).isNotNull()).join(parent.select(key), key, "left_anti")
-    return _row(lost.agg(F.count(F.lit(1)).alias("n")), "orphans", table, key, F.col("n"))
-
-
 def key_report(t: Tables) -> DataFrame:
     """Checks that make the pre-aggregated plans exact: unique dimension keys
     (and declared unique keys), non-NULL join keys, and orphan facts."""

@@ -68,15 +68,6 @@ class Tables:
     def __repr__(self) -> str:
         return f"Tables(built={sorted(self._frames)}, unique_keys={self.unique_keys})"
 
-    def with_unique(self, table: str, column: str) -> "Tables":
-        keys = dict(self.unique_keys)
-        keys[table] = column
-        out = Tables(unique_keys=keys, factories={n: (lambda n=n: self.get(n)) for n in TABLE_NAMES})
-        return out
-
-    def is_unique(self, table: str, column: str) -> bool:
-        return self.unique_keys.get(table) == column or DIMENSION_KEYS.get(table) == column
-
     def distinct_count(self, table: str, column: str):
         """COUNT(DISTINCT column) over rows of ``table`` that were not fanned out.
 
