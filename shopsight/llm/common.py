@@ -52,6 +52,8 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+ARROW_BYTES = "8m"
+
 #: A side of a join with at most so many narrow rows (under 100 bytes each, 20 MB
 #: in all) is sent to all executors; a larger one is shuffled.
 BROADCAST_ROWS = 200_000
@@ -107,7 +109,9 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package's sources, once a session."""
+    """Give the executors this package's sources, once a session, and bound the
+    bytes of an Arrow batch: a task holds a few batches of long texts at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     sc = spark.sparkContext
     if getattr(sc, "_shopsight_shipped", False):
         return

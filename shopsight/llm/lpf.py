@@ -13,7 +13,8 @@ minimizers at equal distances. Per minimizer, only a fingerprint of what all of
 its strings share is sorted at first (about one row in 100 bytes); only where
 that repeats, fingerprints of the whole stretch; and only where stretches of one
 minimizer differ, those of single strings, once for each distinct stretch. So
-any number of equal copies costs one stretch, and no group meets in one task.
+any number of equal copies costs one stretch. A task compares a bounded number of
+stretches: those of a minimizer with more than ``IN_TASK`` are joined string by string.
 
 Defined results: null text is empty; a document shorter than ``length`` loses
 nothing; equal rows (id and text) are separate documents, but have one place in
@@ -40,6 +41,11 @@ LENGTH = 400
 GRAM = 16
 #: Starts that may share a minimizer; larger: fewer rows, longer stretches.
 REACH = 192
+#: Stretches of one minimizer that may be compared in one task; minimizers with
+#: more have their strings joined by Spark, row by row.
+IN_TASK = 4096
+#: Stretches that a task compares, about: 10 MB of fingerprints.
+PER_TASK = 20_000
 _PLACE = X.U((1 << 31) - 1)
 
 
@@ -113,13 +119,14 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def _windows(texts: DataFrame, length: int) -> DataFrame:
-    """(fid, strings): fingerprints of the strings of each stretch that a text
-    (z, places: array of (place, fid)) stands for."""
+    """(fid, p, big, doc_id, h, place, strings): fingerprints of the strings of each
+    stretch that a text (z, doc_id, h, places: array of (place, fid, big, p)) stands for."""
+    names = ["fid", "p", "big", "doc_id", "h", "place", "strings"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for b in batches:
-            for z, places in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+            for z, doc, h, places in zip(b.column(0), *(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
                 data = np.frombuffer(unpack.decompress(z.as_py()), np.uint8)
                 hasher = X.Hasher(data)
                 place = np.array([p["place"] for p in places], np.int64)
@@ -129,10 +136,35 @@ def _windows(texts: DataFrame, length: int) -> DataFrame:
                 start = np.repeat(first - ends[:-1], size) + np.arange(ends[-1])
                 yield pa.RecordBatch.from_arrays([
                     pa.array([p["fid"] for p in places], pa.int64()),
+                    pa.array([p["p"] for p in places], pa.int64()), pa.array([p["big"] for p in places], pa.bool_()),
+                    pa.array([doc] * len(places), pa.int64()), pa.array([h] * len(places), pa.int64()), pa.array(place),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
-                        hasher.of(start, start + length).view(np.int64)))], names=["fid", "strings"])
+                        hasher.of(start, start + length).view(np.int64)))], names=names)
 
-    return texts.select("z", "places").mapInArrow(run, "fid long, strings array<bigint>")
+    return texts.select("z", "doc_id", "h", "places").mapInArrow(
+        run, "fid long, p long, big boolean, doc_id long, h long, place long, strings array<bigint>")
+
+
+def _compare(strings: DataFrame, keep: str) -> DataFrame:
+    """(fid, some): the strings of each stretch, by number, that another stretch
+    has, too (an earlier one, for keep="first"). All stretches of a minimizer
+    are dealt to one task: equal strings have equal minimizers."""
+
+    def mark(t: pa.Table) -> pa.Table:
+        t = t.sort_by([(n, "ascending") for n in ("doc_id", "h", "place")])  # nulls last
+        lists = t.column("strings").combine_chunks()
+        flat, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+        _, first, inverse, counts = np.unique(flat, return_index=True, return_inverse=True, return_counts=True)
+        hit = counts[inverse] > 1
+        if keep == "first":
+            hit &= first[inverse] != np.arange(len(flat))
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        number = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        held = np.bincount(row[hit], minlength=len(sizes))
+        some = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(held)], pa.int32()), pa.array(number[hit], pa.int32()))
+        return pa.table({"fid": t.column("fid"), "some": some}).filter(pa.array(held > 0))
+
+    return strings.groupBy("task").applyInArrow(mark, "fid long, some array<int>")
 
 
 def _key() -> Column:
@@ -148,25 +180,29 @@ def repeats(docs: DataFrame, length: int, keep: str) -> DataFrame:
     at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "place")
     kinds = found.groupBy("p", "f").agg(F.count(F.lit(1)).alias("m"), F.min(at).alias("first")).withColumn(
         "fid", F.xxhash64("p", "f"))
-    several = kinds.groupBy("p").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("p")
     kinds = cut(kinds)
+    several = kinds.groupBy("p").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select(
+        "p", (F.col("kinds") > IN_TASK).alias("big"))
 
     # stretches of one minimizer that differ: compare their strings
-    stand = cut(kinds.join(several, "p").select("fid", "m", "first"))
-    per_text = stand.groupBy(F.struct("first.doc_id", "first.h").alias("k")).agg(
-        F.collect_list(F.struct("first.place", "fid")).alias("places"))
-    per_text = cut(per_text)
+    stand = cut(kinds.join(several, "p").select("p", "fid", "big", "first"))
+    per_text = cut(stand.groupBy(F.struct("first.doc_id", "first.h").alias("k")).agg(
+        F.collect_list(F.struct("first.place", "fid", "big", "p")).alias("places")))
+    tasks = max(1, -(-stand.count() // PER_TASK))
     asked = docs.withColumn("k", _key()).join(small_side(per_text.select("k")), "k", "left_semi")
     texts = _packed(asked).withColumn("k", _key()).dropDuplicates(["k"])
-    strings = cut(_windows(texts.join(per_text, "k"), length)).select("fid", F.posexplode("strings").alias("i", "string"))
-    if keep == "first":
-        strings = strings.join(stand.select("fid", "first"), "fid")
+    strings = cut(_windows(texts.join(per_text, "k"), length))
+    dealt = strings.where("NOT big").withColumn("task", F.pmod(F.xxhash64("p"), F.lit(tasks)))
+    here = _compare(dealt.select("task", "fid", "doc_id", "h", "place", "strings"), keep)
+    strings = strings.where("big").select("fid", at.alias("first"), F.posexplode("strings").alias("i", "string"))
+    if keep != "first":
+        strings = strings.drop("first")
     twice = strings.groupBy("string").agg(*([F.min("first").alias("least")] if keep == "first" else []),
                                           F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     hit = strings.join(twice, "string")
     if keep == "first":
         hit = hit.where(F.col("first") != F.col("least"))
-    partly = hit.groupBy("fid").agg(F.collect_list("i").alias("some"))
+    partly = here.unionByName(hit.groupBy("fid").agg(F.collect_list("i").alias("some")))
 
     # a copy of the stretch elsewhere (earlier, for keep="first") removes it whole
     told = kinds.join(partly, "fid", "left").select("p", "f", "m", "first", "some").where(

@@ -26,8 +26,10 @@ def brute(rows, length, keep):
     return out
 
 
-@pytest.mark.parametrize(("length", "keep"), [(400, "none"), (64, "none"), (64, "first")])
-def test_equals_brute_force(spark, corpus, length, keep):
+@pytest.mark.parametrize(("length", "keep", "in_task"), [(400, "none", 4096), (64, "none", 1), (64, "first", 2), (64, "first", 4096)])
+def test_equals_brute_force(spark, corpus, length, keep, in_task, monkeypatch):
+    """Also with few stretches a task, so that most are joined by Spark."""
+    monkeypatch.setattr(lpf, "IN_TASK", in_task)
     x = " ".join(corpus[20][1].split()[:150])
     rows = [(i, t) for i, t, *_ in corpus if i not in (135, 137)] + [
         (700, x), (701, "é" * 500 + x[200:]), (702, x[300:] + "é" * 300), (703, "x" + x[50:450] + "y"), (704, x[50:450]),
