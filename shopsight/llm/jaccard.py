@@ -10,8 +10,8 @@ through a shared prefix token, is bounded by its overlap with the group's union,
 and opens the group only if that bound allows a link.
 
 Only what joins components is needed, so groups first meet through one
-representative of each component, twice, and then all queries of a component
-that is smaller than one of the group's. A family of near copies of any size is linked this way
+representative of each component, and then all queries of a component that is
+smaller than one of the group's. A family of near copies of any size is linked this way
 without writing out its pairs.
 
 Defined results: null, empty or blank text is an empty set, linked with nothing;
@@ -43,7 +43,7 @@ class Join:
 
     shingle: int = 4
     percent: int = 85
-    group: int = 64
+    group: int = 256
     queries: int = 4096
     count_cells: int = 1 << 20
 
@@ -279,7 +279,7 @@ def class_labels(rows: DataFrame, reps: DataFrame, docs: DataFrame, rule: Join)
     groups = cut(members.groupBy("home", "part").applyInArrow(
         inside, "home long, part long, cid binary, n long, tokens binary, label binary"))
     named = cut(groups.select("cid", "home", "part", "label"))
-    for everyone in (False, False, True):
+    for everyone in (False, True):
         links = cut(_meet(groups, named, shared, rule, everyone))
         if links.isEmpty():
             continue
@@ -291,13 +291,15 @@ def class_labels(rows: DataFrame, reps: DataFrame, docs: DataFrame, rule: Join)
 
 def _meet(groups: DataFrame, named: DataFrame, shared: DataFrame, rule: Join, everyone: bool) -> DataFrame:
     """Links (a, b) of labels, found between groups. Queries are all classes, or
-    one of each label. Of two labels only the smaller one asks, so that few
-    classes which belong nowhere don't make a whole family ask."""
+    one of each label of several. Of two labels only the smaller one asks, so that
+    few classes which belong nowhere don't make a whole family ask; a group is
+    met once, whatever labels it has."""
     percent = rule.percent
     spots = shared.join(named, "cid").join(named.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "label")
-    held = spots.groupBy("token", "home", "part", F.struct("size", "label").alias("held")).agg(
-        F.min("n").alias("least"), F.max("n").alias("most"))
-    asks = spots if everyone else spots.join(named.groupBy("label").agg(F.min("cid").alias("cid")).select("cid"), "cid", "left_semi")
+    held = spots.groupBy("token", "home", "part").agg(
+        F.max(F.struct("size", "label")).alias("held"), F.min("n").alias("least"), F.max("n").alias("most"))
+    asks = spots if everyone else spots.where("size > 1").join(
+        named.groupBy("label").agg(F.min("cid").alias("cid")).select("cid"), "cid", "left_semi")
     asks = asks.select("token", "cid", "label", F.struct("size", "label").alias("own"), "n",
                        F.col("home").alias("h"), F.col("part").alias("p"))
     met = asks.join(held, "token").where(
