@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -52,6 +53,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files and checkpoints that no
+    DataFrame refers to any more; it does so when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 ARROW_BYTES = "8m"
 
 #: A side of a join with at most so many narrow rows (under 100 bytes each, 20 MB
