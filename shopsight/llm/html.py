@@ -3,9 +3,12 @@
 A page is read as a stream of tags and text. Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts and reader comments go by their element, role
 or class. What else a site repeats is found from its pages: every element
-subtree is hashed, Spark counts the pages of the host that hold it, and subtrees
-on many of them are deleted. Inside an article only containers can be deleted
-this way, never headings and paragraphs, so copied articles stay whole.
+subtree is hashed, Spark counts the different main texts of the host that have
+it beside them, and subtrees of many are deleted. Copies of a page are one main
+text, so they make nothing a template. A subtree that holds most of a page's
+text stays on it; inside an article only containers can be deleted, never
+headings and paragraphs, and none if all of them together are most of its text.
+Each page meets its own templates only, so a host may have any number of them.
 
 Defined results: null or empty html gives an empty text; a null url is a host of
 its own; unclosed and stray tags are tolerated, a text is never cut off; equal
@@ -20,22 +23,23 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopsight.llm.common import col, fresh, map_rows
+from shopsight.llm.common import col, cut, fresh, map_rows, small_side
 
 
 @dataclass(frozen=True)
 class Templates:
-    """A subtree is a template on ``min_pages`` pages of its host or more, and
-    on that share of them; so a host has few, in proportion to one page."""
+    """A subtree is a template on pages of ``min_pages`` different main texts of
+    its host or more, and on that share of the host's different main texts."""
 
     min_pages: int = 8
-    min_share: float = 0.3
+    min_share: float = 0.0
 
 
 # Elements and class words.
@@ -182,12 +186,16 @@ class Page:
         return out
 
     def text(self, templates: frozenset[int] = frozenset()) -> str:
+        root = 1 if any(p[1] for p in self.pieces) else 2 if any(p[2] for p in self.pieces) else 0
         gone = bytearray(len(self.pieces))
         if templates:
+            lengths = [sum(map(len, p[0].split())) if not root or p[root] else 0 for p in self.pieces]
+            upto = [0, *accumulate(lengths)]
             for first, end, h in self.hashes():
-                if h in templates:
+                if h in templates and 2 * (upto[end] - upto[first]) <= upto[-1]:
                     gone[first:end] = b"\1" * (end - first)
-        root = 1 if any(p[1] for p in self.pieces) else 2 if any(p[2] for p in self.pieces) else 0
+            if root == 1 and 2 * sum(n for n, g in zip(lengths, gone, strict=True) if g) > upto[-1]:
+                gone = bytearray(len(self.pieces))
         parts = [(p[0] if not gone[i] else " ") for i, p in enumerate(self.pieces) if not root or p[root]]
         return " ".join("".join(parts).split())
 
@@ -199,34 +207,45 @@ def _host(url: str) -> F.Column:
     return F.lower(F.regexp_extract(F.coalesce(col(url).cast("string"), F.lit("")), _HOST, 1))
 
 
-def site_templates(pages: DataFrame, url: str = "url", html: str = "html", rule: Templates = Templates()) -> DataFrame:
-    """(host, templates): hashes of the subtrees that recur on a host's pages."""
+def _page(url: str, html: str) -> F.Column:
+    """What equal pages of a host share."""
+    return F.xxhash64(_host(url), F.coalesce(col(html).cast("string"), F.lit("")))
+
+
+def page_templates(pages: DataFrame, url: str = "url", html: str = "html", rule: Templates = Templates()) -> DataFrame:
+    """(page, templates): hashes of the subtrees that recur on the host's pages,
+    for the pages that have some."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hosts, found = [], []
-            for host, source in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                own = {h for _, _, h in Page(source.as_py() or "").hashes()} if source.is_valid else set()
-                hosts += [host] * len(own)
-                found += sorted(own)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(found, pa.int64())], names=["host", "h"])
-
-    plain = pages.select(_host(url).alias("host"), col(html).cast("string").alias("html"))
-    often = plain.mapInArrow(run, "host string, h long").groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(
-        F.col("n") >= rule.min_pages)
-    sizes = plain.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    # each is on a share of the pages, so the list is a few times one page's elements
-    return often.join(sizes, "host").where(F.col("n") >= rule.min_share * F.col("pages")).groupBy("host").agg(
-        F.sort_array(F.collect_list("h")).alias("templates"))
+            rows: list[tuple[int, int, int, int]] = []
+            for host, key, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                page = Page(source.as_py() or "")
+                if own := {h for _, _, h in page.hashes()}:
+                    digest = blake2b(page.text().encode("utf-8", "surrogatepass"), digest_size=8).digest()
+                    main = int.from_bytes(digest, "little", signed=True)
+                    rows += [(host, key, main, h) for h in sorted(own)]
+            columns = zip(*rows, strict=True) if rows else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["host", "page", "main", "h"])
+
+    plain = pages.select(F.xxhash64(_host(url)).alias("host"), _page(url, html).alias("page"), col(html).cast("string").alias("html"))
+    found = cut(plain.mapInArrow(run, "host long, page long, main long, h long").distinct())
+    often = found.groupBy("host", "h").agg(F.count_distinct("main").alias("n")).where(F.col("n") >= rule.min_pages)
+    if rule.min_share > 0:
+        sizes = found.groupBy("host").agg(F.count_distinct("main").alias("pages"))
+        often = often.join(sizes, "host").where(F.col("n") >= rule.min_share * F.col("pages"))
+    often = cut(often.select("host", "h"))
+    return found.join(small_side(often), ["host", "h"], "left_semi").groupBy("page").agg(
+        F.sort_array(F.collect_set("h")).alias("templates"))
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", rule: Templates = Templates(),
             out: str = "text") -> DataFrame:
     """``pages`` and its main text in column ``out`` (replaced if it exists)."""
-    host, known = fresh(pages, "__host"), fresh(pages, "__templates")
-    per_host = site_templates(pages, url, html, rule).select(F.col("host").alias(host), F.col("templates").alias(known))
-    rows = pages.drop(out).withColumn(host, _host(url)).join(per_host, host, "left")
-    names = [c for c in rows.columns if c not in (host, known)]
+    key, known = fresh(pages, "__page"), fresh(pages, "__templates")
+    per_page = page_templates(pages, url, html, rule).select(F.col("page").alias(key), F.col("templates").alias(known))
+    rows = pages.drop(out).withColumn(key, _page(url, html)).join(per_page, key, "left")
+    names = [c for c in rows.columns if c not in (key, known)]
     rows = rows.select(*(col(c) for c in names), known)
     at = names.index(html)
 

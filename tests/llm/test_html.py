@@ -42,3 +42,25 @@ def test_site_templates_are_deleted_but_copied_paragraphs_stay(spark):
     assert got[103] == "Head Shared line Own 3"
     assert got[200] == "Subscribe to the gazette" and got[201] == "" and got[202] == ""
     assert extract(df.limit(0)).count() == 0
+
+
+def test_copies_of_a_page_are_one_page(spark):
+    """Copied articles stay whole, in a container, in a plain body and without a url."""
+    wrapped = "<article><div><p>Once upon a time</p><p>there was a copy</p></div></article>"
+    plain = "<p>Once upon a time</p><p>there was a copy</p>"
+    rows = [(i, "http://a.test/x", page(wrapped)) for i in range(20)]
+    rows += [(100 + i, "http://b.test/x", page(plain)) for i in range(20)]
+    rows += [(200 + i, None, page(f"<main>{plain}</main>")) for i in range(20)]
+    # new heads, the same article: it is most of each page
+    rows += [(300 + i, "http://d.test/x", page(f"<article><h1>No {i}</h1><div><p>Once upon a time there was</p></div></article>"))
+             for i in range(20)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {got[k + i] for k in (0, 100, 200) for i in range(20)} == {"Once upon a time there was a copy"}
+    assert got[307] == "No 7 Once upon a time there was"
+
+
+def test_a_part_of_few_of_a_host_s_pages_is_deleted(spark):
+    rows = [(i, "http://a.test/x", page(f"<div><p>Story {i} begins and goes on</p></div>" + "<p>Read on in part B</p>" * (i < 20)))
+            for i in range(200)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Story 3 begins and goes on" and got[100] == "Story 100 begins and goes on"
