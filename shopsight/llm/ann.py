@@ -6,6 +6,10 @@ a query looks through its own range and the neighbouring ones, and the best
 finds of all curves are merged. Scores are exact inner products in double
 precision, so only the choice of candidates is approximate.
 
+Equal vectors are one class: its representative (the smallest id) is indexed and
+asked once, and the smallest ids of the classes that a query finds take their
+places afterwards, so a vector of any number of rows shows its smallest ids.
+
 For the largest inner product, vectors get one more coordinate that makes all
 of them equally long, which turns it into the smallest distance.
 
@@ -27,11 +31,11 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopsight.llm import textops as X
-from shopsight.llm.common import col
+from shopsight.llm.common import col, cut, small_side
 from shopsight.llm.hilbert import positions
 
 
@@ -130,7 +134,28 @@ def _scan(vectors: DataFrame, rule: Curves) -> tuple[int, float]:
     return (top[0].w, top[0].m) if top else (0, 0.0)
 
 
-_OUT = "query_id long, vec_id long, score double"
+_OUT = "asker long, cls long, vec_id long, score double"
+
+
+def _valid(v: Column, width: int) -> Column:
+    odd = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+    return (F.size(v) == width) & ~F.exists(v, odd) & F.exists(v, lambda x: x != 0)
+
+
+def _classes(rows: DataFrame, every: int, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of (cls, vec_id, v): the representatives (cls, vec_id, v, ask), the
+    queries (cls, query_id) and the smallest ids (cls, ids) of larger classes."""
+    ids = cut(rows.select("cls", "vec_id").distinct())
+    ask = F.col("vec_id") % every == 0
+    many = cut(ids.groupBy("cls").agg(F.min("vec_id").alias("least"), F.max(ask).alias("asks"),
+                                      F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    shared = small_side(many)
+    one = rows.join(shared, "cls", "left").where("least is null or least = vec_id").select(
+        "cls", "vec_id", "v", F.coalesce("asks", ask).alias("ask"))
+    order = Window.partitionBy("cls").orderBy("vec_id")  # its limit is taken before the shuffle, too
+    least = ids.join(shared.select("cls"), "cls", "left_semi").withColumn("at", F.row_number().over(order)).where(
+        F.col("at") <= k + 1).groupBy("cls").agg(F.collect_list("vec_id").alias("ids"))
+    return one, ids.where(ask).select("cls", F.col("vec_id").alias("query_id")), least
 
 
 def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", every: int = 20,
@@ -141,11 +166,13 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
     plain = vectors.select(col(vec_id).cast("long").alias("vec_id"),
                            col(embedding).cast("array<double>").alias("v")).where("vec_id is not null")
     width, longest = _scan(plain, rule)
-    taken = plain.orderBy(F.xxhash64("vec_id"), "vec_id").limit(rule.sample).toArrow() if width else None
+    rows = plain.where(_valid(F.col("v"), width)).withColumn("cls", F.xxhash64(F.transform("v", lambda x: x + 0.0)))  # -0.0 is 0.0
+    one, asked, least = _classes(rows, every, rule.k)
+    taken = one.orderBy(F.xxhash64("vec_id"), "vec_id").limit(rule.sample).select("vec_id", "v").toArrow() if width else None
     sample, at = _matrix(taken.column("v").combine_chunks(), width) if width else (np.zeros((0, 0)), None)
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    n = plain.count()
+    n = one.count()
     # a range holds a few times k vectors at least, so that a short table is searched whole
     rule = replace(rule, blocks=min(rule.blocks, max(1, n // (4 * rule.k))))
     index = spark.sparkContext.broadcast(
@@ -159,10 +186,7 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
             for b in batches:
                 ids = b.column(0).to_numpy()
                 m, at = _matrix(b.column(1), ix.width)
-                ids = ids[at]
-                if query:
-                    pick = ids % every == 0
-                    m, ids = m[pick], ids[pick]
+                ids, classes = ids[at], b.column(2).to_numpy()[at]
                 salt = (X.mix(ids.astype(X.U)) >> X.U(8)).astype(np.int64)
                 for c in range(rule.curves) if len(ids) else ():
                     block = ix.blocks(c, m, ids, query)
@@ -177,37 +201,50 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
                             yield pa.RecordBatch.from_arrays([
                                 pa.array(np.full(size, c)), pa.array(near[ok]),
                                 pa.array(both if query else own[ok]), pa.array(own[ok] if query else both),
-                                pa.array(ids[ok]),
+                                pa.array(ids[ok]), pa.array(classes[ok]),
                                 pa.ListArray.from_arrays(pa.array(np.arange(size + 1) * ix.width, pa.int32()), flat),
-                            ], names=["curve", "block", "part", "turn", "id", "v"])
-        return plain.mapInArrow(run, "curve long, block long, part long, turn long, id long, v array<double>")
+                            ], names=["curve", "block", "part", "turn", "id", "cls", "v"])
+        source = (one.where("ask") if query else one).select("vec_id", "v", "cls")
+        return source.mapInArrow(run, "curve long, block long, part long, turn long, id long, cls long, v array<double>")
 
     def meet(members: pa.Table, queries: pa.Table) -> pa.Table:
-        out: list[list[np.ndarray]] = [[], [], []]
+        out: list[list[np.ndarray]] = [[], [], [], []]
         if members.num_rows and queries.num_rows:
-            ids, m = members.column("id").to_numpy(), _stack(members.column("v"))
-            for q, v in zip(queries.column("id").to_numpy(), _stack(queries.column("v")), strict=True):
+            ids, classes, m = members.column("id").to_numpy(), members.column("cls").to_numpy(), _stack(members.column("v"))
+            wanted = rule.k + 1  # one of them may be the query
+            for q, v in zip(queries.column("cls").to_numpy(), _stack(queries.column("v")), strict=True):
                 rough = m @ v
-                others = np.flatnonzero(ids != q)
-                if len(others) > rule.k:
-                    edge = np.partition(rough[others], len(others) - rule.k)[len(others) - rule.k]
-                    others = others[rough[others] >= edge - 1e-9 * max(1.0, abs(edge))]
-                exact = (m[others] * v).sum(axis=1)  # the same for equal vectors, wherever they are
-                best = np.lexsort((ids[others], -exact))[: rule.k]
+                some = np.arange(len(ids))
+                if len(some) > wanted:
+                    edge = np.partition(rough, len(some) - wanted)[len(some) - wanted]
+                    some = np.flatnonzero(rough >= edge - 1e-9 * max(1.0, abs(edge)))
+                exact = (m[some] * v).sum(axis=1)  # the same for equal vectors, wherever they are
+                best = np.lexsort((ids[some], -exact))[:wanted]
                 out[0].append(np.full(len(best), q))
-                out[1].append(ids[others][best])
-                out[2].append(exact[best])
+                out[1].append(classes[some][best])
+                out[2].append(ids[some][best])
+                out[3].append(exact[best])
         cat = [np.concatenate(x) if x else np.zeros(0) for x in out]
-        return pa.table({"query_id": pa.array(cat[0], pa.int64()), "vec_id": pa.array(cat[1], pa.int64()),
-                         "score": pa.array(cat[2], pa.float64())})
+        return pa.table({"asker": pa.array(cat[0], pa.int64()), "cls": pa.array(cat[1], pa.int64()),
+                         "vec_id": pa.array(cat[2], pa.int64()), "score": pa.array(cat[3], pa.float64())})
 
     key = ("curve", "block", "part", "turn")
     found = deal(False).groupBy(*key).cogroup(deal(True).groupBy(*key)).applyInArrow(meet, _OUT)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    # one find of a vector by several curves counts once; its score is the same
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rule.k).select(
-        "query_id", "rank", "vec_id", "score")
+
+    def best(df: DataFrame) -> DataFrame:
+        """The k + 1 best of each class that asks."""
+        order = Window.partitionBy("asker").orderBy(F.desc("score"), "vec_id")
+        return df.withColumn("at", F.row_number().over(order)).where(F.col("at") <= rule.k + 1).drop("at")
+
+    # one find of a class by several curves counts once; its score is the same
+    once = best(found.groupBy("asker", "cls", "vec_id").agg(F.max("score").alias("score")))
+    single = once.join(least, "cls", "left").select(
+        "asker", "score", F.explode(F.coalesce("ids", F.array("vec_id"))).alias("vec_id"))
+    lists = best(single.groupBy("asker", "vec_id").agg(F.max("score").alias("score"))).groupBy(
+        F.col("asker").alias("cls")).agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))).alias("finds"))
+    others = F.slice(F.filter("finds", lambda x: x.vec_id != F.col("query_id")), 1, rule.k)
+    return asked.join(lists, "cls").select("query_id", F.posexplode(others).alias("at", "find")).select(
+        "query_id", (F.col("at") + 1).alias("rank"), "find.vec_id", (-F.col("find.s")).alias("score"))
 
 
 def _stack(column: pa.ChunkedArray) -> np.ndarray:

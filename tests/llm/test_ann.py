@@ -57,3 +57,21 @@ def test_few_and_no_vectors(spark):
     got = [tuple(r) for r in ann.search(few).orderBy("rank").collect()]
     assert got == [(0, 1, 1, 0.5), (0, 2, 2, 0.5)]
     assert ann.search(few.limit(0)).count() == 0
+
+
+def test_a_vector_of_a_third_of_the_rows_shows_its_smallest_ids(spark):
+    r = np.random.default_rng(2)
+    vectors = {i: v for i, v in enumerate(r.normal(size=(5400, 16)).astype(np.float32))}
+    common = 3 * vectors[7]
+    vectors |= {int(i): common for i in r.permutation(5400)[:1800]}
+    got = ann.search(frame(spark, vectors)).collect()
+    want = {q: best for q, best in brute({i: np.float64(v) for i, v in vectors.items()}, 20, 20).items()
+            if len({tuple(vectors[d]) for d, _ in best}) == 1}
+    assert len(want) > 100
+    found = {q: [] for q in want}
+    for x in sorted(got, key=lambda x: x.rank):
+        if x.query_id in found:
+            found[x.query_id].append(x.vec_id)
+    hits = sum(len(set(found[q]) & {d for d, _ in best}) for q, best in want.items())
+    assert hits >= 0.9 * 20 * len(want)
+    assert all(found[q] == [d for d, _ in want[q]] for q in want if tuple(vectors[q]) == tuple(common))
