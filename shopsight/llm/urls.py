@@ -5,8 +5,11 @@ become wildcards: numbers, hashes and long tokens by their form, and children
 that are each rare under a node with many. Sibling branches whose next segments
 are distributed like those of the node as a whole, and whose labels don't
 contradict it, are merged into one wildcard. Pages that a rule decides are the
-labels: a template is rejected if its blocked share, smoothed by the overall
-share, reaches ``max_blocked``. Pages without a rule get their template's verdict.
+labels. Words under one node are merged only with words of the same labels
+(none, blocked, allowed or both), whatever their number: that a rule names one
+word says nothing of its siblings. A template is rejected if its blocked share,
+smoothed by the overall share, reaches ``max_blocked``. Pages without a rule get
+their template's verdict.
 
 Distinct paths are counted first, so a host of any number of pages costs what
 its distinct paths cost.
@@ -106,10 +109,13 @@ def templates(paths: DataFrame, tree: Tree) -> DataFrame:
         known = (F.col("l") >= tree.min_labelled) & (F.col("all_l") >= tree.min_labelled)
         gap = F.abs(F.col("b") / F.greatest("l", F.lit(1)) - F.col("all_b") / F.greatest("all_l", F.lit(1)))
         merged = alike & (F.col("kids") > 1) & ~F.coalesce(known & (gap > tree.max_label_gap), F.lit(False))
+        labels = (F.when(F.col("l") == 0, "").when(F.col("b") == F.col("l"), ":block").when(F.col("b") == 0, ":allow")
+                  .otherwise(":mixed"))
+        wild = lambda kind: F.concat(F.lit(f"<{kind}"), labels, F.lit(">"))
         name = (F.when(form.isin("number", "hash", "long"), F.concat(F.lit("<"), form, F.lit(">")))
                 .when(form == "file", F.concat(F.lit("<number>."), F.substring_index("child", ".", -1)))
-                .when(F.col("child") == "**", F.col("child")).when(rare, F.lit("<any>"))
-                .when(merged, F.lit("<like>")).otherwise(F.col("child")))
+                .when(F.col("child") == "**", F.col("child")).when(rare, wild("any"))
+                .when(merged, wild("like")).otherwise(F.col("child")))
         named = both.select(*node, "child", name.alias("name"))
         step = here.join(named, [*node, "child"]).withColumn("template", F.concat("template", F.lit("/"), "name"))
         rows = cut(step.select(*rows.columns).unionByName(rows.where(F.size("segs") <= d)))

@@ -49,3 +49,28 @@ def test_templates_generalise_and_blocked_ones_are_rejected(spark):
     assert got["http://shop.test/news/50/view"].verdict == "allow"
     assert got["http://shop.test/wiki/alphac"].template.endswith("/<any>")
     assert got["http://shop.test/wiki/alphac"].verdict == "allow"
+
+
+def test_a_host_of_any_size_gets_the_same_verdicts(spark):
+    """A rule that names one branch says nothing of its siblings of like shape."""
+    rules = (("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+    verdicts = []
+    for times in (1, 10):
+        rows = [f"http://blog.example.com/{lang}/{n}" for lang, pages in (("de", 42), ("en", 150), ("fr", 70), ("es", 58))
+                for n in range(pages * times)]
+        rows += [f"http://shop.example.com/{word}/x{w}y" for word in ("de", "en") for w in range(30 * times)]
+        rows += [f"http://a.org/fr/{n}" for n in range(60 * times)]
+        df = spark.createDataFrame([(u,) for u in rows], "url string")
+        got = {("/".join(r.url.split("/")[2:4]), r.judged.verdict) for r in urls.judge(df, rules=rules).select("url", "judged").collect()}
+        verdicts.append(got)
+    assert verdicts[0] == verdicts[1]
+    assert {host for host, verdict in verdicts[1] if verdict == "block"} == {"blog.example.com/de", "shop.example.com/de"}
+
+
+def test_a_rare_word_that_a_rule_names_is_not_its_rare_siblings(spark):
+    rules = (("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+    words = ["de", *("".join(chr(97 + (i // 26**k) % 26) for k in range(3)) for i in range(40))]
+    rows = [f"http://example.com/{w}/{n}" for w in words for n in range(300 if w == "de" else 120)]
+    df = spark.createDataFrame([(u,) for u in rows], "url string")
+    blocked = {r.url.split("/")[3] for r in urls.judge(df, rules=rules).select("url", "judged").collect() if r.judged.verdict == "block"}
+    assert blocked == {"de"}
