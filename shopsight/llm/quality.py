@@ -194,10 +194,10 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limit
     get = lambda n: F.col(out)[n]
     with_refs = lambda df, key, refs: df.join(
         refs, key.cast("string").eqNullSafe(F.col("__ref_lang")), "left")
-    by_char = F.when(get("n_chars") >= limits.min_chars,
-                     js_distance(get("chars"), get("n_chars"), F.col("__ref_chars"))).otherwise(0.0)
-    by_word = F.when(get("n_words") >= limits.min_histogram_words,
-                     js_distance(get("words"), get("n_words"), F.col("__ref_words"))).otherwise(0.0)
+    # without a reference (all documents of the language are strange) everything is as far as can be
+    far = lambda n, ref: F.when(F.col(ref).isNull(), 1.0).otherwise(js_distance(get(n), get(f"n_{n}"), F.col(ref)))
+    by_char = F.when(get("n_chars") >= limits.min_chars, far("chars", "__ref_chars")).otherwise(0.0)
+    by_word = F.when(get("n_words") >= limits.min_histogram_words, far("words", "__ref_words")).otherwise(0.0)
     strange = (by_char > limits.max_char_distance) | (by_word > limits.max_word_distance)
 
     bare = with_features(docs.select(col(text).alias(text), col(lang).alias("__lang")), text, out).drop(text)

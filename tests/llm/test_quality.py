@@ -53,3 +53,25 @@ def test_distance(spark):
                               "c array<long>, n long, r array<double>")
     got = [x.d for x in a.select(quality.js_distance(F.col("c"), F.col("n"), F.col("r")).alias("d")).collect()]
     assert got == [1.0, 0.0, 0.0]
+
+
+def test_thin_mixed_and_empty_references_equal_the_oracle(spark):
+    import duckdb
+    import pandas as pd
+
+    from shopsight.llm.oracle import ORACLE_SQL
+
+    r = __import__("random").Random(6)
+    known = [w for w in quality.VOCABULARY if w.isalpha()]
+    clean = lambda n: " ".join(r.choice(known) for _ in range(n))
+    other = lambda n: " ".join(f"q{r.randrange(10**6)}z" for _ in range(n))
+    rows = [(0, clean(300), "aa"), (1, other(300), "aa")]  # each is far from their mean: no reference is left
+    rows += [(10 + i, clean(200), "bb") for i in range(5)] + [(20, other(20_000), "bb")]  # one text is most of bb
+    rows += [(30 + i, clean(200) if i % 2 else other(200), None) for i in range(8)] + [(40, clean(20), "cc")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {x.doc_id: x.kept for x in quality.judge(df).select("doc_id", "quality.kept").collect()}
+    with duckdb.connect() as db:
+        db.register("documents", pd.DataFrame(rows, columns=["doc_id", "text", "lang"]))
+        want = {x[0]: x[-1] for x in db.execute(ORACLE_SQL["op4_quality_rules"]).fetchall()}
+    assert got == want
+    assert (got[0], got[1]) == (False, False)
