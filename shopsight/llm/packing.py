@@ -1,10 +1,12 @@
 """Packing documents into fixed-length token sequences.
 
 Each document becomes its token ids and an end id, cut into full sequences and
-one shorter piece. Pieces are dealt into random groups of bounded size, and each
-group is packed by itself: first-fit decreasing, the first bin with room found
-by descent in a tournament tree of bin capacities. Only piece lengths and check
-sums are shuffled, never the ids.
+one shorter piece. Full pieces are sequences of their own and are only numbered.
+Shorter pieces are dealt into random groups and each group is packed by itself:
+first-fit decreasing, the first bin with room found by descent in a tournament
+tree of bin capacities. Groups are as many as the counted pieces of either kind
+need, so each is of bounded size however long the texts are. Only piece lengths
+and check sums are shuffled, never the ids.
 
 Defined results: null or empty text is the end id alone; equal rows (same id and
 text) are packed as separate documents with the same values; very long texts are
@@ -24,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopsight.llm.common import col
+from shopsight.llm.common import col, cut
 
 SEQUENCE = 1024
 END_ID = 0
-#: Documents in a group, about: a group's piece table is a few MB, and with
+#: Pieces in a group, about (a document has one short piece at most): its table is a few MB, and with
 #: thousands of pieces first-fit decreasing leaves little room unused.
 GROUP_DOCS = 20_000
 
@@ -117,17 +119,25 @@ def pack(docs: DataFrame, ranks_path: str, text: str = "text", doc_id: str = "do
     A piece of full length is a sequence of its own. ``sequence_id`` is the
     group number times 2**32 plus the bin, so groups need not know each other.
     """
-    groups = max(1, -(-docs.count() // group_docs))
+    names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt")
+    # equal pieces of equal rows are numbered, so that they need not meet in one group
+    found = cut(pieces(docs, ranks_path, text, doc_id, sequence).groupBy(*names).agg(F.count(F.lit(1)).alias("n")))
+    full = F.col("length") == sequence
+    counts = found.groupBy(full.alias("full")).agg(F.sum("n").alias("n")).collect()
+    short_groups, full_groups = (max([1, *(-(-c.n // group_docs) for c in counts if c.full == kind)]) for kind in (False, True))
 
     def run(table: pa.Table) -> pa.Table:
         # sorted, so that a repeated run gives the same sequences
-        t = table.sort_by([(n, "ascending") for n in ("doc_id", "start", "ids_crc32", "salt")])
-        bins, offsets = first_fit_decreasing(t.column("length").to_numpy(), sequence)
+        t = table.sort_by([(n, "ascending") for n in ("doc_id", "start", "ids_crc32", "salt", "copy")])
         group = t.column("group")[0].as_py()
-        return pa.table([*(t.column(n) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")),
-                         pa.array(bins + (group << 32)), pa.array(offsets)],
-                        names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-
-    dealt = pieces(docs, ranks_path, text, doc_id, sequence).withColumn(
-        "group", F.pmod(F.xxhash64("doc_id", "start", "salt"), F.lit(groups)))
+        if group < short_groups:
+            bins, offsets = first_fit_decreasing(t.column("length").to_numpy(), sequence)
+        else:
+            bins, offsets = np.arange(len(t)), np.zeros(len(t), np.int64)
+        return pa.table([*(t.column(n) for n in names[:-1]), pa.array(bins + (group << 32)), pa.array(offsets)],
+                        names=[*names[:-1], "sequence_id", "offset"])
+
+    place = F.xxhash64("doc_id", "start", "salt", "copy")
+    group = F.when(full, short_groups + F.pmod(place, F.lit(full_groups))).otherwise(F.pmod(place, F.lit(short_groups)))
+    dealt = found.select(*names, F.explode(F.sequence(F.lit(1), "n")).alias("copy")).withColumn("group", group)
     return dealt.groupBy("group").applyInArrow(run, PACKED)

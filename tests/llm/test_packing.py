@@ -1,5 +1,5 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -46,6 +46,18 @@ def test_every_id_is_in_one_piece_and_sequences_are_full(spark, docs, corpus):
     assert packing.pack(docs.limit(0), RANKS).count() == 0
 
 
+def test_groups_are_bounded_by_pieces(spark):
+    """Few documents of many pieces, and many equal rows."""
+    rows = [(1, "word " * 200_000), (2, "two words " * 60_000)] + [(3, "same row")] * 400
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), RANKS, group_docs=40).collect()
+    assert sum(r.length for r in out) == sum(len(packing.token_ids(t, RANKS)) for _, t in rows)
+    groups = Counter(r.sequence_id >> 32 for r in out)
+    assert len(out) > 600 and max(groups.values()) <= 100
+    full = [r.sequence_id for r in out if r.length == 1024]
+    others = {r.sequence_id for r in out if r.length < 1024}
+    assert len(set(full)) == len(full) and not others & set(full)
+
+
 def test_first_fit_decreasing_equals_a_plain_scan():
     r = np.random.default_rng(1)
     for n in (1, 2, 50, 400):
