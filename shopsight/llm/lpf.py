@@ -1,24 +1,24 @@
-"""Substring deduplication by longest-previous-factor arrays.
+"""Substring deduplication: what a longest-previous-factor array of threshold
+``length`` would mark, found by fingerprints.
 
-The texts are one string whose suffixes are ordered up to a depth of ``length``
-bytes; matches never cross documents. In that order equal strings of ``length``
-bytes are neighbours, and a position's previous and next smaller positions among
-them are its earlier and later matches: its longest previous factor reaches
-``length`` if there is an earlier one. ``keep="first"`` removes what has an
-earlier match, ``keep="none"`` what has an earlier or a later one.
+No suffix array, longest-previous-factor array or search for smaller positions
+is computed. The only question is which strings of ``length`` bytes occur
+elsewhere, too (matches never cross documents), and equal strings are found by
+equal 64-bit fingerprints. ``keep="first"`` removes what has an earlier match,
+``keep="none"`` what has an earlier or a later one.
 
-The order is built sparsely. Each start belongs to the minimizer of the k-grams
+Each start belongs to the minimizer of the k-grams
 after it, which depends on the string alone, so equal strings belong to equal
 minimizers at equal distances. Per minimizer, only a fingerprint of what all of
-its strings share is sorted at first (about one row in 100 bytes); only where
+its strings share is compared at first (about one row in 100 bytes); only where
 that repeats, fingerprints of the whole stretch; and only where stretches of one
 minimizer differ, those of single strings, once for each distinct stretch. So
 any number of equal copies costs one stretch. A task compares a bounded number of
 stretches: those of a minimizer with more than ``IN_TASK`` are joined string by string.
 
 Defined results: null text is empty; a document shorter than ``length`` loses
-nothing; equal rows (id and text) are separate documents, but have one place in
-the order, so ``keep="first"`` keeps them all or none; overlapping matches count; texts of
+nothing; equal rows (id and text) are separate documents, but have one place
+among the matches, so ``keep="first"`` keeps them all or none; overlapping matches count; texts of
 any length are taken whole; an empty table gives an empty result; other columns
 are ignored.
 """
