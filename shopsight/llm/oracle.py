@@ -90,5 +90,42 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM told
 """
 
+_FAILS = {
+    "A": "len(w) < 50",
+    "B": "100 * len(list_distinct(w)) < 65 * len(w)",
+    "C": "100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t)",
+    "D": "regexp_matches(t, '[#$%&*|]')",
+    "E": "coalesce(doc_id > first_id, false)",
+}
 
-ORACLE_SQL = {"op4_quality_rules": _quality(), "op10_jaccard_join": JACCARD}
+AUDIT = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first_id FROM d GROUP BY t),
+told AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+         FROM labels GROUP BY doc_id),
+f AS (SELECT part, {" || ".join(f"CASE WHEN {c} THEN '{k}' ELSE '' END" for k, c in _FAILS.items())} AS fails,
+             coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+      FROM d JOIN firsts USING (t) LEFT JOIN told USING (doc_id)),
+cells AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+x(l) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM x a, x b, x c, x d, x e
+           WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps AS (SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, step, 1) AS own,
+                 substr(filter_order, 1, step - 1) AS before
+          FROM orders, generate_series(1, 5) s(step)),
+told_steps AS (
+  SELECT part, filter_order, step, own,
+         sum(n) FILTER (WHERE clear AND NOT hit) AS kept, sum(n) FILTER (WHERE clear AND hit) AS removed,
+         sum(n) FILTER (WHERE NOT clear AND hit) AS redundant, sum(n) FILTER (WHERE fails = own) AS unique_fails,
+         sum(good) FILTER (WHERE clear AND hit) AS good_lost, sum(toxic) FILTER (WHERE clear AND hit) AS toxic_lost
+  FROM (SELECT *, contains(fails, own) AS hit, translate(fails, before, '') = fails AS clear FROM cells, steps)
+  GROUP BY ALL)
+SELECT part, filter_order, step, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}"
+       for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"))},
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM told_steps
+"""
+
+
+ORACLE_SQL = {"op4_quality_rules": _quality(), "op10_jaccard_join": JACCARD, "op13_filter_audit": AUDIT}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shopsight.llm import ann, html, jaccard, lpf, mixing, packing, pii, quality, urls, windows
+from shopsight.llm import ann, audit, html, jaccard, lpf, mixing, packing, pii, quality, urls, windows
 from shopsight.llm.common import ship
 from shopsight.llm.oracle import ORACLE_SQL  # noqa: F401
 
@@ -68,6 +68,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return audit.audit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_lpf_dedup": op1_lpf_dedup,
     "op2_temperature_mixing": op2_temperature_mixing,
@@ -79,5 +84,6 @@ QUERIES: dict[str, Query] = {
     "op8_url_templates": op8_url_templates,
     "op9_main_text": op9_main_text,
     "op10_jaccard_join": op10_jaccard_join,
+    "op13_filter_audit": op13_filter_audit,
 }
 
