@@ -130,3 +130,24 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(root.parent))
     sc.addPyFile(str(archive))
     sc._shopsight_shipped = True
+
+
+#: 64-bit words of a bit table: 16 MB whatever the input.
+TABLE_BITS = 21
+
+
+def bit_table(often: DataFrame, hashed: str) -> np.ndarray:
+    """A table of fixed size with a bit for each 64-bit hash of a column. Spark
+    forms its words, so the driver takes 2**TABLE_BITS rows at most."""
+    bit = F.expr(f"shiftleft(1L, cast(`{hashed}` & 63 as int))")
+    word = F.shiftrightunsigned(hashed, 6).bitwiseAND((1 << TABLE_BITS) - 1)
+    found = often.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    table = np.zeros(1 << TABLE_BITS, np.uint64)
+    table[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return table
+
+
+def in_table(table: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """Which hashes may be among those of ``bit_table``: all that are, and few others."""
+    word = table[(hashed >> np.uint64(6)) & np.uint64((1 << TABLE_BITS) - 1)]
+    return (word >> (hashed & np.uint64(63)) & np.uint64(1)).astype(bool)

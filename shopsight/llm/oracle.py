@@ -127,5 +127,27 @@ SELECT part, filter_order, step, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) A
 FROM told_steps
 """
 
+#: Every n-gram of every piece is counted by itself; arithmetic in HUGEINT.
+PHRASES = f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, {_LOWER.format(x="coalesce(text, '')")} AS t FROM documents),
+piece AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS p FROM d),
+w AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM piece),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+gram AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+         FROM w, generate_series(1, 5) s(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM gram GROUP BY ALL HAVING count(*) >= 100),
+inside AS (SELECT DISTINCT s.lang, s.phrase FROM f s JOIN f g ON s.lang = g.lang AND s.k < g.k AND s.k > 1
+           AND contains(' ' || g.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * g.f >= 100 * s.f),
+cuts AS (SELECT lang, k, phrase, f AS a, c, array_to_string(x[1:c], ' ') AS head, array_to_string(x[c + 1:], ' ') AS tail
+         FROM (SELECT *, string_split(phrase, ' ') AS x FROM f WHERE k > 1), generate_series(1, 4) s(c) WHERE c < k),
+told AS (SELECT cuts.*, hd.f AS l, tl.f AS r, n, CAST((1000::HUGEINT * a * n) // (hd.f::HUGEINT * tl.f) AS BIGINT) AS score
+         FROM cuts JOIN f hd ON hd.lang = cuts.lang AND hd.phrase = head JOIN f tl ON tl.lang = cuts.lang AND tl.phrase = tail
+         JOIN total ON total.lang = cuts.lang),
+lowest AS (SELECT * FROM told WHERE (lang, phrase) NOT IN (SELECT (lang, phrase) FROM inside)
+           QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest QUALIFY rank <= 2000
+"""
+
 
-ORACLE_SQL = {"op4_quality_rules": _quality(), "op10_jaccard_join": JACCARD, "op13_filter_audit": AUDIT}
+ORACLE_SQL = {"op4_quality_rules": _quality(), "op10_jaccard_join": JACCARD, "op12_phrase_mining": PHRASES, "op13_filter_audit": AUDIT}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from shopsight.llm import ann, audit, html, jaccard, lpf, mixing, packing, pii, quality, urls, windows
+from shopsight.llm import ann, audit, html, jaccard, lpf, mixing, packing, phrases, pii, quality, ranker, urls, windows
 from shopsight.llm.common import ship
 from shopsight.llm.oracle import ORACLE_SQL  # noqa: F401
 
@@ -68,6 +68,15 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranker.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return audit.audit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
@@ -84,6 +93,8 @@ QUERIES: dict[str, Query] = {
     "op8_url_templates": op8_url_templates,
     "op9_main_text": op9_main_text,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_pairwise_quality": op11_pairwise_quality,
+    "op12_phrase_mining": op12_phrase_mining,
     "op13_filter_audit": op13_filter_audit,
 }
 

@@ -15,16 +15,19 @@ COLUMNS = {
     8: "page_id host path rule verdict",
     9: "page_id url text n_chars",
     10: "doc_id n_shingles component_id",
+    11: "doc_id held_out score predicted",
+    12: "lang rank phrase a l r n score",
+    13: "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
 }
 
 
 def test_each_operator_has_one_query():
     names = [re.match(r"op(\d+)_", n) for n in E.queries()]
-    assert sorted(int(m[1]) for m in names if m) == list(range(1, 11))
+    assert sorted(int(m[1]) for m in names if m) == list(range(1, 14))
     assert "pipeline" in E.queries()
 
 
-@pytest.mark.parametrize("n", [4, 6, 8, 9])
+@pytest.mark.parametrize("n", [4, 6, 8, 9, 11, 12, 13])
 def test_columns(spark, n):
     name = next(q for q in E.queries() if q.startswith(f"op{n}_"))
     assert E.queries()[name](spark, SF001).columns[: len(COLUMNS[n].split())] == COLUMNS[n].split()
