@@ -9,12 +9,13 @@ whole flow goes through one gram beside it is an inner node of a unary path; it
 is compacted into the longer gram, which is how phrases inside equally frequent
 phrases drop out. Scores join the flows of a phrase's two parts.
 
-A phrase is no more frequent than its words and its pairs of words. Two passes
-over the texts find the words, then the pairs, that occur often enough, as bit
-tables of a fixed size over exact counts by 64-bit hash; a piece ends at a pair
-that can't be in the table. A table lets through some rare pairs, the more the
-fuller it is, which costs time; it never stops a frequent one, so the flows of
-phrases that are frequent enough are exact at any size.
+A phrase is no more frequent than its words, pairs and triples of words. A pass
+over the texts for each finds those that occur often enough, as bit tables of a
+fixed size over counts by 48-bit hash; a gram ends, as at the end of a piece,
+where the next word would make a part of it that isn't in its table. A table
+lets through some rare grams, the more the fuller it is, which costs time; it
+never stops a frequent one, so the flows of phrases that are frequent enough are
+exact at any size.
 
 Defined results: null text is empty, a null language is ``und``; a language
 without frequent phrases has no rows; each row counts, also of equal ids or
@@ -30,6 +31,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +44,8 @@ _AS = X.LOWER.copy()
 _AS[list(PIECE_ENDS)] = 0x0A
 _AS[0x09] = 0x20
 
+_SPARE = X.U(16)  # hashes have 48 bits; equal ones only let a rare gram through
+_KEYS = 1 << 22  # hashes that a task counts before it hands them on
 _ROWS = 1 << 18  # grams that a task sums before it hands them on
 _RANKED = 1_000_000  # phrases of one language that one task orders
 
@@ -54,6 +58,7 @@ def first_words(phrase: str, k: Column) -> Column:
 @dataclass(frozen=True)
 class Mining:
     longest: int = 5
+    filtered: int = 3  # grams of up to so many words are known to be frequent, or not, before the longest are made
     least: int = 100
     inside_percent: int = 100  # of its frequency in a longer phrase drops a phrase
     top: int = 2000
@@ -67,7 +72,7 @@ class Words(NamedTuple):
     ends: np.ndarray
     rows: np.ndarray
     beside: np.ndarray
-    key: np.ndarray  # 64-bit hash with the language
+    key: np.ndarray  # hash with the language
 
 
 def words_of(b: pa.RecordBatch) -> Iterator[tuple[int, Words]]:
@@ -82,27 +87,92 @@ def words_of(b: pa.RecordBatch) -> Iterator[tuple[int, Words]]:
         np.cumsum(low == 0x0A, out=stop[1:])
         beside = np.zeros(len(starts), bool)
         beside[:-1] = (rows[1:] == rows[:-1]) & (stop[starts[1:]] == stop[stops[:-1]])
-        yield x, Words(low, starts, stops, rows, beside, X.mix(X.Hasher(low).of(starts, stops) ^ salt[x + rows]))
+        yield x, Words(low, starts, stops, rows, beside, X.mix(X.Hasher(low).of(starts, stops) ^ salt[x + rows]) >> _SPARE)
 
 
-def _pairs(w: Words, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words whose pair with the next one may be frequent, and those pairs' hashes."""
-    some = in_table(known, w.key)
-    at = np.flatnonzero(w.beside[:-1] & some[:-1] & some[1:])
-    return at, X.mix(w.key[at] * X.U(0xA24BAED4963EE407) + w.key[at + 1])
+def _then(key: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of a gram and one more word."""
+    return X.mix(key * X.U(0xA24BAED4963EE407) + word) >> _SPARE
 
 
-def _often(docs: DataFrame, least: int, words=None) -> DataFrame:
-    """Hashes of the words, or with their table of the pairs, that occur ``least`` times."""
+def chains(w: Words, tables: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many words a frequent gram that begins at each word may have, as far
+    as the ``tables`` (of grams of one word, of two, ...) tell; and the places and
+    hashes of the grams of one word more whose parts may be frequent."""
+    reach = np.zeros(len(w.key), np.int64)
+    at, key = np.arange(len(w.key)), w.key
+    for k, table in enumerate(tables, 1):
+        known = in_table(table, key)
+        at, key = at[known], key[known]
+        reach[at] = k
+        at, key = _grown(w, reach, at, key, k)
+    return reach, at, key
+
+
+def _grown(w: Words, reach: np.ndarray, at: np.ndarray, key: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Grams of k + 1 words at those places ``at`` where k words are followed by k."""
+    more = w.beside[at]
+    more[more] = reach[at[more] + 1] >= k
+    at, key = at[more], key[more]
+    return at, _then(key, w.key[at + k]) if len(at) else key
+
+
+def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted keys as steps; the bytes of one place lie together, so that those
+    that are hardly used take no room."""
+    steps = np.diff(keys, prepend=X.U(0)).astype("<u8")
+    planes = [x.view(np.uint8).reshape(len(keys), -1).T.tobytes() for x in (steps, counts.astype("<u4"))]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def _unpacked(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    planes = raw[: 8 * n].reshape(8, n).T, raw[8 * n :].reshape(4, n).T
+    steps, counts = (np.ascontiguousarray(x) for x in planes)
+    return np.cumsum(steps.view("<u8").ravel(), dtype=X.U), counts.view("<u4").ravel().astype(np.int64)
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    kv, where = np.unique(np.concatenate(keys), return_inverse=True)
+    return kv, np.bincount(where, np.concatenate(counts), len(kv)).astype(np.int64)
+
+
+def _often(docs: DataFrame, least: int, tables: list) -> DataFrame:
+    """Hashes of the grams of one word more than the ``tables`` hold that occur
+    ``least`` times. A task's counts are dealt by hash into as many parts as
+    there are tasks, so a part is about as large as one task's counts."""
+    parts = docs.rdd.getNumPartitions()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [t.value for t in tables]
+        keys, counts, size = [], [], 0
+
+        def out() -> pa.RecordBatch:
+            kv, n = _summed(keys, counts)
+            part = (kv >> X.U(16)) * X.U(parts) >> X.U(32)
+            edges = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(kv)]
+            return pa.RecordBatch.from_arrays([
+                pa.array(part[edges[:-1]].astype(np.int64)), pa.array(np.diff(edges)),
+                pa.array([_packed(kv[i:j], n[i:j]) for i, j in zip(edges[:-1], edges[1:])], pa.binary())], names=["part", "n", "counts"])
+
         for b in batches:
-            keys = [w.key if words is None else _pairs(w, words.value)[1] for _, w in words_of(b)]
-            kv, n = np.unique(np.concatenate(keys) if keys else np.zeros(0, X.U), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(kv.view(np.int64)), pa.array(n)], names=["kv", "n"])
+            for _, w in words_of(b):
+                kv, n = np.unique(chains(w, known)[2], return_counts=True)
+                if len(kv):
+                    keys.append(kv)
+                    counts.append(n)
+                    size += len(kv)
+            if size >= _KEYS:
+                yield out()
+                keys, counts, size = [], [], 0
+        if size:
+            yield out()
+
+    def add(t: pa.Table) -> pa.Table:
+        kv, n = _summed(*zip(*(_unpacked(c.as_py(), k.as_py()) for c, k in zip(t.column("counts"), t.column("n")))))
+        return pa.table({"kv": pa.array(kv[n >= least].view(np.int64))})
 
-    found = docs.mapInArrow(run, "kv long, n long").groupBy("kv").agg(F.sum("n").alias("n"))
-    return found.where(F.col("n") >= least).select("kv")
+    return docs.mapInArrow(run, "part long, n long, counts binary").groupBy("part").applyInArrow(add, "kv long")
 
 
 def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
@@ -114,29 +184,28 @@ def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(off), pa.py_buffer(raw))
 
 
-def _grams(w: Words, some: np.ndarray, linked: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
-    """Row, number of words, and text of the gram at each word of ``some``: up
-    to ``longest`` words, or to the first that isn't ``linked`` with the next."""
-    at = np.flatnonzero(some)
+def _grams(w: Words, reach: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
+    """Row, number of words, and text of the gram of ``reach`` words at each word."""
+    at = np.flatnonzero(reach)
     size = w.ends[at] - w.starts[at]
     place = np.cumsum(size + 1) - (size + 1)
     joined = np.full(int((size + 1).sum()), 0x20, np.uint8)  # the words with one space after each
     inner = np.arange(int(size.sum()))
     shift = np.cumsum(size) - size
     joined[inner + np.repeat(place - shift, size)] = w.data[inner + np.repeat(w.starts[at] - shift, size)]
-    last = np.flatnonzero(~linked[at])
     for x in range(0, len(at), _ROWS):
         p = np.arange(x, min(x + _ROWS, len(at)))
-        to = np.minimum(p + longest - 1, last[np.searchsorted(last, p)])
-        yield w.rows[at[p]], to - p + 1, _strings(joined, place[p], place[to] + size[to])
+        to = p + reach[at[p]] - 1
+        yield w.rows[at[p]], reach[at[p]], _strings(joined, place[p], place[to] + size[to])
 
 
 def graph(docs: DataFrame, rule: Mining) -> DataFrame:
-    """(lang, m, gram, n) of (text, lang): edges of ``longest`` words, the piece
-    ends of fewer, and with m = 0 the number of all words of the language."""
+    """(lang, m, gram, n) of (text, lang): edges of ``longest`` words, the shorter
+    grams where a piece ends, and with m = 0 the number of all words of the language."""
     sc = docs.sparkSession.sparkContext
-    words = sc.broadcast(bit_table(_often(docs, rule.least), "kv"))
-    pairs = sc.broadcast(bit_table(_often(docs, rule.least, words), "kv"))
+    tables: list = []
+    for _ in range(min(rule.filtered, rule.longest)):
+        tables.append(sc.broadcast(bit_table(_often(docs, rule.least, tables), "kv")))
     names = ["lang", "m", "gram", "n"]
 
     def summed(parts: list[pa.Table]) -> Iterator[pa.RecordBatch]:
@@ -144,17 +213,18 @@ def graph(docs: DataFrame, rule: Mining) -> DataFrame:
         yield from t.rename_columns(names).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [t.value for t in tables]
         parts, rows = [], 0
         for b in batches:
             lang = b.column(1).cast(pa.large_string())
             for x, w in words_of(b):
-                some = in_table(words.value, w.key)
-                at, key = _pairs(w, words.value)
-                linked = np.zeros(len(some), bool)
-                linked[at[in_table(pairs.value, key)]] = True
+                reach, at, key = chains(w, known)
+                for k in range(len(known) + 1, rule.longest + 1):  # no table tells of these
+                    reach[at] = k
+                    at, key = _grown(w, reach, at, key, k)
                 of, n = np.unique(w.rows, return_counts=True)
                 found = [(of, np.zeros(len(of), np.int64), pa.array([""] * len(of), pa.large_string()), n)]
-                found += [(*g, np.ones(len(g[0]), np.int64)) for g in _grams(w, some, linked, rule.longest)]
+                found += [(*g, np.ones(len(g[0]), np.int64)) for g in _grams(w, reach)]
                 for row, m, gram, n in found:
                     parts.append(pa.table([lang.take(pa.array(x + row)), pa.array(m, pa.int32()), gram, pa.array(n)], names=names))
                     rows += len(row)
@@ -166,7 +236,7 @@ def graph(docs: DataFrame, rule: Mining) -> DataFrame:
 
     out = cut(docs.mapInArrow(run, "lang string, m int, gram string, n long").groupBy("lang", "m", "gram").agg(
         F.sum("n").alias("n")))
-    for table in (words, pairs):
+    for table in tables:
         table.destroy()
     return out
 

@@ -52,9 +52,11 @@ PASSAGES = [
 
 
 @pytest.mark.parametrize("rule", [
-    Mining(least=3), Mining(least=2, longest=3, top=7), Mining(least=5, inside_percent=60), Mining(least=1, top=40)])
+    Mining(least=3), Mining(least=2, longest=3, top=7), Mining(least=5, inside_percent=60, filtered=5),
+    Mining(least=1, top=40, filtered=1), Mining(least=4, longest=2, filtered=2)])
 def test_equals_brute_force(spark, docs, corpus, rule, monkeypatch):
     monkeypatch.setattr(phrases, "_ROWS", 500)  # several sums a task
+    monkeypatch.setattr(phrases, "_KEYS", 300)
     monkeypatch.setattr(phrases, "_RANKED", 50)  # languages ordered in parts
     more = spark.createDataFrame([(1, t, lang, None, 7, "x", [1], 0.5) for t, lang in PASSAGES * 3], docs.schema)
     short = [(t, lang) for _, t, lang, _ in corpus if len(t or "") < 20_000]
@@ -71,6 +73,13 @@ def test_a_full_table_changes_nothing(spark, docs, monkeypatch):
     assert mined(few, Mining(least=4)) == plain
 
 
+def test_packed_counts():
+    keys = np.array([0, 1, 5, 1 << 40, (1 << 48) - 1], np.uint64)
+    counts = np.array([1, 2**32 - 1, 3, 1, 7], np.int64)
+    got = phrases._unpacked(phrases._packed(keys, counts), 5)
+    assert (got[0] == keys).all() and (got[1] == counts).all()
+
+
 def test_bit_table(spark):
     some = np.array([0, 1, -1, 1 << 62, -(1 << 63), 12345678901234567], np.int64)
     table = bit_table(spark.createDataFrame([(int(x),) for x in some], "kv long"), "kv")
