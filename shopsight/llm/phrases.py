@@ -46,7 +46,8 @@ _AS[0x09] = 0x20
 
 _SPARE = X.U(16)  # hashes have 48 bits; equal ones only let a rare gram through
 _KEYS = 1 << 22  # hashes that a task counts before it hands them on
-_ROWS = 1 << 18  # grams that a task sums before it hands them on
+_ROWS = 1 << 20  # different grams that a task sums before it hands them on
+_PLACES = 1 << 18  # grams that are cut out of a text at a time
 _RANKED = 1_000_000  # phrases of one language that one task orders
 
 
@@ -193,8 +194,8 @@ def _grams(w: Words, reach: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray
     inner = np.arange(int(size.sum()))
     shift = np.cumsum(size) - size
     joined[inner + np.repeat(place - shift, size)] = w.data[inner + np.repeat(w.starts[at] - shift, size)]
-    for x in range(0, len(at), _ROWS):
-        p = np.arange(x, min(x + _ROWS, len(at)))
+    for x in range(0, len(at), _PLACES):
+        p = np.arange(x, min(x + _PLACES, len(at)))
         to = p + reach[at[p]] - 1
         yield w.rows[at[p]], reach[at[p]], _strings(joined, place[p], place[to] + size[to])
 
@@ -208,9 +209,9 @@ def graph(docs: DataFrame, rule: Mining) -> DataFrame:
         tables.append(sc.broadcast(bit_table(_often(docs, rule.least, tables), "kv")))
     names = ["lang", "m", "gram", "n"]
 
-    def summed(parts: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+    def summed(parts: list[pa.Table]) -> pa.Table:
         t = pa.concat_tables(parts).group_by(names[:3], use_threads=False).aggregate([("n", "sum")])
-        yield from t.rename_columns(names).to_batches()
+        return t.rename_columns(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [t.value for t in tables]
@@ -228,11 +229,14 @@ def graph(docs: DataFrame, rule: Mining) -> DataFrame:
                 for row, m, gram, n in found:
                     parts.append(pa.table([lang.take(pa.array(x + row)), pa.array(m, pa.int32()), gram, pa.array(n)], names=names))
                     rows += len(row)
-                if rows >= _ROWS:
-                    yield from summed(parts)
-                    parts, rows = [], 0
+                if rows >= 2 * _ROWS:
+                    parts = [summed(parts)]
+                    rows = parts[0].num_rows
+                    if rows > _ROWS:  # too many different ones to go on
+                        yield from parts[0].to_batches()
+                        parts, rows = [], 0
         if parts:
-            yield from summed(parts)
+            yield from summed(parts).to_batches()
 
     out = cut(docs.mapInArrow(run, "lang string, m int, gram string, n long").groupBy("lang", "m", "gram").agg(
         F.sum("n").alias("n")))

@@ -56,6 +56,7 @@ PASSAGES = [
     Mining(least=1, top=40, filtered=1), Mining(least=4, longest=2, filtered=2)])
 def test_equals_brute_force(spark, docs, corpus, rule, monkeypatch):
     monkeypatch.setattr(phrases, "_ROWS", 500)  # several sums a task
+    monkeypatch.setattr(phrases, "_PLACES", 99)
     monkeypatch.setattr(phrases, "_KEYS", 300)
     monkeypatch.setattr(phrases, "_RANKED", 50)  # languages ordered in parts
     more = spark.createDataFrame([(1, t, lang, None, 7, "x", [1], 0.5) for t, lang in PASSAGES * 3], docs.schema)
