@@ -32,6 +32,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shopsight.operators import selection
+
 MAX_BOUNDS = 65535  # boundary keys over all groups; binary search needs 16 steps
 _SEARCH_STEPS = [1 << i for i in range(15, -1, -1)]
 _HASH_SPACE = 1 << 40
@@ -322,7 +324,9 @@ def rank_windows(
     "partition_by": [...]}``.
 
     The input is materialized and counted once. When it fits one bucket all
-    windows run directly; otherwise each spec runs the bucketed path in turn
+    windows run directly. Beyond that, tiles (NTILE over all rows) are found by
+    selection, for all orderings together and without a shuffle of rows
+    (``operators/selection.py``); other specs run the bucketed path in turn
     (each ordering needs its own buckets). Each step's output is written
     (``materialize``) before the next step starts: otherwise every later
     step's plan would contain all earlier steps with their subqueries, and
@@ -336,6 +340,8 @@ def rank_windows(
             df = _builtin_window(df, spec["order"], tiebreak, spec["outputs"],
                                  list(spec.get("partition_by", ())))
         return df
+    if _only_tiles(df, specs, tiebreak):
+        return _selected_tiles(df, specs, tiebreak)
     for i, spec in enumerate(specs):
         if i:
             df = _materialize(df)
@@ -346,6 +352,33 @@ def rank_windows(
     return df
 
 
+def _only_tiles(df: DataFrame, specs: list[dict], tiebreak: list[str]) -> bool:
+    kinds = [k for spec in specs for k in spec["outputs"].values()]
+    columns = [*tiebreak, *(o.column for spec in specs for o in spec["order"])]
+    return all(not isinstance(k, str) and k[0] == "ntile" and k[1] <= selection.MAX_TILES for k in kinds) and not any(
+        spec.get("partition_by") for spec in specs) and selection.fits(df, columns)
+
+
+def _selected_tiles(df: DataFrame, specs: list[dict], tiebreak: list[str]) -> DataFrame:
+    """``df`` (materialized) with its tiles. NULL tie-breaks come first, as in
+    the ascending order of the windows."""
+    keys: dict[str, Column] = {}
+    orderings, counts = [], []
+    for i, spec in enumerate(specs):
+        fields = _key_fields(df, [*spec["order"], *(asc(t, nulls_first=True) for t in tiebreak)])
+        names = [f"__key{i}_{j}" for j in range(len(fields))]
+        keys |= {n: selection.integer_key(df, f, n) for n, f in zip(names, fields)}
+        for name, kind in spec["outputs"].items():
+            orderings.append((name, names))
+            counts.append(int(kind[1]))
+    keyed = df.withColumns(keys)
+    n = df.count()
+    found = selection.ends(keyed, [names for _, names in orderings], [selection.tile_ends(n, k) for k in counts])
+    tiles = {name: sum((selection.after(names, key).cast("long") for key in cuts), F.lit(1).cast("long"))
+             for (name, names), cuts in zip(orderings, found)}
+    return keyed.withColumns(tiles).drop(*keys)
+
+
 def _spark_order(o: Order) -> Column:
     c = F.col(o.column)
     if o.ascending:

@@ -19,18 +19,18 @@ from shopsight.plans.marts import store_orders
 from shopsight.sources.tables import Tables
 
 
-def export_sales_overview(t: Tables, p: Params = Params()) -> DataFrame:
+def export_sales_overview(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """Export 1: KPI 1 without revenue per customer (a single JSON object)."""
-    return sales_kpis.sales_overview(t, p).drop("revenue_per_customer")
+    return sales_kpis.sales_overview(t, p, marts).drop("revenue_per_customer")
 
 
-def export_monthly_trends(t: Tables, p: Params = Params()) -> DataFrame:
+def export_monthly_trends(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """Export 2: one object per month with sales, ordered by month.
 
     As written, the definition nests SUM inside json_agg and groups a scalar
     subquery, which PostgreSQL rejects; this is its evident intent.
     """
-    m = sales_kpis.monthly_data(t, p)
+    m = sales_kpis.monthly_data(t, p, marts)
     return m.select(
         F.date_format("month_date", "MMM yyyy").alias("month"),
         money("rev").alias("revenue"),
@@ -60,7 +60,7 @@ def export_store_performance(t: Tables, p: Params = Params(), marts=None) -> Dat
     idle stores, which sort last ascending and so rank near the top: idle
     stores get a high PERCENT_RANK, hence 'Star'. The NULL placement is
     stated explicitly to keep that behaviour."""
-    so = marts.store_orders() if marts is not None else store_orders(t, p)
+    so = store_orders(t, p, marts)
     s = t.stores.select("store_id", "store_name", "city", "region")
     j = s.join(so.select("store_id", "amount", "n_order_rows"), "store_id", "left")
     r = rank_window(
@@ -78,7 +78,7 @@ def export_store_performance(t: Tables, p: Params = Params(), marts=None) -> Dat
 
 def export_top_products(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """Export 6: top n by GROSS revenue, fields renamed for the dashboard."""
-    ps = sales_kpis.product_sales(t, p, measure="gross", marts=marts)
+    ps = sales_kpis.product_revenue(t, p, measure="gross", marts=marts)
     top = ps.select(
         "prod_id", money("value").alias("revenue"), F.col("units").cast("long").alias("units_sold")
     ).orderBy(F.col("revenue").desc_nulls_first(), "prod_id").limit(p.top_n)

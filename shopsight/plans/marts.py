@@ -8,10 +8,13 @@ the end of the run.
 
 from __future__ import annotations
 
+import inspect
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from shopsight.functions.semantics import as_of_date, is_valid, net_value
+from shopsight.functions.semantics import as_of_date, is_valid, money, net_value
+from shopsight.operators.distinct import counted, merged, states
 from shopsight.params import Params
 from shopsight.sources.tables import Tables
 
@@ -39,36 +42,84 @@ def customer_orders(t: Tables, p: Params) -> DataFrame:
     )
 
 
-def store_orders(t: Tables, p: Params) -> DataFrame:
+#: Sums that the order states carry, by name.
+ORDER_SUMS = ("n_order_rows", "amount", "n_amount")
+
+
+def order_states(t: Tables, p: Params, keys: tuple[str, ...] = ("store_id", "month")) -> DataFrame:
+    """Valid orders per ``keys`` as mergeable states (``operators/distinct.py``):
+    distinct customers and orders, revenue. KPIs 1, 2, 4, 11 and 12 and their
+    exports roll them up, so a full run reads the orders once for all of them.
+
+    A declared order_id key is counted, not kept as a bitmap.
+    """
+    v = valid_orders(t, p).select(
+        "store_id", "cust_id", "order_id", F.trunc("order_date", "month").alias("month"), "total_amount")
+    sums = {"n_order_rows": F.when(F.col("order_id").isNotNull(), 1).otherwise(0).cast("long"), "amount": F.col("total_amount"),
+            "n_amount": F.when(F.col("total_amount").isNotNull(), 1).otherwise(0).cast("long")}
+    return states(v, list(keys), _distincts(t), sums)
+
+
+def _distincts(t: Tables) -> dict[str, str]:
+    known = t.unique_keys.get("orders") == "order_id"
+    return {"n_customers": "cust_id"} | ({} if known else {"n_orders": "order_id"})
+
+
+def _order_counts(t: Tables, df: DataFrame, keys: list[str], also: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, n_orders, n_customers, sums) of states merged to ``keys``."""
+    out = counted(df, keys, [*_distincts(t), *also], list(ORDER_SUMS))
+    if "n_orders" not in out.columns:
+        out = out.withColumn("n_orders", F.col("n_order_rows"))
+    # one sum is DECIMAL(22,2), the type of the sum over the orders themselves
+    return out.withColumns({"amount": F.col("amount").cast("decimal(22,2)"), **{
+        c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("n_orders", "n_order_rows", "n_amount")}})
+
+
+def order_rollup(t: Tables, p: Params, keys: list[str], marts: Marts | None = None) -> DataFrame:
+    """Per ``keys`` (of store_id and month, or none): orders, distinct customers,
+    revenue; from the run's states, or from the orders if a job runs by itself."""
+    if marts is not None:
+        df = merged(marts.order_states(), keys, list(ORDER_SUMS))
+    else:
+        df = order_states(t, p, tuple(keys))
+    return _order_counts(t, df, keys)
+
+
+def store_orders(t: Tables, p: Params, marts: Marts | None = None) -> DataFrame:
     """Per store_id over valid orders: orders, distinct customers, revenue."""
-    v = valid_orders(t, p)
-    return v.groupBy("store_id").agg(
-        t.distinct_count("orders", "order_id").alias("n_orders"),
-        F.count("order_id").alias("n_order_rows"),
-        F.count_distinct("cust_id").alias("n_customers"),
-        F.sum("total_amount").alias("amount"),
-        F.count("total_amount").alias("n_amount"),
-    )
+    return order_rollup(t, p, ["store_id"], marts)
 
 
-def region_measures(t: Tables, p: Params) -> DataFrame:
+def region_measures(t: Tables, p: Params, marts: Marts | None = None) -> DataFrame:
     """Per region over valid orders of known stores: stores, orders, customers,
-    revenue. With a declared order_id key the orders are first summed per
-    (store, customer), so their shuffle carries partial sums and a hot store
-    is spread over its customers; the region joins those rows."""
-    v = valid_orders(t, p)
-    stores = t.stores.select("store_id", "region")
-    if t.unique_keys.get("orders") == "order_id":
-        pairs = v.where(F.col("store_id").isNotNull()).groupBy("store_id", "cust_id").agg(
-            F.count("order_id").alias("n"), F.sum("total_amount").alias("s"), F.count("total_amount").alias("c"))
-        orders = F.sum("n")
-    else:
-        pairs = v.select("store_id", "cust_id", "order_id", F.col("total_amount").alias("s"),
-                         F.when(F.col("total_amount").isNotNull(), 1).otherwise(0).alias("c"))
-        orders = F.count_distinct("order_id")
-    return pairs.join(stores, "store_id").groupBy("region").agg(
-        F.count_distinct("store_id").alias("n_stores"), orders.alias("n_orders"),
-        F.count_distinct("cust_id").alias("n_customers"), F.sum("s").alias("s"), F.sum("c").alias("c"))
+    revenue. The regions join states, never orders, and merge by (region, word
+    of the bitmap), so no shuffle of any size is keyed by the few regions."""
+    df = marts.order_states() if marts is not None else order_states(t, p, ("store_id",))
+    df = df.join(t.stores.select("store_id", "region"), "store_id")
+    df = merged(df, ["region"], list(ORDER_SUMS), also={"n_stores": "store_id"})
+    return _order_counts(t, df, ["region"], also=("n_stores",))
+
+
+def order_rollups(t: Tables, p: Params, marts: Marts | None = None) -> DataFrame:
+    """Every level at once, from one pass over the orders: the total, months,
+    regions and stores (``level`` names them; the columns of others are NULL)."""
+    df = marts.order_states() if marts is not None else order_states(t, p)
+    stores = t.stores.select("store_id", "region", F.lit(True).alias("known"))
+    df = df.join(stores, "store_id", "left")
+
+    def level(name: str, *kept: str) -> Column:
+        kinds = {"month": "date", "region": "string", "store_id": "bigint"}
+        return F.struct(F.lit(name).alias("level"),
+                        *((F.col(c) if c in kept else F.lit(None)).cast(k).alias(c) for c, k in kinds.items()))
+
+    known = F.col("known").isNotNull()
+    levels = F.array(level("total"), level("month", "month"), F.when(known, level("region", "region")),
+                     F.when(known, level("store", "store_id")))
+    df = df.select(F.explode(levels).alias("at"), "of", "word", "bits", *ORDER_SUMS).where(F.col("at").isNotNull()).select(
+        "at.*", "of", "word", "bits", *ORDER_SUMS)
+    keys = ["level", "month", "region", "store_id"]
+    return _order_counts(t, merged(df, keys, list(ORDER_SUMS)), keys).select(
+        *keys, "n_orders", "n_customers", money("amount").alias("revenue"))
 
 
 def item_lines(t: Tables, p: Params, valid_only: bool, items: DataFrame | None = None) -> DataFrame:
@@ -166,6 +217,13 @@ def category_totals(t: Tables, p: Params) -> DataFrame:
     return line_totals(line_measures(t, p, with_category=True), "category")
 
 
+def calling(job, t: Tables, p: Params, marts: Marts | None) -> DataFrame:
+    """``job`` with the run's marts, if it can use them."""
+    if "marts" in inspect.signature(job).parameters:
+        return job(t, p, marts=marts)
+    return job(t, p)
+
+
 class Marts:
     """Lazily built, optionally persisted marts for one run."""
 
@@ -188,8 +246,8 @@ class Marts:
     def customer_orders(self) -> DataFrame:
         return self._get("customer_orders", customer_orders)
 
-    def store_orders(self) -> DataFrame:
-        return self._get("store_orders", store_orders)
+    def order_states(self) -> DataFrame:
+        return self._get("order_states", order_states)
 
     def product_totals(self) -> DataFrame:
         return self._get("product_totals", product_totals)

@@ -5,53 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shopsight.functions.semantics import as_of_date, div_round, money, pct
+from shopsight.operators.distinct import counted, states
 from shopsight.params import Params
-from shopsight.plans.marts import line_measures, region_measures, valid_orders
+from shopsight.plans.marts import line_measures, order_rollup, region_measures, valid_orders
 from shopsight.sources.tables import Tables
 
 
-def sales_overview(t: Tables, p: Params = Params()) -> DataFrame:
+def sales_overview(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """KPI 1: one row; empty input gives NULL money and 0 counts."""
-    v = valid_orders(t, p)
-    agg = v.agg(
-        F.sum("total_amount").alias("s"),
-        F.count("total_amount").alias("c"),
-        t.distinct_count("orders", "order_id").alias("total_orders"),
-        F.count_distinct("cust_id").alias("total_customers"),
-    )
-    return agg.select(
-        money("s").alias("total_revenue"),
-        F.col("total_orders").cast("long"),
-        F.col("total_customers").cast("long"),
-        div_round("s", "c", 2, num_scale=2).alias("avg_order_value"),
-        div_round("s", "total_customers", 2, num_scale=2).alias("revenue_per_customer"),
+    return order_rollup(t, p, [], marts).select(
+        money("amount").alias("total_revenue"),
+        F.col("n_orders").alias("total_orders"),
+        F.col("n_customers").alias("total_customers"),
+        div_round("amount", "n_amount", 2, num_scale=2).alias("avg_order_value"),
+        div_round("amount", "n_customers", 2, num_scale=2).alias("revenue_per_customer"),
     )
 
 
-def monthly_data(t: Tables, p: Params) -> DataFrame:
-    v = valid_orders(t, p)
-    return v.groupBy(F.trunc("order_date", "month").alias("month_date")).agg(
-        F.sum("total_amount").alias("rev"),
-        t.distinct_count("orders", "order_id").alias("orders"),
-        F.count_distinct("cust_id").alias("customers"),
-    )
+def monthly_data(t: Tables, p: Params, marts=None) -> DataFrame:
+    return order_rollup(t, p, ["month"], marts).select(
+        F.col("month").alias("month_date"), F.col("amount").alias("rev"), F.col("n_orders").alias("orders"),
+        F.col("n_customers").alias("customers"))
 
 
-def monthly_revenue_trend(t: Tables, p: Params = Params()) -> DataFrame:
+def monthly_revenue_trend(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """KPI 2: LAG to the previous month that has sales; growth on unrounded revenue.
 
     The window runs over one row per calendar month (bounded by the date
     range, not by the data volume), so its single partition is harmless.
     """
-    m = monthly_data(t, p)
+    m = monthly_data(t, p, marts)
     prev = F.lag("rev").over(Window.orderBy(F.col("month_date").asc_nulls_last()))
     m = m.withColumn("prev", prev)
     return m.select(
         F.date_format("month_date", "MMM yyyy").alias("month_label"),
         "month_date",
         money("rev").alias("revenue"),
-        F.col("orders").cast("long"),
-        F.col("customers").cast("long"),
+        "orders",
+        "customers",
         div_round("rev", "orders", 2, num_scale=2).alias("aov"),
         pct(F.col("rev") - F.col("prev"), "prev", 1, num_scale=2, den_scale=2).alias(
             "mom_growth_pct"
@@ -136,15 +127,15 @@ def revenue_by_category(t: Tables, p: Params = Params(), measure: str = "net",
     ).orderBy(F.col("revenue").desc_nulls_first(), "category")
 
 
-def revenue_by_region(t: Tables, p: Params = Params()) -> DataFrame:
+def revenue_by_region(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """KPI 4: inner join, so stores without valid orders are not counted."""
-    return region_measures(t, p).select(
+    return region_measures(t, p, marts).select(
         "region",
         F.col("n_stores").cast("long").alias("store_count"),
-        money("s").alias("revenue"),
-        F.col("n_orders").cast("long").alias("orders"),
-        F.col("n_customers").cast("long").alias("customers"),
-        div_round("s", "c", 2, num_scale=2).alias("avg_order_value"),
+        money("amount").alias("revenue"),
+        F.col("n_orders").alias("orders"),
+        F.col("n_customers").alias("customers"),
+        div_round("amount", "n_amount", 2, num_scale=2).alias("avg_order_value"),
     ).orderBy(F.col("revenue").desc_nulls_first(), "region")
 
 
@@ -170,32 +161,53 @@ def daily_sales_30d(t: Tables, p: Params = Params()) -> DataFrame:
     ).orderBy("sale_date")
 
 
-def product_sales(t: Tables, p: Params, measure: str = "net", marts=None) -> DataFrame:
-    """Per prod_id over lines of valid orders of existing products (the inner
-    join with products becomes a semi join on product-grain rows)."""
-    ps = product_sales_rollup(t, p, True, measure, marts)
-    return ps.join(t.products.select("prod_id"), "prod_id", "left_semi")
+def product_revenue(t: Tables, p: Params, measure: str = "net", marts=None) -> DataFrame:
+    """Per existing product over lines of valid orders: value, units, prices.
+    Orders are not counted here, so the lines are added up per product at once."""
+    if marts is not None:
+        sums = from_totals(marts.product_totals(), "prod_id", True, measure)
+    else:
+        sums = line_measures(t, p, False, True).filter("ok").groupBy("prod_id").agg(
+            F.sum(measure).alias("value"), F.sum("q").alias("units"), F.sum("up").alias("price_sum"),
+            F.sum("nup").alias("price_n"))
+    return sums.join(t.products.select("prod_id"), "prod_id", "left_semi")
+
+
+def _sent(top: DataFrame, p: Params) -> DataFrame:
+    """The top_n rows, as a broadcast if they are few."""
+    return F.broadcast(top) if p.top_n <= 10_000 else top
+
+
+def orders_of(t: Tables, p: Params, chosen: DataFrame) -> DataFrame:
+    """``chosen`` (top_n products, with prod_id) and ``n_orders``, their distinct
+    valid orders: only lines of these products meet the orders."""
+    columns = chosen.columns
+    lines = t.order_items.select("prod_id", "order_id").join(_sent(chosen, p), "prod_id")
+    lines = lines.join(valid_orders(t, p).select("order_id"), "order_id")
+    return counted(states(lines, columns, {"n_orders": "order_id"}), columns, ["n_orders"], [])
 
 
 def top_products(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """KPI 6: top ``n`` products by rounded NET revenue (ties: prod_id).
 
-    Per-product aggregates (of existing products) are cut to the top n with a distributed top-k (TakeOrderedAndProject);
-    only the n winners meet the product names.
+    Revenue per existing product is cut to the top n with a distributed top-k
+    (TakeOrderedAndProject). Only the n winners have their orders counted and
+    meet the product names, so no grouping has a row per product and order.
     """
-    ps = product_sales(t, p, marts=marts)
-    ranked = ps.select(
+    sums = product_revenue(t, p, marts=marts).select(
         "prod_id",
         F.col("units").cast("long").alias("units_sold"),
         money("value").alias("revenue"),
-        F.col("n_orders").cast("long").alias("order_count"),
         div_round("price_sum", "price_n", 2, num_scale=2).alias("avg_selling_price"),
+        *([F.col("n_orders")] if marts is not None else []),
     )
-    top = ranked.orderBy(F.col("revenue").desc_nulls_first(), "prod_id").limit(p.top_n)
+    top = sums.orderBy(F.col("revenue").desc_nulls_first(), "prod_id").limit(p.top_n)
+    if marts is None:
+        top = orders_of(t, p, top)
     names = t.products.select("prod_id", "prod_name", "category", "brand")
     return (
-        top.join(names, "prod_id", "inner")
+        _sent(top, p).join(names, "prod_id", "inner")
         .select("prod_id", "prod_name", "category", "brand", "units_sold", "revenue",
-                "order_count", "avg_selling_price")
+                F.col("n_orders").cast("long").alias("order_count"), "avg_selling_price")
         .orderBy(F.col("revenue").desc_nulls_first(), "prod_id")
     )

@@ -13,17 +13,13 @@ from shopsight.plans.marts import region_measures, store_orders
 from shopsight.sources.tables import Tables
 
 
-def _store_orders(t: Tables, p: Params, marts=None) -> DataFrame:
-    return marts.store_orders() if marts is not None else store_orders(t, p)
-
-
 def store_sales(t: Tables, p: Params, marts=None) -> DataFrame:
     """Every store with its valid-order aggregates and its expenses.
 
     Orders and expenses are aggregated separately per store_id and then
     attached (no fan-out between them).
     """
-    so = _store_orders(t, p, marts)
+    so = store_orders(t, p, marts)
     ex = t.expenses.groupBy("store_id").agg(F.sum("amount").alias("exp"))
     s = t.stores.select("store_id", "store_name", "city", "state", "region")
     return (
@@ -86,15 +82,16 @@ def store_performance(t: Tables, p: Params = Params(), marts=None, sort: bool =
     return out.drop("_rev")
 
 
-def region_summary(t: Tables, p: Params = Params()) -> DataFrame:
+def region_summary(t: Tables, p: Params = Params(), marts=None) -> DataFrame:
     """KPI 12: store_count includes idle stores; NULL revenue without orders.
 
     Store counts come from the stores dimension alone; the two per-region
     results (a few rows each) are then joined.
     """
     counts = t.stores.groupBy("region").agg(F.count_distinct("store_id").alias("store_count"))
-    meas = region_measures(t, p).select(
-        "region", F.col("n_orders").alias("total_orders"), F.col("n_customers").alias("unique_customers"), "s", "c")
+    meas = region_measures(t, p, marts).select(
+        "region", F.col("n_orders").alias("total_orders"), F.col("n_customers").alias("unique_customers"),
+        F.col("amount").alias("s"), F.col("n_amount").alias("c"))
     # NULL region is a group of its own, as in GROUP BY: null-safe join
     g = counts.join(meas, counts["region"].eqNullSafe(meas["region"]), "left")
     return g.select(
