@@ -7,12 +7,17 @@ final counts.
 
 * ``unique``   — keys that occur more than once (``groupBy(key).count() > 1``)
 * ``not_null`` — NULLs per required column, all columns in one pass (``count_if``)
+* ``length``   — strings longer than their column allows
 * ``domain``   — values outside an allowed set (NULL counts as outside)
-* ``orphans``  — child rows whose key has no parent row (flagged left joins, one pass)
+* ``orphans``  — child rows whose key has no parent row
+
+``keys_report`` makes the checks of all keys in one pass.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 from shopsight.sources.tables import DIMENSION_KEYS, Tables
@@ -38,30 +43,55 @@ def _report(agg: DataFrame, table: str, names: list[tuple[str, str]]) -> DataFra
     return agg.select(F.inline(F.array(*rows)))
 
 
-def unique_and_not_null(df: DataFrame, table: str, key: str, columns: tuple[str, ...]) -> DataFrame:
-    """Repeated keys and NULL counts in one scan: NULLs are counted per key and
-    then summed."""
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *nulls)
-    agg = per_key.agg(F.count_if(F.col("n") > 1).alias(f"unique:{key}"),
-                      *(F.sum(f"null_{c}").alias(f"not_null:{c}") for c in columns))
-    return _report(agg, table, [("unique", key), *(("not_null", c) for c in columns)])
-
-
-def links(child: DataFrame, table: str, parents: list[tuple[str, DataFrame]],
-          not_null_columns: tuple[str, ...] = ()) -> DataFrame:
-    """Orphans of several keys, and NULL counts, in one pass over ``child``:
-    rows are first counted per combination of the keys, and a flagged left join
-    for each key marks the combinations that have a parent."""
-    keys = list(dict.fromkeys([*(k for k, _ in parents), *not_null_columns]))
-    rows = child.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    for key, parent in parents:
-        rows = rows.join(parent.select(key).distinct().withColumn(f"_has_{key}", F.lit(True)), key, "left")
-    lost = [F.sum(F.when(F.col(k).isNotNull() & F.col(f"_has_{k}").isNull(), F.col("_n"))).alias(f"orphans:{k}")
-            for k, _ in parents]
-    nulls = [F.sum(F.when(F.col(c).isNull(), F.col("_n"))).alias(f"not_null:{c}") for c in not_null_columns]
-    return _report(rows.agg(*lost, *nulls), table,
-                   [*(("orphans", k) for k, _ in parents), *(("not_null", c) for c in not_null_columns)])
+@dataclass(frozen=True)
+class Key:
+    """A key column, the table that it identifies, and the tables that refer to it."""
+
+    column: str
+    parent: str
+    children: tuple[str, ...]
+
+
+def keys_report(t: Tables, keys: list[Key], unique_parents: set[str]) -> DataFrame:
+    """Repeated parent keys, NULL keys and orphans of all ``keys`` in one pass.
+
+    Every table is scanned once: a row gives one narrow row for each key in it,
+    which says whether the row is the key's parent or a child. They meet in one
+    aggregation by key, where both sides' counts stand beside each other; it
+    combines map-side, so a hot key costs a row a task and lines are not
+    shuffled one by one.
+    """
+    sides: dict[str, list[tuple[Key, str]]] = {}
+    for k in keys:
+        for table in (k.parent, *k.children):
+            sides.setdefault(table, []).append((k, table))
+    rows = None
+    for table, own in sides.items():
+        each = [F.struct(F.lit(k.column).alias("kind"), F.col(k.column).cast("long").alias("key"),
+                         *(F.lit(1 if table == side else 0).cast("long").alias(f"in_{side}")
+                           for side in dict.fromkeys(s for x in keys for s in (x.parent, *x.children))))
+                for k, _ in own]
+        flat = t.get(table).select(F.inline(F.array(*each)))
+        rows = flat if rows is None else rows.unionByName(flat)
+    tables = [c for c in rows.columns if c.startswith("in_")]
+    per_key = rows.groupBy("kind", "key").agg(*(F.sum(c).alias(c) for c in tables))
+    checks, aggs = [], []
+    for k in keys:
+        mine, parent = F.col("kind") == k.column, F.col(f"in_{k.parent}")
+        if k.parent in unique_parents:
+            checks.append(("unique", k.parent, k.column))
+            aggs.append(F.count_if(mine & (parent > 1)))
+        for side in k.children:
+            n = F.col(f"in_{side}")
+            checks += [("not_null", side, k.column), ("orphans", side, k.column)]
+            aggs += [F.sum(F.when(mine & F.col("key").isNull(), n)),
+                     F.sum(F.when(mine & F.col("key").isNotNull() & (parent == 0), n))]
+        checks.append(("not_null", k.parent, k.column))
+        aggs.append(F.sum(F.when(mine & F.col("key").isNull(), parent)))
+    one = per_key.agg(*(F.coalesce(a, F.lit(0)).cast("long").alias(f"n{i}") for i, a in enumerate(aggs)))
+    out = [F.struct(F.lit(c).alias("check"), F.lit(tbl).alias("table"), F.lit(col).alias("columns"),
+                    F.col(f"n{i}").alias("violations")) for i, (c, tbl, col) in enumerate(checks)]
+    return one.select(F.inline(F.array(*out)))
 
 
 def not_null(df: DataFrame, table: str, *columns: str) -> DataFrame:
@@ -74,30 +104,35 @@ def not_null(df: DataFrame, table: str, *columns: str) -> DataFrame:
     )
 
 
+def max_length(df: DataFrame, table: str, limits: dict[str, int]) -> DataFrame:
+    """Values with more characters than their column takes (VARCHAR(n)), in one scan."""
+    agg = df.agg(*(F.count_if(F.char_length(c) > n).alias(f"length:{c}") for c, n in limits.items()))
+    return _report(agg, table, [("length", c) for c in limits])
+
+
 def domain(df: DataFrame, table: str, column: str, allowed) -> DataFrame:
     bad = F.count_if(~F.coalesce(F.col(column).isin(*allowed), F.lit(False)))
     return _row(df.agg(bad.alias("n")), "domain", table, column, F.col("n"))
 
 
+#: The keys by which the tables' rows meet.
+KEYS = [Key("order_id", "orders", ("order_items",)), Key("prod_id", "products", ("order_items",)),
+        Key("store_id", "stores", ("orders",)), Key("cust_id", "customers", ("orders",))]
+
+
 def key_report(t: Tables) -> DataFrame:
     """Checks that make the pre-aggregated plans exact: unique dimension keys
     (and declared unique keys), non-NULL join keys, and orphan facts."""
-    parts = [unique(t.get(tbl), tbl, key) for tbl, key in DIMENSION_KEYS.items()]
-    required = ("order_id", "cust_id", "store_id")
     declared = dict(t.unique_keys)
-    if declared.pop("orders", None) == "order_id":
-        parts.append(unique_and_not_null(t.orders, "orders", "order_id", required))
-    else:
-        parts.append(not_null(t.orders, "orders", *required))
-    parts += [unique(t.get(tbl), tbl, key) for tbl, key in declared.items()]
-    parts += [
-        links(t.order_items, "order_items", [("order_id", t.orders), ("prod_id", t.products)],
-              ("order_id", "prod_id")),
-        links(t.orders, "orders", [("store_id", t.stores), ("cust_id", t.customers)]),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    checked = set(DIMENSION_KEYS)
+    if declared.get("orders") == "order_id":
+        checked.add("orders")
+        del declared["orders"]
+    out = keys_report(t, KEYS, checked)
+    # a dimension's own NULL keys are repeats or rows that nothing meets
+    out = out.where(~((F.col("check") == "not_null") & F.col("table").isin(*DIMENSION_KEYS)))
+    for tbl, key in declared.items():
+        out = out.unionByName(unique(t.get(tbl), tbl, key)).unionByName(not_null(t.get(tbl), tbl, key))
     return out
 
 

@@ -3,7 +3,8 @@
 Each metric yields rows ``(metric, entity_type, entity_id, value)``; the mart
 is their union, written partitioned by ``metric``. The formulas follow the
 catalog text, which differs from the KPI of similar name (e.g. total revenue
-keeps Returned orders, order count has no status filter).
+keeps Returned orders, order count has no status filter). The jobs are made of
+the registry's rows (``metrics.py``).
 """
 
 from __future__ import annotations
@@ -12,133 +13,51 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopsight.functions.semantics import div_round
+from shopsight.plans import metrics
+from shopsight.plans.metrics import Metric
 from shopsight.sources.tables import Tables
 
-# The registry rows (name, category, description, formula, sources).
+# The registry rows (name, category, description, formula, sources) and what they are computed from.
 REGISTRY = [
-    ("total_revenue", "Sales", "Total revenue from all completed orders",
-     "SUM(total_amount) WHERE status != 'Cancelled'", "sales.orders"),
-    ("order_count", "Sales", "Total number of orders",
-     "COUNT(DISTINCT order_id)", "sales.orders"),
-    ("avg_order_value", "Sales", "Average value per order",
-     "SUM(total_amount) / COUNT(order_id)", "sales.orders"),
-    ("customer_lifetime_value", "Customer", "Total revenue per customer",
-     "SUM(total_amount) GROUP BY cust_id", "sales.orders, customers.customers"),
-    ("customer_count", "Customer", "Total unique customers",
-     "COUNT(DISTINCT cust_id)", "customers.customers"),
-    ("store_revenue", "Store", "Revenue by store",
-     "SUM(total_amount) GROUP BY store_id", "sales.orders, stores.stores"),
-    ("product_sales", "Product", "Units sold by product",
-     "SUM(quantity) GROUP BY prod_id", "sales.order_items, products.products"),
+    Metric("total_revenue", "Sales", "Total revenue from all completed orders",
+           "SUM(total_amount) WHERE status != 'Cancelled'", "sales.orders",
+           "orders", "sum", "total_amount", where="order_status != 'Cancelled'"),
+    Metric("order_count", "Sales", "Total number of orders",
+           "COUNT(DISTINCT order_id)", "sales.orders",
+           "orders", "distinct", "order_id"),
+    Metric("avg_order_value", "Sales", "Average value per order",
+           "SUM(total_amount) / COUNT(order_id)", "sales.orders",
+           "orders", "ratio", "total_amount", per="order_id"),
+    Metric("customer_lifetime_value", "Customer", "Total revenue per customer",
+           "SUM(total_amount) GROUP BY cust_id", "sales.orders, customers.customers",
+           "orders", "sum", "total_amount", entity=("customer", "cust_id")),
+    Metric("customer_count", "Customer", "Total unique customers",
+           "COUNT(DISTINCT cust_id)", "customers.customers",
+           "customers", "distinct", "cust_id"),
+    Metric("store_revenue", "Store", "Revenue by store",
+           "SUM(total_amount) GROUP BY store_id", "sales.orders, stores.stores",
+           "orders", "sum", "total_amount", entity=("store", "store_id")),
+    Metric("product_sales", "Product", "Units sold by product",
+           "SUM(quantity) GROUP BY prod_id", "sales.order_items, products.products",
+           "order_items", "sum", "quantity", entity=("product", "prod_id")),
 ]
 
-#: Every metric's value: money and counts exactly, the mean to 6 decimals.
-VALUE = "decimal(38,6)"
 
-
-def _global(name: str, df: DataFrame, value) -> DataFrame:
-    return df.agg(value.alias("value")).select(
-        F.lit(name).alias("metric"), F.lit("all").alias("entity_type"),
-        F.lit(None).cast("long").alias("entity_id"), F.col("value").cast(VALUE),
-    )
-
-
-def _per(name: str, etype: str, df: DataFrame, key: str, value) -> DataFrame:
-    return df.groupBy(key).agg(value.alias("value")).select(
-        F.lit(name).alias("metric"), F.lit(etype).alias("entity_type"),
-        F.col(key).cast("long").alias("entity_id"), F.col("value").cast(VALUE),
-    )
-
-
-def metric_total_revenue(t: Tables) -> DataFrame:
-    o = t.orders.filter(F.col("order_status") != "Cancelled")
-    return _global("total_revenue", o, F.sum("total_amount"))
-
-
-def metric_order_count(t: Tables) -> DataFrame:
-    return _global("order_count", t.orders, t.distinct_count("orders", "order_id"))
-
-
-def metric_avg_order_value(t: Tables) -> DataFrame:
-    """SUM(total_amount) / COUNT(order_id). The catalog formula states no
-    rounding; the value is the exact quotient rounded half away from zero to
-    6 decimals, so every engine stores the same number."""
-    agg = t.orders.agg(F.sum("total_amount").alias("s"), F.count("order_id").alias("c"))
-    return agg.select(
-        F.lit("avg_order_value").alias("metric"), F.lit("all").alias("entity_type"),
-        F.lit(None).cast("long").alias("entity_id"),
-        div_round("s", "c", 6, num_scale=2).alias("value"),
-    )
+def metric_job(m: Metric):
+    """The job of one registry row by itself."""
+    return lambda t: metrics.mart(t, [m])
 
 
-def metric_customer_lifetime_value(t: Tables) -> DataFrame:
-    return _per("customer_lifetime_value", "customer", t.orders, "cust_id", F.sum("total_amount"))
+METRICS = {f"metric_{m.name}": metric_job(m) for m in REGISTRY}
 
 
-def metric_customer_count(t: Tables) -> DataFrame:
-    return _global("customer_count", t.customers, F.count_distinct("cust_id"))
+def metric_mart(t: Tables, rows: list[Metric] | None = None) -> DataFrame:
+    """All metrics of the registry in long format, with one scan a table."""
+    return metrics.mart(t, REGISTRY if rows is None else rows)
 
 
-def metric_store_revenue(t: Tables) -> DataFrame:
-    return _per("store_revenue", "store", t.orders, "store_id", F.sum("total_amount"))
-
-
-def metric_product_sales(t: Tables) -> DataFrame:
-    return _per("product_sales", "product", t.order_items, "prod_id", F.sum("quantity"))
-
-
-METRICS = {
-    "metric_total_revenue": metric_total_revenue,
-    "metric_order_count": metric_order_count,
-    "metric_avg_order_value": metric_avg_order_value,
-    "metric_customer_lifetime_value": metric_customer_lifetime_value,
-    "metric_customer_count": metric_customer_count,
-    "metric_store_revenue": metric_store_revenue,
-    "metric_product_sales": metric_product_sales,
-}
-
-
-def metric_mart(t: Tables) -> DataFrame:
-    """All seven metrics in long format with two passes over orders.
-
-    The three global order formulas share one aggregation (unpivoted to
-    rows); the per-customer and per-store sums share one GROUPING SETS pass
-    (one scan, one shuffle of partial sums). Values equal the single-metric
-    jobs above.
-    """
-    o = t.orders
-    g = o.agg(
-        F.sum(F.when(F.col("order_status") != "Cancelled", F.col("total_amount"))).alias("rev"),
-        t.distinct_count("orders", "order_id").alias("n"),
-        F.sum("total_amount").alias("s"),
-        F.count("order_id").alias("c"),
-    ).select(
-        F.col("rev").cast(VALUE).alias("total_revenue"),
-        F.col("n").cast(VALUE).alias("order_count"),
-        div_round("s", "c", 6, num_scale=2).cast(VALUE).alias("avg_order_value"),
-    )
-    glob = g.unpivot([], ["total_revenue", "order_count", "avg_order_value"], "metric", "value")
-    glob = glob.select(
-        "metric", F.lit("all").alias("entity_type"), F.lit(None).cast("long").alias("entity_id"),
-        F.col("value").cast(VALUE),
-    )
-    per = o.groupingSets([["cust_id"], ["store_id"]], "cust_id", "store_id").agg(
-        F.sum("total_amount").alias("value"), F.grouping_id().alias("gid")
-    )
-    by_customer = F.col("gid") == 1  # store_id rolled up: the (cust_id) set
-    per = per.select(
-        F.when(by_customer, "customer_lifetime_value").otherwise("store_revenue").alias("metric"),
-        F.when(by_customer, "customer").otherwise("store").alias("entity_type"),
-        F.when(by_customer, F.col("cust_id")).otherwise(F.col("store_id")).cast("long")
-        .alias("entity_id"),
-        F.col("value").cast(VALUE),
-    )
-    return (
-        glob.unionByName(per)
-        .unionByName(metric_customer_count(t))
-        .unionByName(metric_product_sales(t))
-    )
+def _text(m: Metric) -> tuple[str, ...]:
+    return m.name, m.category, m.description, m.formula, m.sources
 
 
 def registry(spark: SparkSession, owner: str | None = None,
@@ -151,7 +70,7 @@ def registry(spark: SparkSession, owner: str | None = None,
         except Exception:  # Spark Connect: no SparkContext
             owner = spark.sql("SELECT current_user()").first()[0]
     who = owner
-    rows = [(i + 1, *r, who, created) for i, r in enumerate(REGISTRY)]
+    rows = [(i + 1, *_text(m), who, created) for i, m in enumerate(REGISTRY)]
     return spark.createDataFrame(
         rows,
         "kpi_id INT, kpi_name STRING, kpi_category STRING, description STRING, formula STRING, "
@@ -164,7 +83,7 @@ def metric_catalog(t: Tables) -> DataFrame:
     (the 7 fixed registry rows are broadcast: a fixed-size side)."""
     spark = t.orders.sparkSession
     reg = spark.createDataFrame(
-        [(i, *row) for i, row in enumerate(REGISTRY, 1)],
+        [(i, *_text(m)) for i, m in enumerate(REGISTRY, 1)],
         "kpi_id INT, metric STRING, kpi_category STRING, description STRING, formula STRING, source_tables STRING",
     )
     return metric_mart(t).join(F.broadcast(reg), "metric", "left").select(

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from shopsight.functions.display import with_display
 from shopsight.params import ORDER_STATUSES, Params
 from shopsight.operators import quality
-from shopsight.plans import catalog, customer, exports, product, sales, store
+from shopsight.plans import catalog, customer, exports, governance, product, sales, store
+from shopsight.plans.marts import order_rollups
 from shopsight.sources.tables import Tables
 
-JOBS: dict[str, Callable[[Tables, Params], DataFrame]] = {
-    # KPI 1-14
+KPIS: dict[str, Callable[..., DataFrame]] = {  # 1-14
     "sales_overview": sales.sales_overview,
     "monthly_revenue_trend": sales.monthly_revenue_trend,
     "revenue_by_category": sales.revenue_by_category,
@@ -28,6 +28,12 @@ JOBS: dict[str, Callable[[Tables, Params], DataFrame]] = {
     "region_summary": store.region_summary,
     "product_performance": product.product_performance,
     "category_performance": product.category_performance,
+}
+
+JOBS: dict[str, Callable[[Tables, Params], DataFrame]] = {
+    **KPIS,
+    # every level of the order counts from one pass over the orders
+    "order_rollups": order_rollups,
     # export payloads
     "export_sales_overview": exports.export_sales_overview,
     "export_monthly_trends": exports.export_monthly_trends,
@@ -38,6 +44,7 @@ JOBS: dict[str, Callable[[Tables, Params], DataFrame]] = {
     # metric catalog
     **{k: (lambda f: (lambda t, p: f(t)))(f) for k, f in catalog.METRICS.items()},
     "metric_mart": lambda t, p: catalog.metric_mart(t),
+    "metric_mart_incremental": governance.incremental_mart,
     "metric_catalog": lambda t, p: catalog.metric_catalog(t),
     # the export documents, with a fixed stamp
     **{f"document_{name}": (lambda fn, bounded, single: lambda t, p: exports.stamped(fn(t, p), bounded, single))(
@@ -52,17 +59,15 @@ JOBS: dict[str, Callable[[Tables, Params], DataFrame]] = {
     "quality_key_report": lambda t, p: quality.key_report(t),
     "quality_domain_report": lambda t, p: quality.domain(t.orders, "orders", "order_status", ORDER_STATUSES).unionByName(
         quality.domain(t.order_items, "order_items", "discount", (0, 2, 4, 6, 8, 10))),
-    # rows that a run's execution log records for some jobs
-    "run_audit": lambda t, p: logged_run(t, p, ("sales_overview", "region_summary", "export_customer_segments")),
+    "quality_length_report": lambda t, p: governance.length_report(t, p, {k: JOBS[k] for k in LOGGED}),
+    # what the sinks and the logs of a run hold
+    "run_audit": lambda t, p: governance.logged_run(t, p, {k: JOBS[k] for k in LOGGED}).select(
+        "kpi_name", "rows_returned", "status", "error_message"),
+    "refresh_audit": governance.refresh_audit,
+    "published_kpis": lambda t, p: governance.published_kpis(t, p, KPIS),
+    "published_customer_values": lambda t, p: governance.read_back(
+        t, p, "customer_lifetime_value", customer.customer_lifetime_value),
 }
 
-
-def logged_run(t: Tables, p: Params, names: tuple[str, ...]) -> DataFrame:
-    """What the execution log records of running ``names`` in full."""
-    from shopsight.sinks import AuditLog, write_table
-
-    audit = AuditLog(t.orders.sparkSession)
-    for name in names:
-        audit.timed(name, lambda name=name: write_table(JOBS[name](t, p), None, name))
-    audit.close()
-    return audit.execution_log().select("kpi_name", "rows_returned", "status", "error_message")
+#: Jobs whose log rows ``run_audit`` shows.
+LOGGED = ("sales_overview", "region_summary", "export_customer_segments")

@@ -4,62 +4,59 @@
 writes:
   kpis/<name>/           Parquet KPI tables (store and product tables with display columns)
   data/<name>.json       one JSON document per dashboard export: a single file, or for
-                         store_performance and category_sales a folder whose parts,
+                         store_performance and category_sales a dataset whose parts,
                          joined in name order, are the document
   display/<name>/        the two exports that the page formats, with display columns
   analytics/metric_mart/ long-format metric mart, partitioned by metric
-  analytics/kpi_metadata/, execution_log/, refresh_history/  governance tables
+  analytics/kpi_metadata/, execution_log/, refresh_history/, refresh_files/  governance tables
+KPI and display tables, the mart and the documents in parts are versioned
+datasets: ``published.read_table`` and ``sinks.document_parts`` read the current
+version. A run that is replayed under its ``run_id`` adds no audit rows.
 Without ``out_dir`` every job still runs in full into the ``noop`` sink.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import inspect
 import os
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession
 
 from shopsight.functions.display import with_display
 from shopsight.operators import quality
 from shopsight.params import FIXTURE_AS_OF, Params
-from shopsight.plans import catalog
+from shopsight.plans import catalog, governance
 from shopsight.plans.exports import EXPORTS, SINGLE_OBJECT
-from shopsight.plans.marts import Marts
-from shopsight.plans.registry import JOBS
+from shopsight.plans.marts import Marts, calling
+from shopsight.plans.registry import JOBS, KPIS
 from shopsight.session import Scope
-from shopsight.sinks import AuditLog, refresh_rows, utc_now, write_document, write_table
+from shopsight.sinks import AuditLog, utc_now, write_document, write_table
 from shopsight.sources.star_schema import tables_from_star
 from shopsight.sources.tables import Tables
 
-KPI_NAMES = [n for n in JOBS if not n.startswith(("export_", "metric_", "quality_"))]
+KPI_NAMES = [*KPIS, "order_rollups"]
 DISPLAY_EXPORTS = ("store_performance", "top_products")
 
 
-def _call(job, t: Tables, p: Params, marts: Marts):
-    if "marts" in inspect.signature(job).parameters:
-        return job(t, p, marts=marts)
-    return job(t, p)
-
-
 def run_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None = None,
             params: Params = Params(as_of=FIXTURE_AS_OF), tables: Tables | None = None,
-            fail_fast: bool = True, check_keys: bool = True) -> AuditLog:
+            fail_fast: bool = True, check_keys: bool = True, run_id: str | None = None) -> AuditLog:
     """Run everything. ``check_keys`` first verifies the keys the
     pre-aggregated plans rely on (unique dimension and declared keys) and
     stops before any output is written if one is violated; the full report
     (incl. NULL keys and orphans) is written to ``analytics/quality_report``."""
     t = tables if tables is not None else tables_from_star(spark, sf_dir)
     if check_keys:
-        report = quality.key_report(t)
+        report = quality.key_report(t).unionByName(
+            quality.max_length(catalog.registry(spark), "kpi_metadata", governance.MAX_LENGTHS["kpi_metadata"]))
         if out_dir:
             report.write.mode("overwrite").parquet(os.path.join(out_dir, "analytics",
                                                                 "quality_report"))
             report = spark.read.parquet(os.path.join(out_dir, "analytics", "quality_report"))
-        quality.assert_clean(report, checks=("unique",))
+        quality.assert_clean(report, checks=("unique", "length"))
         quality.assert_keys(report, t)
     marts = Marts(t, params, persist=True)
-    audit = AuditLog(spark)
+    audit = AuditLog(spark, run_id)
     generated_at = utc_now()
 
     def path(*parts):
@@ -76,49 +73,37 @@ def run_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None
             for name in KPI_NAMES:
                 # timed from definition on: ranking jobs materialize their input while defined
                 def kpi(name=name):
-                    df = with_display(name, _call(JOBS[name], t, params, marts))
+                    df = with_display(name, calling(JOBS[name], t, params, marts))
                     return write_table(df, path("kpis", name), name)
 
                 run(name, kpi)
             for name, (fn, bounded) in EXPORTS.items():
                 target = path("data", f"{name}.json")
-                holder = {}
 
-                def export(fn=fn, target=target, single=name in SINGLE_OBJECT, bounded=bounded, holder=holder):
-                    payload = _call(fn, t, params, marts)
-                    holder["n"] = write_document(payload, single, target, generated_at, bounded)
-                    return holder["n"], "SUCCESS"
+                def export(fn=fn, target=target, single=name in SINGLE_OBJECT, bounded=bounded):
+                    payload = calling(fn, t, params, marts)
+                    return write_document(payload, single, target, generated_at, bounded), "SUCCESS"
 
                 if run(f"export_{name}", export) and target:
-                    audit.refresh.append(refresh_rows(spark, target, f"{name}.json", holder["n"], generated_at))
+                    audit.refreshed(target, f"{name}.json")
             for name in DISPLAY_EXPORTS:
                 def shown(name=name):
-                    df = with_display(f"export_{name}", _call(EXPORTS[name][0], t, params, marts))
+                    df = with_display(f"export_{name}", calling(EXPORTS[name][0], t, params, marts))
                     return write_table(df, path("display", name), name)
 
                 run(f"display_{name}", shown)
-            mart_path = path("analytics", "metric_mart")
-            run("metric_mart", lambda: write_table(catalog.metric_mart(t), None, "metric_mart")
-                if mart_path is None else _write_mart(t, mart_path))
+            run("metric_mart", lambda: write_table(
+                catalog.metric_mart(t), path("analytics", "metric_mart"), "metric_mart", ("metric",)))
             if out_dir:
                 catalog.registry(spark).write.mode("overwrite").parquet(path("analytics", "kpi_metadata"))
     finally:
         marts.release()
         audit.close()
         if out_dir:  # a run that failed is on record, too
-            audit.append(path("analytics"))
+            audit.append(path("analytics"), generated_at)
     return audit
 
 
-def _write_mart(t: Tables, target: str):
-    from pyspark.sql import Observation
-
-    obs = Observation("mart_rows")
-    catalog.metric_mart(t).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(
-        "overwrite").partitionBy("metric").parquet(target)
-    return int(obs.get["rows"]), "SUCCESS"
-
-
 def main(argv: list[str] | None = None) -> int:
     """Command line: ``python -m shopsight.runner --out DIR (--star DIR |
     --tables DIR | --database NAME) [--as-of YYYY-MM-DD] [--no-check-keys]

@@ -7,7 +7,9 @@ import tempfile
 from pyspark.sql import functions as F
 
 from shopsight.operators import quality
+from shopsight.published import read_table
 from shopsight.runner import KPI_NAMES, run_all
+from shopsight.sinks import document_parts
 from shopsight.sources.star_schema import tables_from_star
 from tests.conftest import SF001
 
@@ -29,9 +31,8 @@ def test_run_all_writes_sinks_and_audit(spark):
 
     t = tables_from_star(spark, SF001)
     # per-entity export: parts that joined in name order are the document
-    folder = os.path.join(out, "data", "store_performance.json")
-    parts = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
-    sp = json.loads("".join(open(os.path.join(folder, f)).read() for f in parts))
+    parts = document_parts(spark, os.path.join(out, "data", "store_performance.json"))
+    sp = json.loads("".join(open(p).read() for p in parts))
     assert len(sp["data"]) == t.stores.count()
     revs = [x["revenue"] for x in sp["data"] if x["revenue"] is not None]
     assert revs == sorted(revs, reverse=True) and sp["data"][0]["revenue"] is None
@@ -43,9 +44,9 @@ def test_run_all_writes_sinks_and_audit(spark):
     months = [m["month"] for m in doc["data"]]
     assert len(months) > 12 and months[0] == "Jan 1995"
 
-    kpi = spark.read.parquet(os.path.join(out, "kpis", "store_performance"))
+    kpi = read_table(spark, os.path.join(out, "kpis", "store_performance"))
     assert {"revenue_display", "tier_class"} <= set(kpi.columns)
-    mart = spark.read.parquet(os.path.join(out, "analytics", "metric_mart"))
+    mart = read_table(spark, os.path.join(out, "analytics", "metric_mart"))
     assert mart.select("metric").distinct().count() == 7
     reg = spark.read.parquet(os.path.join(out, "analytics", "kpi_metadata"))
     assert reg.count() == 7 and reg.select("kpi_name").distinct().count() == 7
@@ -61,11 +62,12 @@ def test_shared_mart_path_equals_standalone_jobs(spark):
     run_all(spark, SF001, out_dir=out)
     t = tables_from_star(spark, SF001)
     p = Params(as_of=FIXTURE_AS_OF)
-    for name in ("revenue_by_category", "top_products", "product_performance",
+    for name in ("sales_overview", "monthly_revenue_trend", "revenue_by_region", "region_summary", "order_rollups",
+                 "revenue_by_category", "top_products", "product_performance",
                  "category_performance", "customer_lifetime_value", "store_performance",
                  "rfm_analysis", "rfm_segment_summary"):
         want = JOBS[name](t, p)
-        got = spark.read.parquet(os.path.join(out, "kpis", name)).select(*want.columns)
+        got = read_table(spark, os.path.join(out, "kpis", name)).select(*want.columns)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())), name
 
 
@@ -110,7 +112,7 @@ def test_stamps_are_utc_in_any_zone(spark):
     import datetime as dt
     import time
 
-    from shopsight.sinks import refresh_rows, utc_now
+    from shopsight.sinks import refresh_files, refresh_rows, utc_now
 
     old = os.environ.get("TZ")
     os.environ["TZ"] = "Asia/Kolkata"
@@ -119,7 +121,7 @@ def test_stamps_are_utc_in_any_zone(spark):
         now = utc_now()
         path = os.path.join(tempfile.mkdtemp(prefix="shopsight-tz-"), "x.json")
         open(path, "w").write("{}")
-        row = refresh_rows(spark, path, "x.json", 1, now).first()
+        row = refresh_rows(refresh_files(spark, path, "x.json", "run"), now).first()
         stamp = spark.range(1).select(F.lit(now).cast("string").alias("s")).first().s
     finally:
         os.environ.pop("TZ") if old is None else os.environ.__setitem__("TZ", old)
