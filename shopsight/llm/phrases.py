@@ -208,11 +208,28 @@ def graph(docs: DataFrame, rule: Mining) -> DataFrame:
     for _ in range(min(rule.filtered, rule.longest)):
         tables.append(sc.broadcast(bit_table(_often(docs, rule.least, tables), "kv")))
     names = ["lang", "m", "gram", "n"]
+    n_parts = docs.rdd.getNumPartitions()
 
-    def summed(parts: list[pa.Table]) -> pa.Table:
-        t = pa.concat_tables(parts).group_by(names[:3], use_threads=False).aggregate([("n", "sum")])
+    def summed(tables: list[pa.Table]) -> pa.Table:
+        t = pa.concat_tables(tables).group_by(names[:3], use_threads=False).aggregate([("n", "sum")])
         return t.rename_columns(names)
 
+    def dealt(t: pa.Table) -> pa.RecordBatch:
+        """Grams in as many parts as there are tasks, each part as one value."""
+        t = t.sort_by([("lang", "ascending"), ("gram", "ascending")]).combine_chunks()
+        data, off = text_bytes(t.column("gram"))
+        part = (X.Hasher(data).of(off[:-1], off[1:]) >> X.U(32)) * X.U(n_parts) >> X.U(32)
+        order = np.argsort(part, kind="stable")
+        edges = np.r_[np.flatnonzero(np.r_[True, np.diff(part[order]) > 0]), len(order)]
+        blobs = []
+        for i, j in zip(edges[:-1], edges[1:]):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(t.take(pa.array(order[i:j])).combine_chunks())
+            blobs.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part[order[edges[:-1]]].astype(np.int64)), pa.array(blobs, pa.binary())], names=["part", "grams"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [t.value for t in tables]
         parts, rows = [], 0
@@ -233,13 +250,17 @@ def graph(docs: DataFrame, rule: Mining) -> DataFrame:
                     parts = [summed(parts)]
                     rows = parts[0].num_rows
                     if rows > _ROWS:  # too many different ones to go on
-                        yield from parts[0].to_batches()
+                        yield dealt(parts[0])
                         parts, rows = [], 0
-        if parts:
-            yield from summed(parts).to_batches()
+        if rows:
+            yield dealt(summed(parts))
+
+    def add(t: pa.Table) -> pa.Table:
+        got = summed([pa.ipc.open_stream(g.as_buffer()).read_all() for g in t.column("grams")])
+        return got.cast(pa.schema([("lang", pa.string()), ("m", pa.int32()), ("gram", pa.string()), ("n", pa.int64())]))
 
-    out = cut(docs.mapInArrow(run, "lang string, m int, gram string, n long").groupBy("lang", "m", "gram").agg(
-        F.sum("n").alias("n")))
+    out = cut(docs.mapInArrow(run, "part long, grams binary").groupBy("part").applyInArrow(
+        add, "lang string, m int, gram string, n long"))
     for table in tables:
         table.destroy()
     return out
