@@ -36,10 +36,22 @@ from shopsight.llm.common import col, cut, fresh, map_rows, small_side
 @dataclass(frozen=True)
 class Templates:
     """A subtree is a template on pages of ``min_pages`` different main texts of
-    its host or more, and on that share of the host's different main texts."""
+    its host or more, if it is on that share of the host's different main texts:
+    surely so, by the lower end of a confidence interval, so that a page's text
+    doesn't depend on how many pages of its host there are. Inside an article
+    only its first and last subtrees can be templates, and on most pages."""
 
     min_pages: int = 8
-    min_share: float = 0.0
+    min_share: float = 0.02
+    min_share_inside: float = 0.5
+    deviations: float = 1.96
+
+
+def surely(n: F.Column, of: F.Column, z: float) -> F.Column:
+    """The lower end of the Wilson interval of the share ``n / of``."""
+    share = n / of
+    spread = z * F.sqrt(share * (1 - share) / of + z * z / (4 * of * of))
+    return (share + z * z / (2 * of) - spread) / (1 + z * z / of)
 
 
 # Elements and class words.
@@ -173,16 +185,19 @@ class Page:
         if not self.dropped and not e.dropped and e.name not in INLINE and len(self.pieces) > e.first:
             self.subtrees.append((e.first, len(self.pieces), e.inside, e.name))
 
-    def hashes(self) -> list[tuple[int, int, int]]:
-        """(first piece, end, hash) of the subtrees that may be templates."""
+    def hashes(self) -> list[tuple[int, int, int, bool]]:
+        """(first piece, end, hash, inside an article) of the subtrees that may be
+        templates; inside an article they begin or end its text."""
         out = []
+        body = [i for i, p in enumerate(self.pieces) if p[1] and p[0].strip()]
         for first, end, inside, name in self.subtrees:
-            if name in ("html", "body", *ROOTS) or (inside and name not in CONTAINERS):
+            if name in ("html", "body", *ROOTS) or (inside and (
+                    name not in CONTAINERS or not body or (first > body[0] and end <= body[-1]))):
                 continue
             text = " ".join("".join(p[0] for p in self.pieces[first:end]).split())
             if text:
-                digest = blake2b(f"{name}\0{text}".encode("utf-8", "surrogatepass"), digest_size=8).digest()
-                out.append((first, end, int.from_bytes(digest, "little", signed=True)))
+                digest = blake2b(f"{name}\0{inside}\0{text}".encode("utf-8", "surrogatepass"), digest_size=8).digest()
+                out.append((first, end, int.from_bytes(digest, "little", signed=True), inside))
         return out
 
     def text(self, templates: frozenset[int] = frozenset()) -> str:
@@ -191,7 +206,7 @@ class Page:
         if templates:
             lengths = [sum(map(len, p[0].split())) if not root or p[root] else 0 for p in self.pieces]
             upto = [0, *accumulate(lengths)]
-            for first, end, h in self.hashes():
+            for first, end, h, _ in self.hashes():
                 if h in templates and 2 * (upto[end] - upto[first]) <= upto[-1]:
                     gone[first:end] = b"\1" * (end - first)
             if root == 1 and 2 * sum(n for n, g in zip(lengths, gone, strict=True) if g) > upto[-1]:
@@ -218,22 +233,26 @@ def page_templates(pages: DataFrame, url: str = "url", html: str = "html", rule:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows: list[tuple[int, int, int, int]] = []
+            rows: list[tuple] = []
             for host, key, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 page = Page(source.as_py() or "")
-                if own := {h for _, _, h in page.hashes()}:
-                    digest = blake2b(page.text().encode("utf-8", "surrogatepass"), digest_size=8).digest()
-                    main = int.from_bytes(digest, "little", signed=True)
-                    rows += [(host, key, main, h) for h in sorted(own)]
-            columns = zip(*rows, strict=True) if rows else [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["host", "page", "main", "h"])
+                digest = blake2b(page.text().encode("utf-8", "surrogatepass"), digest_size=8).digest()
+                main = int.from_bytes(digest, "little", signed=True)
+                own = {(h, inside) for _, _, h, inside in page.hashes()}
+                # a page without subtrees counts as a page of its host
+                rows += [(host, key, main, h, inside) for h, inside in sorted(own)] or [(host, key, main, None, None)]
+            columns = zip(*rows, strict=True) if rows else [()] * 5
+            kinds = [pa.int64()] * 4 + [pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                                             names=["host", "page", "main", "h", "inside"])
 
     plain = pages.select(F.xxhash64(_host(url)).alias("host"), _page(url, html).alias("page"), col(html).cast("string").alias("html"))
-    found = cut(plain.mapInArrow(run, "host long, page long, main long, h long").distinct())
-    often = found.groupBy("host", "h").agg(F.count_distinct("main").alias("n")).where(F.col("n") >= rule.min_pages)
-    if rule.min_share > 0:
-        sizes = found.groupBy("host").agg(F.count_distinct("main").alias("pages"))
-        often = often.join(sizes, "host").where(F.col("n") >= rule.min_share * F.col("pages"))
+    found = cut(plain.mapInArrow(run, "host long, page long, main long, h long, inside boolean").distinct())
+    often = found.where("h is not null").groupBy("host", "h", "inside").agg(F.count_distinct("main").alias("n")).where(
+        F.col("n") >= rule.min_pages)
+    sizes = found.groupBy("host").agg(F.count_distinct("main").alias("pages"))
+    least = F.when(F.col("inside"), rule.min_share_inside).otherwise(rule.min_share)
+    often = often.join(sizes, "host").where(surely(F.col("n"), F.col("pages"), rule.deviations) >= least)
     often = cut(often.select("host", "h"))
     return found.join(small_side(often), ["host", "h"], "left_semi").groupBy("page").agg(
         F.sort_array(F.collect_set("h")).alias("templates"))

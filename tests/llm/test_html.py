@@ -35,7 +35,7 @@ def test_site_templates_are_deleted_but_copied_paragraphs_stay(spark):
     rows += [(200, "http://c.test/", page("<div><p>Subscribe to the gazette</p></div>"), None, None),
              (201, None, None, None, None), (202, "http://a.test", "", None, None), (202, "http://a.test", "", None, None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, templates array<int>").repartition(3)
-    out = extract(df, rule=Templates(min_pages=8, min_share=0.3))
+    out = extract(df)
     assert sorted(out.columns) == sorted(df.columns) and out.count() == len(rows)
     got = {r.page_id: r.text for r in out.collect()}
     assert got[3] == "Story 3 begins"  # outside an article a recurring paragraph is a part of the site
@@ -64,3 +64,24 @@ def test_a_part_of_few_of_a_host_s_pages_is_deleted(spark):
             for i in range(200)]
     got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[3] == "Story 3 begins and goes on" and got[100] == "Story 100 begins and goes on"
+
+
+def test_article_text_that_recurs_stays(spark):
+    """A quotation in eight of a host's hundred articles is text of these, wherever
+    it stands; a last box of most articles is the site's, one in their middle not."""
+    rows = []
+    for i in range(100):
+        quote = "<blockquote>All that glitters is not gold</blockquote>" * (i < 8)
+        body = f"<h1>No {i}</h1><p>Story {i} begins</p>{quote}<div>Middle box</div><p>and story {i} goes on</p>"
+        last = quote if 8 <= i < 20 else "<div>Follow us</div>"
+        rows.append((i, "http://a.test/x", page(f"<article>{body}{last}</article>")))
+        rows.append((1000 + i, "http://b.test/x", page(f"<article><p>Only {i} tales</p>" + "<blockquote>So it goes</blockquote>" * (i < 30) + "</article>")))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract(df).collect()}
+    assert got[3] == "No 3 Story 3 begins All that glitters is not gold Middle box and story 3 goes on"
+    assert got[50] == "No 50 Story 50 begins Middle box and story 50 goes on"
+    assert got[1004] == "Only 4 tales So it goes" and got[1040] == "Only 40 tales"
+    # ten times the host, the same texts
+    more = [(k + 10_000 * c, u, h.replace("Story", f"Story {c}x").replace("tales", f"tales {c}x")) for k, u, h in rows for c in range(1, 6)]
+    bigger = extract(df.unionByName(spark.createDataFrame(more, df.schema))).where("page_id < 10000")
+    assert {r.page_id: r.text for r in bigger.collect()} == got
