@@ -39,6 +39,10 @@ PACKED = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "sequence_id long, offset long")
 
 
+#: Added tokens of byte_bpe_50k.json. A text that holds one gets its id.
+ADDED_TOKENS = {"<|endoftext|>": 50256}
+
+
 @lru_cache(maxsize=2)
 def _encoding(ranks_path: str):
     """The vocabulary of ``ranks_path``; it gives the ids of byte_bpe_50k.json."""
@@ -47,12 +51,13 @@ def _encoding(ranks_path: str):
 
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ADDED_TOKENS)
 
 
 def token_ids(text: str | None, ranks_path: str) -> np.ndarray:
     """Ids of the whole text and the end id."""
-    return np.array([*_encoding(ranks_path).encode_ordinary(text or ""), END_ID], dtype="<u4")
+    ids = _encoding(ranks_path).encode(text or "", allowed_special=set(ADDED_TOKENS), disallowed_special=())
+    return np.array([*ids, END_ID], dtype="<u4")
 
 
 def pieces(docs: DataFrame, ranks_path: str, text: str = "text", doc_id: str = "doc_id",

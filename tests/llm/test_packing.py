@@ -12,8 +12,8 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 def test_ids_equal_the_tokenizer(corpus):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    for text in [r[1] for r in corpus] + ["naïve 12,5€ — it's\n\n  x", "日本語 text", "\x00\x7f"]:
+    special = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n", "<|endoftext| >", "<|END|>"]
+    for text in [r[1] for r in corpus] + special + ["naïve 12,5€ — it's\n\n  x", "日本語 text", "\x00\x7f"]:
         want = [*t.encode(text or "", add_special_tokens=False).ids, 0]
         assert packing.token_ids(text, RANKS).tolist() == want
 
