@@ -16,6 +16,7 @@ pass through untouched, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopsight.llm import textops as X
-from shopsight.llm.common import col, fresh, map_rows, slices, text_bytes
+from shopsight.llm.common import col, cut, fresh, map_rows, slices, text_bytes
 
 #: Common words of four languages, the bins of the word histogram.
 COMMON_WORDS = {
@@ -162,20 +163,43 @@ def with_features(docs: DataFrame, text: str = "text", out: str = "quality") ->
     return map_rows(docs, lambda b: [_struct(b.column(at))], [T.StructField(out, FEATURES)])
 
 
+_WIDTH = {"chars": len(CLASSES), "words": len(VOCABULARY) + 1}
+
+
+def _shares(counts: Column) -> Column:
+    total = F.greatest(F.aggregate(counts, F.lit(0).cast("long"), lambda s, x: s + x), F.lit(1))
+    return F.transform(counts, lambda x: x / total)
+
+
 def language_references(scored: DataFrame, lang: Column, features: str) -> DataFrame:
     """Mean histograms (shares) of the documents of each language.
 
-    Plain sums, so each task sends one row a language however many documents
-    the language has.
+    Plain sums, so each task sends a row for each language and bin, however
+    many documents the language has.
     """
-    width = {"chars": len(CLASSES), "words": len(VOCABULARY) + 1}
-    sums = scored.groupBy(lang.cast("string").alias("__ref_lang")).agg(
-        *(F.sum(F.col(features)[n][k]).alias(f"{n}_{k}") for n, w in width.items() for k in range(w)))
-    out = [F.col("__ref_lang")]
-    for n, w in width.items():
-        total = F.greatest(sum((F.col(f"{n}_{k}") for k in range(1, w)), F.col(f"{n}_0")), F.lit(1))
-        out.append(F.array(*(F.col(f"{n}_{k}") / total for k in range(w))).alias(f"__ref_{n}"))
-    return sums.select(*out)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str | None, np.ndarray] = {}
+        for b in batches:
+            counts = np.concatenate([b.column(1 + k).flatten().to_numpy().reshape(b.num_rows, -1) for k in range(len(_WIDTH))], axis=1)
+            codes = b.column(0).dictionary_encode()
+            at = codes.indices.fill_null(len(codes.dictionary)).to_numpy()
+            for k, name in enumerate([*codes.dictionary.to_pylist(), None]):
+                sums[name] = sums.get(name, 0) + counts[at == k].sum(axis=0)
+        total = pa.array(np.concatenate(list(sums.values())) if sums else np.zeros(0), pa.int64())
+        bins = sum(_WIDTH.values())
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.repeat(np.array(list(sums), object), bins), pa.string()),
+            pa.array(np.tile(np.arange(bins, dtype=np.int32), len(sums))), total], names=["__ref_lang", "bin", "n"])
+
+    plain = scored.select(lang.cast("string").alias("lang"), *(F.col(features)[n].alias(n) for n in _WIDTH))
+    sums = plain.mapInArrow(run, "__ref_lang string, bin int, n long").groupBy("__ref_lang", "bin").agg(F.sum("n").alias("n"))
+    whole = sums.groupBy("__ref_lang").agg(F.sum("n").alias("all"), F.transform(
+        F.sort_array(F.collect_list(F.struct("bin", "n"))), lambda x: x["n"]).alias("counts")).where(F.col("all") > 0)
+    out, first = [F.col("__ref_lang")], 1
+    for n, w in _WIDTH.items():
+        out.append(_shares(F.slice("counts", first, w)).alias(f"__ref_{n}"))
+        first += w
+    return whole.select(*out)
 
 
 def js_distance(counts: Column, total: Column, reference: Column) -> Column:
@@ -200,7 +224,8 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limit
     by_word = F.when(get("n_words") >= limits.min_histogram_words, far("words", "__ref_words")).otherwise(0.0)
     strange = (by_char > limits.max_char_distance) | (by_word > limits.max_word_distance)
 
-    bare = with_features(docs.select(col(text).alias(text), col(lang).alias("__lang")), text, out).drop(text)
+    # kept: both references are made of these narrow rows
+    bare = cut(with_features(docs.select(col(text).alias(text), col(lang).alias("__lang")), text, out).drop(text))
     first = language_references(bare, F.col("__lang"), out)
     usual = with_refs(bare, F.col("__lang"), first).where(~strange).select("__lang", out)
     refs = language_references(usual, F.col("__lang"), out)
