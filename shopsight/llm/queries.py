@@ -22,7 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_lpf_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lpf.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    got = lpf.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=True)
+    # what is left as text; a character that lost some of its bytes becomes U+FFFD
+    return got.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
