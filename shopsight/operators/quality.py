@@ -16,9 +16,11 @@ final counts.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from shopsight.sources.tables import DIMENSION_KEYS, Tables
 
@@ -136,6 +138,60 @@ def key_report(t: Tables) -> DataFrame:
     return out
 
 
+@dataclass(frozen=True)
+class RowCheck:
+    """Something that no row of a table should be; a ``strict`` one stops a run."""
+
+    check: str
+    column: str
+    violated: Callable[[], Column]
+    strict: bool = True
+
+
+def null_check(column: str, strict: bool = True) -> RowCheck:
+    return RowCheck("not_null", column, lambda: F.col(column).isNull(), strict)
+
+
+def domain_check(column: str, allowed, strict: bool = True) -> RowCheck:
+    return RowCheck("domain", column, lambda: ~F.coalesce(F.col(column).isin(*allowed), F.lit(False)), strict)
+
+
+class Watch:
+    """Row checks that ride on a scan which a run makes anyway: the counts come
+    with the scan's own job (``DataFrame.observe``), no job is run for them."""
+
+    def __init__(self) -> None:
+        self._seen: dict[str, tuple[Observation, list[RowCheck]]] = {}
+        self._bus = None
+
+    def on(self, df: DataFrame, table: str, checks: list[RowCheck]) -> DataFrame:
+        """``df``, whose next full scan is checked; a table is watched once."""
+        if table in self._seen:
+            return df
+        obs = Observation(f"{table}_{uuid.uuid4().hex}")
+        self._seen[table] = (obs, checks)
+        self._bus = df.sparkSession.sparkContext._jsc.sc().listenerBus()
+        return df.observe(obs, *(F.count_if(c.violated()).alias(f"n{i}") for i, c in enumerate(checks)))
+
+    def report(self) -> list[tuple[str, str, str, int]]:
+        """(check, table, columns, violations) of the scans that have run."""
+        rows = []
+        if self._bus is not None:
+            self._bus.waitUntilEmpty()  # the counts of finished jobs come as events
+        for table, (obs, checks) in self._seen.items():
+            if obs._jo.future().isCompleted():  # get would wait for a scan that is still to come
+                found = obs.get
+                rows += [(c.check, table, c.column, int(found[f"n{i}"])) for i, c in enumerate(checks)]
+        return rows
+
+    def assert_clean(self) -> None:
+        """Raise if a strict check has violations in the scans so far."""
+        strict = {(c.check, table, c.column) for table, (_, checks) in self._seen.items() for c in checks if c.strict}
+        bad = [r for r in self.report() if r[3] and r[:3] in strict]
+        if bad:
+            raise ValueError("data quality violations: " + "; ".join(f"{c} {t}.{k}={n}" for c, t, k, n in bad))
+
+
 def assert_clean(report: DataFrame, checks=("unique",)) -> None:
     """Raise if any listed check has violations (collects the small report)."""
     bad = report.filter(F.col("check").isin(*checks) & (F.col("violations") > 0)).collect()

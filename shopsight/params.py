@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 # Fixed values of the KPI definitions (must stay as stated to reproduce them).
 ORDER_STATUSES = ("Cancelled", "Returned", "Delivered", "Shipped", "Processing")
+DISCOUNTS = (0, 2, 4, 6, 8, 10)
 EXCLUDED_STATUSES = ("Cancelled", "Returned")
 CLV_TIERS = ((10000, "Platinum"), (5000, "Gold"), (2000, "Silver"), (500, "Bronze"))
 CLV_DEFAULT = "New"

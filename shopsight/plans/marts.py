@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shopsight.functions.semantics import as_of_date, is_valid, money, net_value
 from shopsight.operators.distinct import counted, merged, states
-from shopsight.params import Params
+from shopsight.operators.quality import Watch, domain_check, null_check
+from shopsight.params import DISCOUNTS, ORDER_STATUSES, Params
 from shopsight.sources.tables import Tables
 
 
@@ -224,20 +225,34 @@ def calling(job, t: Tables, p: Params, marts: Marts | None) -> DataFrame:
     return job(t, p)
 
 
+#: What a run's first scan of a table is watched for. Unknown discounts count as 0, so they are only reported.
+WATCHED = {
+    "orders": [null_check("order_id"), null_check("cust_id", strict=False), null_check("store_id", strict=False),
+               domain_check("order_status", ORDER_STATUSES)],
+    "order_items": [null_check("order_id"), null_check("prod_id"), domain_check("discount", DISCOUNTS, strict=False)],
+}
+
+
 class Marts:
-    """Lazily built, optionally persisted marts for one run."""
+    """Lazily built, optionally persisted marts for one run. ``watch`` checks the
+    rows of the scans that the marts are made of."""
 
-    def __init__(self, tables: Tables, params: Params, persist: bool = False):
-        self.t, self.p, self.persist = tables, params, persist
+    def __init__(self, tables: Tables, params: Params, persist: bool = False, watch: Watch | None = None):
+        self.t, self.p, self.persist, self.watch = tables, params, persist, watch
         self._cache: dict[str, DataFrame] = {}
 
+    def _watched(self, table: str) -> Tables:
+        if self.watch is None:
+            return self.t
+        return self.t.replaced(**{table: self.watch.on(self.t.get(table), table, WATCHED[table])})
+
     def get(self, name: str, build) -> DataFrame:
         """A mart by name, built with ``build(tables, params)`` on first use."""
         return self._get(name, build)
 
-    def _get(self, name: str, build) -> DataFrame:
+    def _get(self, name: str, build, scans: str | None = None) -> DataFrame:
         if name not in self._cache:
-            df = build(self.t, self.p)
+            df = build(self._watched(scans) if scans else self.t, self.p)
             if self.persist:
                 df = df.persist(StorageLevel.MEMORY_AND_DISK)
             self._cache[name] = df
@@ -247,13 +262,13 @@ class Marts:
         return self._get("customer_orders", customer_orders)
 
     def order_states(self) -> DataFrame:
-        return self._get("order_states", order_states)
+        return self._get("order_states", order_states, "orders")
 
     def product_totals(self) -> DataFrame:
-        return self._get("product_totals", product_totals)
+        return self._get("product_totals", product_totals, "order_items")
 
     def category_totals(self) -> DataFrame:
-        return self._get("category_totals", category_totals)
+        return self._get("category_totals", category_totals, "order_items")
 
     def release(self) -> None:
         for df in self._cache.values():

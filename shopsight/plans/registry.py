@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from shopsight.functions.display import with_display
-from shopsight.params import ORDER_STATUSES, Params
+from shopsight.params import DISCOUNTS, ORDER_STATUSES, Params
 from shopsight.operators import quality
 from shopsight.plans import catalog, customer, exports, governance, product, sales, store
 from shopsight.plans.marts import order_rollups
@@ -58,7 +58,7 @@ JOBS: dict[str, Callable[[Tables, Params], DataFrame]] = {
     # data-quality reports over the business tables
     "quality_key_report": lambda t, p: quality.key_report(t),
     "quality_domain_report": lambda t, p: quality.domain(t.orders, "orders", "order_status", ORDER_STATUSES).unionByName(
-        quality.domain(t.order_items, "order_items", "discount", (0, 2, 4, 6, 8, 10))),
+        quality.domain(t.order_items, "order_items", "discount", DISCOUNTS)),
     "quality_length_report": lambda t, p: governance.length_report(t, p, {k: JOBS[k] for k in LOGGED}),
     # what the sinks and the logs of a run hold
     "run_audit": lambda t, p: governance.logged_run(t, p, {k: JOBS[k] for k in LOGGED}).select(

@@ -44,7 +44,10 @@ def run_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None
     """Run everything. ``check_keys`` first verifies the keys the
     pre-aggregated plans rely on (unique dimension and declared keys) and
     stops before any output is written if one is violated; the full report
-    (incl. NULL keys and orphans) is written to ``analytics/quality_report``."""
+    (incl. NULL keys and orphans) is written to ``analytics/quality_report``. NULL
+    keys and values outside their domain are counted by the scans that the marts
+    make anyway (``marts.WATCHED``, ``analytics/scan_report``): a KPI table that is
+    made of such rows is not published, and the run ends there."""
     t = tables if tables is not None else tables_from_star(spark, sf_dir)
     if check_keys:
         report = quality.key_report(t).unionByName(
@@ -55,7 +58,8 @@ def run_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None
             report = spark.read.parquet(os.path.join(out_dir, "analytics", "quality_report"))
         quality.assert_clean(report, checks=("unique", "length"))
         quality.assert_keys(report, t)
-    marts = Marts(t, params, persist=True)
+    watch = quality.Watch() if check_keys else None
+    marts = Marts(t, params, persist=True, watch=watch)
     audit = AuditLog(spark, run_id)
     generated_at = utc_now()
 
@@ -74,7 +78,7 @@ def run_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None
                 # timed from definition on: ranking jobs materialize their input while defined
                 def kpi(name=name):
                     df = with_display(name, calling(JOBS[name], t, params, marts))
-                    return write_table(df, path("kpis", name), name)
+                    return write_table(df, path("kpis", name), name, verify=watch and watch.assert_clean)
 
                 run(name, kpi)
             for name, (fn, bounded) in EXPORTS.items():
@@ -96,6 +100,9 @@ def run_all(spark: SparkSession, sf_dir: str | None = None, out_dir: str | None
                 catalog.metric_mart(t), path("analytics", "metric_mart"), "metric_mart", ("metric",)))
             if out_dir:
                 catalog.registry(spark).write.mode("overwrite").parquet(path("analytics", "kpi_metadata"))
+            if watch and out_dir:
+                write_table(spark.createDataFrame(watch.report(), "check STRING, table STRING, columns STRING, violations BIGINT"),
+                            path("analytics", "scan_report"), "scan_report")
     finally:
         marts.release()
         audit.close()

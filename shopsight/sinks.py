@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -42,22 +43,30 @@ def _wall_clock(at: dt.datetime):
     return F.lit(at.astimezone(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def write_table(df: DataFrame, path: str | None, name: str, partition_by: tuple[str, ...] = ()) -> tuple[int, str]:
+def write_table(df: DataFrame, path: str | None, name: str, partition_by: tuple[str, ...] = (),
+                verify: Callable[[], None] | None = None) -> tuple[int, str]:
     """Publish ``df`` as the current version of ``path`` (or run it into the
     ``noop`` sink when ``path`` is None); ``published.read_table`` reads it.
 
     The row count is observed during the write (``DataFrame.observe``), not
-    by a second ``count()`` pass, and is kept in the version's manifest.
+    by a second ``count()`` pass, and is kept in the version's manifest. ``verify``
+    is called between the write and the switch, and may raise.
     """
     obs = Observation(f"rows_{name}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if path is None:
         observed.write.format("noop").mode("overwrite").save()
-        return int(obs.get["rows"]), "SUCCESS"
+        rows = int(obs.get["rows"])
+        if verify:
+            verify()
+        return rows, "SUCCESS"
 
     def write(folder: str) -> dict:
         observed.write.partitionBy(*partition_by).parquet(folder)
-        return {"name": name, "rows": int(obs.get["rows"])}
+        rows = int(obs.get["rows"])
+        if verify:
+            verify()
+        return {"name": name, "rows": rows}
 
     return published.publish(df.sparkSession, path, write)["rows"], "SUCCESS"
 

@@ -57,6 +57,12 @@ class Tables:
             self._frames[name] = self._factories[name]()
         return self._frames[name]
 
+    def replaced(self, **frames: DataFrame) -> Tables:
+        """These tables with some given anew."""
+        out = Tables(unique_keys=self.unique_keys, factories={n: (lambda n=n: self.get(n)) for n in TABLE_NAMES})
+        out._frames.update(frames)
+        return out
+
     orders = property(lambda self: self.get("orders"))
     order_items = property(lambda self: self.get("order_items"))
     products = property(lambda self: self.get("products"))
