@@ -71,6 +71,27 @@ def _phone_ok(m: Column) -> Column:
     return F.length(F.translate(m, "+ ().-", "")).between(9, 15)
 
 
+#: Items that one fold takes. Folds copy what they have built at each step, so a
+#: text's matches are folded in chunks, whose places come from the chunks' sums.
+CHUNK = 64
+
+
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is made once, however often ``then`` uses it."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _chunks(items: Column) -> Column:
+    """``items`` is a bound value: each chunk looks it up."""
+    last = F.call_function("div", F.greatest(F.size(items) - 1, F.lit(0)), F.lit(CHUNK)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * CHUNK + 1, F.lit(CHUNK)))
+
+
+def _running(values: Column, join) -> Column:
+    """What ``join`` makes of 0 and the values before each, and of all of them at last."""
+    return F.aggregate(values, F.array(F.lit(0)), lambda s, x: F.concat(s, F.array(join(F.element_at(s, -1), x))))
+
+
 def find(text: Column, pattern: Column, kind: str, ok=None) -> Column:
     """Spans of the pattern's matches, in code points, failing ones dropped.
 
@@ -79,7 +100,7 @@ def find(text: Column, pattern: Column, kind: str, ok=None) -> Column:
     """
     between = F.split(text, pattern, -1)
     pairs = F.arrays_zip(between.alias("a"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("m"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    size = lambda p: F.length(p["a"]) + F.coalesce(F.length(p["m"]), F.lit(0))
 
     def step(s: Column, p: Column) -> Column:
         a, m = p["a"], p["m"]
@@ -89,7 +110,13 @@ def find(text: Column, pattern: Column, kind: str, ok=None) -> Column:
         good = m.isNotNull() if ok is None else (m.isNotNull() & ok(m))
         return F.struct(end.alias("at"), F.when(good, F.concat(s["out"], one)).otherwise(s["out"]).alias("out"))
 
-    return F.aggregate(pairs, start, step, lambda s: s["out"])
+    def spans(parts: Column) -> Column:
+        sizes = F.transform(parts, lambda c: F.aggregate(c, F.lit(0), lambda s, p: s + size(p)))
+        starts = F.slice(_running(sizes, lambda s, x: s + x), 1, F.size(parts))
+        return F.flatten(F.transform(F.arrays_zip(parts.alias("c"), starts.alias("at")), lambda x: F.aggregate(
+            x["c"], F.struct(x["at"].alias("at"), F.array().cast(SPAN).alias("out")), step, lambda s: s["out"])))
+
+    return _let(pairs, lambda p: _let(_chunks(p), spans))
 
 
 def base_spans(text: Column) -> Column:
@@ -100,6 +127,29 @@ def base_spans(text: Column) -> Column:
     return F.concat(*(F.when(may, find(text, F.lit(p), k, ok)).otherwise(none) for k, p, may, ok in rules))
 
 
+def contexts(text: Column, spans: Column, chars: int) -> Column:
+    """Kind and value of each span and the text beside it. A chunk of spans takes
+    its stretch of the text first, so no span searches the text from its head."""
+
+    def chunk(c: Column) -> Column:
+        low = F.greatest(F.array_min(F.transform(c, lambda s: s["start"])) - chars, F.lit(0))
+        high = F.array_max(F.transform(c, lambda s: s["end"])) + chars
+
+        def beside(x: Column) -> Column:
+            def one(s: Column) -> Column:
+                return F.struct(
+                    s["kind"].alias("kind"), s["value"].alias("value"),
+                    F.substring(x["own"], F.greatest(s["start"] - chars - x["low"], F.lit(0)) + 1,
+                                F.least(s["start"], F.lit(chars))).alias("left"),
+                    F.substring(x["own"], s["end"] - x["low"] + 1, F.lit(chars)).alias("right"))
+            return F.transform(c, one)
+
+        return _let(low, lambda at: _let(F.struct(
+            at.alias("low"), F.substring(text, at + 1, high - at).alias("own")), beside))
+
+    return F.flatten(_let(spans, lambda s: F.transform(_chunks(s), chunk)))
+
+
 def _key(text: Column, doc_id: Column) -> Column:
     """What tells documents apart: id and text, so that neither has to be unique."""
     return F.struct(doc_id.cast("string").alias("id"), F.xxhash64(text).alias("h"), F.length(text).alias("n"))
@@ -109,12 +159,11 @@ def revealing_terms(docs: DataFrame, text: str, doc_id: str, rule: Disclosure) -
     """(key, entity, term): the terms to mask in a document that holds the entity."""
     t = F.coalesce(col(text).cast("string"), F.lit(""))
     base = docs.select(t.alias("t"), _key(t, col(doc_id)).alias("key"))
-    held = base.where(F.col("t").rlike("[0-9@]")).withColumn("s", F.explode(base_spans(F.col("t"))))
-    c, s = rule.context_chars, F.col("s")
-    left = F.substring(F.col("t"), F.greatest(s["start"] - c + 1, F.lit(1)), F.least(s["start"], F.lit(c)))
-    right = F.substring(F.col("t"), s["end"] + 1, F.lit(c))
+    near_spans = contexts(F.col("t"), base_spans(F.col("t")), rule.context_chars)
+    held = base.where(F.col("t").rlike("[0-9@]")).select("key", F.explode(near_spans).alias("s"))
+    s = F.col("s")
     # a word that the window cuts through is left out
-    near = F.concat_ws(" ", F.regexp_replace(left, r"^\p{L}+", ""), F.regexp_replace(right, r"\p{L}+$", ""))
+    near = F.concat_ws(" ", F.regexp_replace(s["left"], r"^\p{L}+", ""), F.regexp_replace(s["right"], r"\p{L}+$", ""))
     terms = F.array_distinct(F.regexp_extract_all(F.lower(near), F.lit(r"\p{L}{3,}"), F.lit(0)))
     entity = F.struct(s["kind"].alias("kind"), F.lower(s["value"]).alias("value"))
     pairs = cut(held.select("key", entity.alias("entity"), terms.alias("terms")))
@@ -184,12 +233,23 @@ def sanitise(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule:
             kind, label_of, label)
     ordered = F.array_sort(F.transform(F.col(out), lambda s: F.struct(s["start"], s["end"], s["kind"].alias("kind"))))
 
-    def step(a: Column, s: Column) -> Column:
-        fresh_one = s["start"] >= a["at"]
-        more = F.concat(a["out"], F.substring(t, a["at"] + 1, s["start"] - a["at"]), label(s))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(fresh_one, more).otherwise(a["out"]).alias("out"))
+    def piece(x: Column) -> Column:
+        """A chunk's masked text, from where the chunk before ends."""
+        own = F.substring(t, x["at"] + 1, x["to"] - x["at"])
+
+        def step(a: Column, s: Column) -> Column:
+            more = F.concat(a["out"], F.substring(own, a["at"] - x["at"] + 1, s["start"] - a["at"]), label(s))
+            return F.struct(F.greatest(a["at"], s["end"]).alias("at"),
+                            F.when(s["start"] >= a["at"], more).otherwise(a["out"]).alias("out"))
+
+        return F.aggregate(x["c"], F.struct(x["at"].alias("at"), F.lit("").alias("out")), step, lambda a: a["out"])
+
+    def joined_up(parts: Column) -> Column:
+        ends = _running(F.transform(parts, lambda c: F.array_max(F.transform(c, lambda s: s["end"]))), F.greatest)
+        n = F.size(parts)
+        pieces = F.transform(F.arrays_zip(parts.alias("c"), F.slice(ends, 1, n).alias("at"), F.slice(ends, 2, n).alias("to")), piece)
+        return F.concat(F.array_join(pieces, ""), F.substring(t, F.element_at(ends, -1) + 1, F.length(t)))
 
-    masked = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                         lambda a: F.concat(a["out"], F.substring(t, a["at"] + 1, F.length(t))))
+    masked = _let(ordered, lambda o: _let(_chunks(o), joined_up))
     return with_spans(docs, text, doc_id, rule, out).withColumn(
         text, F.when(F.size(out) > 0, masked).otherwise(t)).select(*(col(c) for c in docs.columns))
