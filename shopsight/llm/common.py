@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import sys
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -73,6 +75,19 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def trimmed(run: Callable) -> Callable:
+    """``run``, a task's generator of batches, that gives memory back at its end:
+    a Python worker lives on for the tasks after, and would keep its largest size."""
+
+    def all_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return all_of
+
+
 def map_rows(df: DataFrame, arrays: Callable[[pa.RecordBatch], list[pa.Array]], added: list[T.StructField],
              dropped: int = 0) -> DataFrame:
     """``df`` without its last ``dropped`` columns and with ``added`` ones, which
@@ -86,7 +101,7 @@ def map_rows(df: DataFrame, arrays: Callable[[pa.RecordBatch], list[pa.Array]],
             yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], *arrays(b)], names=names)
 
     schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, [*kept, *added], strict=True)])
-    out = df.toDF(*(f"_{i}" for i in range(len(df.columns)))).mapInArrow(run, schema)
+    out = df.toDF(*(f"_{i}" for i in range(len(df.columns)))).mapInArrow(trimmed(run), schema)
     return out.toDF(*(f.name for f in [*kept, *added]))
 
 

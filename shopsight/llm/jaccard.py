@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopsight.llm import textops as X
-from shopsight.llm.common import col, cut, fresh, map_rows, slices, small_side, text_bytes
+from shopsight.llm.common import col, cut, fresh, map_rows, slices, small_side, text_bytes, trimmed
 from shopsight.llm.components import components
 
 
@@ -96,7 +96,7 @@ def token_counts(docs: DataFrame, rule: Join) -> np.ndarray:
         return pa.table({"part": t.column("part")[:1], "n": pa.array([total.tobytes()], pa.binary())})
 
     schema = "part long, n binary"
-    rows = docs.mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect()
+    rows = docs.mapInArrow(trimmed(count), schema).groupBy("part").applyInArrow(add, schema).collect()
     table = np.zeros(cells, np.int64)
     for r in rows:
         table[r.part * width : (r.part + 1) * width] = np.frombuffer(r.n, np.int64)
@@ -148,7 +148,7 @@ def _prefixes(docs: DataFrame, rule: Join, counts) -> DataFrame:
                 b.column(1), pa.array(np.concatenate(sizes) if sizes else [], pa.int64()), pa.array(keys, pa.binary()),
                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["doc_id", "n", "cid", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, cid binary, prefix array<bigint>")
+    return docs.mapInArrow(trimmed(run), "doc_id long, n long, cid binary, prefix array<bigint>")
 
 
 def _pack(tokens: np.ndarray) -> bytes:
@@ -179,7 +179,7 @@ def _full_sets(docs: DataFrame, rule: Join) -> DataFrame:
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
                 ("cid", pa.binary()), ("n", pa.int64()), ("tokens", pa.binary())]))
 
-    return docs.mapInArrow(run, "cid binary, n long, tokens binary")
+    return docs.mapInArrow(trimmed(run), "cid binary, n long, tokens binary")
 
 
 class Group:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopsight.llm import textops as X
-from shopsight.llm.common import col, cut, fresh, map_rows, slices, text_bytes
+from shopsight.llm.common import col, cut, fresh, map_rows, slices, text_bytes, trimmed
 
 #: Common words of four languages, the bins of the word histogram.
 COMMON_WORDS = {
@@ -192,7 +192,7 @@ def language_references(scored: DataFrame, lang: Column, features: str) -> DataF
             pa.array(np.tile(np.arange(bins, dtype=np.int32), len(sums))), total], names=["__ref_lang", "bin", "n"])
 
     plain = scored.select(lang.cast("string").alias("lang"), *(F.col(features)[n].alias(n) for n in _WIDTH))
-    sums = plain.mapInArrow(run, "__ref_lang string, bin int, n long").groupBy("__ref_lang", "bin").agg(F.sum("n").alias("n"))
+    sums = plain.mapInArrow(trimmed(run), "__ref_lang string, bin int, n long").groupBy("__ref_lang", "bin").agg(F.sum("n").alias("n"))
     whole = sums.groupBy("__ref_lang").agg(F.sum("n").alias("all"), F.transform(
         F.sort_array(F.collect_list(F.struct("bin", "n"))), lambda x: x["n"]).alias("counts")).where(F.col("all") > 0)
     out, first = [F.col("__ref_lang")], 1
