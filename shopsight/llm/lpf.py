@@ -35,10 +35,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopsight.llm import textops as X
-from shopsight.llm.common import col, cut, slices, small_side, text_bytes
+from shopsight.llm.common import col, cut, slices, small_side, text_bytes, trimmed
 
 LENGTH = 400
 GRAM = 16
+_OUT_BYTES = 1 << 20  # of texts in one batch of results
 #: Starts that may share a minimizer; larger: fewer rows, longer stretches.
 REACH = 192
 #: Stretches of one minimizer that may be compared in one task; minimizers with
@@ -103,7 +104,7 @@ def _anchors(docs: DataFrame, length: int) -> DataFrame:
                     pa.array(hasher.of(s, e + length).view(np.int64)),
                     ids.take(pa.array(x + row)), pa.array(hs[x + row]), pa.array(place)], names=names)
 
-    return docs.select("text", "doc_id", "h").mapInArrow(run, "p long, f long, doc_id long, h long, place long")
+    return docs.select("text", "doc_id", "h").mapInArrow(trimmed(run), "p long, f long, doc_id long, h long, place long")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -115,7 +116,7 @@ def _packed(docs: DataFrame) -> DataFrame:
             z = [pack.compress((t.as_py() or "").encode()) for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(z, pa.binary())], names=["doc_id", "h", "z"])
 
-    return docs.select("text", "doc_id", "h").mapInArrow(run, "doc_id long, h long, z binary")
+    return docs.select("text", "doc_id", "h").mapInArrow(trimmed(run), "doc_id long, h long, z binary")
 
 
 def _windows(texts: DataFrame, length: int) -> DataFrame:
@@ -250,23 +251,25 @@ def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for b in batches:
-            out: list[list] = [[], [], [], [], []]
-            for z, p in zip(b.column(1), b.column(2).to_pylist(), strict=True):
+            out: list[list] = []
+            size = at = 0
+            for i, (z, p) in enumerate(zip(b.column(1), b.column(2).to_pylist(), strict=True)):
                 raw = unpack.decompress(z.as_py())
                 spans = gone = 0
+                kept = raw
                 if p:
                     flags = removed(p, len(raw), length)
                     gone = int(flags.sum())
                     spans = int((flags[1:] & ~flags[:-1]).sum()) + int(flags[0])
-                    raw_kept = np.frombuffer(raw, np.uint8)[~flags].tobytes()
-                else:
-                    raw_kept = raw
-                for c, x in zip(out, (len(raw), gone, spans, hashlib.sha256(raw_kept).hexdigest(), raw_kept), strict=True):
-                    c.append(x)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            arrays = [b.column(0), *(pa.array(c, k) for c, k in zip(out, kinds, strict=True))]
-            yield pa.RecordBatch.from_arrays(arrays[: 6 if with_text else 5], names=names)
-
+                    kept = np.frombuffer(raw, np.uint8)[~flags].tobytes()
+                out.append([len(raw), gone, spans, hashlib.sha256(kept).hexdigest(), *([kept] if with_text else [])])
+                size += len(raw)
+                if size >= _OUT_BYTES or i == b.num_rows - 1:
+                    arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds)]
+                    yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(out)), *arrays], names=names)
+                    out, size, at = [], 0, i + 1
+
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else [])]
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return rows.mapInArrow(run, schema + (", kept binary" if with_text else ""))
+    return rows.mapInArrow(trimmed(run), schema + (", kept binary" if with_text else ""))
