@@ -156,6 +156,9 @@ def domain_check(column: str, allowed, strict: bool = True) -> RowCheck:
     return RowCheck("domain", column, lambda: ~F.coalesce(F.col(column).isin(*allowed), F.lit(False)), strict)
 
 
+_EVENTS_MS = 600_000  # a large cluster's events may take a while
+
+
 class Watch:
     """Row checks that ride on a scan which a run makes anyway: the counts come
     with the scan's own job (``DataFrame.observe``), no job is run for them."""
@@ -177,7 +180,7 @@ class Watch:
         """(check, table, columns, violations) of the scans that have run."""
         rows = []
         if self._bus is not None:
-            self._bus.waitUntilEmpty()  # the counts of finished jobs come as events
+            self._bus.waitUntilEmpty(_EVENTS_MS)  # the counts of finished jobs come as events
         for table, (obs, checks) in self._seen.items():
             if obs._jo.future().isCompleted():  # get would wait for a scan that is still to come
                 found = obs.get
