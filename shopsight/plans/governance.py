@@ -115,8 +115,9 @@ PARTED = {"orders": "order_id", "order_items": "order_id", "customers": "cust_id
 
 
 def incremental_mart(t: Tables, p: Params, files: int = 4) -> DataFrame:
-    """The metric mart from kept states: the tables are written as files, all
-    but the last are counted, then the last one is added."""
+    """The metric mart from kept states: the tables are written as ``files``
+    parts, all but the last are counted, then the last one is added. Every task
+    of a scan writes its rows of a part as a file of its own."""
     spark = t.orders.sparkSession
     with _folder(spark) as root:
         paths = {name: f"{root}/{name}" for name in PARTED}
@@ -125,7 +126,7 @@ def incremental_mart(t: Tables, p: Params, files: int = 4) -> DataFrame:
             for name, key in PARTED.items():
                 rows = t.get(name)
                 mine = F.coalesce(F.pmod(F.col(key), F.lit(files)), F.lit(0)) == part
-                rows.where(mine).coalesce(1).write.mode("append").parquet(paths[name])
+                rows.where(mine).write.mode("append").parquet(paths[name])
 
         for part in range(files - 1):
             add(part)

@@ -7,13 +7,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopsight import published
-from shopsight.plans import catalog, metrics
+from shopsight.params import Params
+from shopsight.plans import catalog, governance, metrics
 from shopsight.plans.metrics import Metric, from_rows
 from shopsight.sources.business import write_parquet_tables
 from shopsight.sources.star_schema import tables_from_star
 from shopsight.sources.tables import Tables
 from tests.conftest import SF001
 
+P = Params()
+
 
 def _rows(df):
     return sorted(map(tuple, df.select("metric", "entity_type", "entity_id", "value").collect()), key=str)
@@ -180,3 +183,19 @@ def test_date_partitioned_orders(spark, t):
     own = [m for m in catalog.REGISTRY if m.table == "orders"]
     metrics.update(spark, few, f"{root}/states", own, t.unique_keys)
     assert _rows(metrics.current(spark, few, f"{root}/states", own, t.unique_keys)) == _rows(metrics.mart(t, own))
+
+
+def test_the_incremental_mart_is_written_by_all_tasks_of_a_scan(spark, t, monkeypatch):
+    """No task writes a whole part of a table: with the files of four scan tasks the mart is the same."""
+    written = []
+
+    def update(spark, paths, *args):
+        written.append({n: spark.read.parquet(p).select("_metadata.file_path").distinct().count() for n, p in paths.items()})
+        return real(spark, paths, *args)
+
+    real = metrics.update
+    monkeypatch.setattr(metrics, "update", update)
+    spread = t.replaced(**{n: t.get(n).repartition(4) for n in governance.PARTED})
+    got = governance.incremental_mart(spread, P)
+    assert _rows(got) == _rows(catalog.metric_mart(t))
+    assert [set(w.values()) for w in written] == [{12}, {16}]
