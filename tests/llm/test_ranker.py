@@ -72,3 +72,46 @@ def test_preferences_and_threshold():
     # the learnt differences are log-odds: two thirds of the pairs that they call 2 : 1 are so
     p = 1 / (1 + np.exp(-(good[:, None] - bad[None]) @ m.weights))
     assert abs(p.mean() - ((good[:, None] - bad[None]) @ m.weights > 0).mean()) < 0.05
+
+
+def _plain_threshold(rows, stands, share):
+    """Row by row, good ones first where scores tie."""
+    rows = sorted((s, -q) for q, n, s in rows for _ in range(n))
+    mass = np.cumsum([stands[-q] for _, q in rows])
+    at = int(np.searchsorted(mass, share - 1e-12))
+    return (rows[at][0] + rows[min(at + 1, len(rows) - 1)][0]) / 2
+
+
+def test_every_labelled_row_teaches(spark):
+    """In blocks of 20 rows of the commoner label: each learning row is in one
+    block of its label, and in as many of the other one as theirs are."""
+    draw = np.random.default_rng(7)
+    rows = [(i, i, int(i % 3 > 0), [float(v) for v in draw.normal(i % 3 > 0, 1, 3)], 1 + i % 2) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, h long, quality int, x array<double>, n long")
+    rule = Ranking(pairs=400)
+    seen = {}
+    for b in ranker._blocks(df, {1: 400, 0: 200}, rule).collect():
+        r = np.frombuffer(b.rows).reshape(-1, 5)
+        assert {0.0, 1.0} == set(r[:, 0]) and len(r) < 100
+        for x in r:
+            seen[tuple(x)] = seen.get(tuple(x), 0) + 1
+    assert set(seen) == {(float(q), float(n), *x) for _, _, q, x, n in rows}
+    assert all(v == (1 if k[0] else 2) for k, v in seen.items())
+    # one block: all pairs, as with the rows at hand
+    whole = ranker._blocks(df, {1: 400, 0: 200}, Ranking())
+    good, bad = (np.repeat([r[3] for r in rows if r[2] == q], [r[4] for r in rows if r[2] == q], axis=0) for q in (1, 0))
+    spread = np.concatenate([good, bad]).std(axis=0)
+    w = ranker.newton(lambda w: ranker._sums(whole, w, spread), 3, Ranking()) / spread
+    assert np.allclose(w, ranker.bradley_terry(good, bad, 0.3, Ranking()).weights, atol=1e-9)
+
+
+def test_threshold_over_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(ranker, "_FEW", 3)
+    monkeypatch.setattr(ranker, "_PARTS", 4)
+    draw = np.random.default_rng(8)
+    for share, places in ((0.3, 1), (0.5, 6), (0.07, 0)):
+        rows = [(int(i % 3 > 0), 1 + i % 2, round(float(draw.normal(i % 3 > 0)), places)) for i in range(90)]
+        total = {q: sum(n for p, n, _ in rows if p == q) for q in (0, 1)}
+        stands = {0: share / total[0], 1: (1 - share) / total[1]}
+        got = ranker._threshold(spark.createDataFrame(rows, "quality int, n long, s double").coalesce(1), stands, share)
+        assert got == _plain_threshold(rows, stands, share)
