@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopsight.llm import textops as X
-from shopsight.llm.common import col, cut, fresh, map_rows, slices, small_side, text_bytes, trimmed
+from shopsight.llm.common import col, cut, fresh, map_rows, slices, small_side, sweep, text_bytes, trimmed
 from shopsight.llm.components import components
 
 
@@ -247,15 +247,20 @@ def class_labels(rows: DataFrame, reps: DataFrame, docs: DataFrame, rule: Join)
     postings = rows.select(F.explode("prefix").alias("token"), short)
     often = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
     some = cut(postings.join(often, "token").distinct())
+    sweep(docs.sparkSession)  # shuffles and checkpoints that are done with, before the next ones
     for _ in range(2):  # tokens of two classes; classes with enough of them
         two = some.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
         some = some.join(two, "token")
         enough = some.groupBy("c64").agg(F.count(F.lit(1)).alias("s")).where(
             F.col("s") >= F.col("c64").bitwiseAND(F.lit(255))).select("c64")
         some = cut(some.join(enough, "c64").select("token", "c64"))
+        del two, enough
+        sweep(docs.sparkSession)
     named = cut(reps.select(short, "cid", "n").join(some.select("c64").distinct(), "c64"))
     count = some.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     shared = cut(some.join(small_side(named), "c64").join(count, "token").select("token", "cid", "n", "c"))
+    del some, count, postings, often
+    sweep(docs.sparkSession)
 
     # home of a class: its most shared token, in parts of bounded size
     home = cut(shared.groupBy("cid").agg(F.max(F.struct("c", "token")).alias("h")).select("cid", F.col("h.token").alias("home")))
@@ -366,7 +371,9 @@ def linked(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule: Jo
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rule: Join = Join()) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest id;
     documents without words all stay."""
-    _, classes = class_table(docs, text, doc_id, rule)
+    rows, classes = class_table(docs, text, doc_id, rule)
+    del rows  # their prefixes go before the texts are shuffled
+    sweep(docs.sparkSession)
     size, key, want = fresh(docs, "n_shingles"), fresh(docs, "cid"), fresh(docs, "component_id")
     keep = classes.where("first").select(F.col("cid").alias(key), F.col("component_id").alias(want))
     keyed = with_sets(docs, text, rule, size, key)
